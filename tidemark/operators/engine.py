@@ -36,7 +36,7 @@ from tidemark.operators.rules import (
     Rule,
     SqlQuery,
 )
-from tidemark.session import checkpoint_dir, materialize
+from tidemark.session import checkpoint_dir, materialize, materialize_observed, run_concurrently
 
 ERRORS = "_errors"
 WARNINGS = "_warnings"
@@ -58,8 +58,8 @@ class Gate:
     def prepare(self, frame: DataFrame, name: str) -> DataFrame | None:
         if checkpoint_dir(frame.sparkSession) is None:
             return frame
-        frame = materialize(frame, name)
-        n = frame.count()
+        frame, metrics = materialize_observed(frame, name, rows=F.count(F.lit(1)))
+        n = metrics["rows"]
         if n == 0:
             return None
         return F.broadcast(frame) if n <= self.max_rows else frame
@@ -67,15 +67,23 @@ class Gate:
 
 @dataclass
 class Checked:
-    """Annotated rows plus dataset-level outcomes of one rule run."""
+    """Annotated rows plus dataset-level outcomes of one rule run.
+
+    ``stats`` (rows, error_rows, warning_rows) is filled when the annotated rows are materialised.
+    """
 
     annotated: DataFrame
     rules: tuple[Rule, ...]
     outcomes: DataFrame
+    stats: dict | None = None
 
     def materialized(self, name: str = "annotated") -> "Checked":
-        """Write the annotated rows once so split, log and scores share one execution."""
-        return Checked(materialize(self.annotated, name), self.rules, self.outcomes)
+        """Write the annotated rows once so split, log and scores share one execution; row counts are
+        observed during that write."""
+        df, stats = materialize_observed(self.annotated, name, rows=F.count(F.lit(1)),
+                                         error_rows=F.count_if(F.size(ERRORS) > 0),
+                                         warning_rows=F.count_if(F.size(WARNINGS) > 0))
+        return Checked(df, self.rules, self.outcomes, stats)
 
     def valid(self, quarantine_on: str = "error") -> DataFrame:
         return split(self.annotated, quarantine_on)[0]
@@ -173,9 +181,8 @@ def window_start(ts: Column, minutes: int, ts_type: str) -> Column:
     return F.timestamp_add("MINUTE", (F.floor(seconds / (60 * minutes)) * minutes).cast("int"), epoch)
 
 
-def _freshness(df: DataFrame, check: Freshness) -> tuple[Column, DataFrame, DataFrame, DataFrame]:
-    """(window-start expression, all lookback windows (wstart, records), under-filled windows,
-    outcome row (observed, dataset_violated))."""
+def _freshness(df: DataFrame, check: Freshness) -> tuple[Column, DataFrame]:
+    """(window-start expression, lookback windows (wstart, records): at most lookback_windows rows)."""
     ts_type = df.schema[check.column].dataType.simpleString()
     wstart = window_start(F.col(check.column), check.window_minutes, ts_type)
     span = check.window_minutes * check.lookback_windows
@@ -194,21 +201,26 @@ def _freshness(df: DataFrame, check: Freshness) -> tuple[Column, DataFrame, Data
               .groupBy("wstart").agg(F.count(F.lit(1)).alias("records")))
     windows = spine.join(counts, "wstart", "left").select(
         "wstart", F.coalesce("records", F.lit(0)).alias("records"))
-    under = windows.filter(F.col("records") < check.min_records_per_window)
-    outcome = (windows.agg(F.count(F.lit(1)).alias("n"),
-                           F.count_if(F.col("records") < check.min_records_per_window).alias("bad"),
+    return wstart, windows
+
+
+def _window_outcome(windows: DataFrame, check: Freshness) -> tuple[DataFrame, DataFrame]:
+    """(under-filled windows, 1-row outcome (observed, dataset_violated))."""
+    low = F.col("records") < check.min_records_per_window
+    under = windows.filter(low)
+    outcome = (windows.agg(F.count(F.lit(1)).alias("n"), F.count_if(low).alias("bad"),
                            F.count_if(F.col("records") == 0).alias("empty"))
                .select(F.format_string("%d of %d windows below %d records (%d empty)", F.col("bad"), F.col("n"),
                                        F.lit(check.min_records_per_window), F.col("empty")).alias("observed"),
                        ((F.col("bad") > 0) | (F.col("n") == 0)).alias("dataset_violated")))
-    return wstart, windows, under, outcome
+    return under, outcome
 
 
 def freshness_report(df: DataFrame, column: str, window_minutes: int, min_records_per_window: int,
                      lookback_windows: int, curr_timestamp: str | None = None) -> DataFrame:
     """Q9 as a report: one row per lookback window (window_start, window_end, records, below_min)."""
     check = Freshness(column, window_minutes, min_records_per_window, lookback_windows, curr_timestamp)
-    _, windows, _, _ = _freshness(df, check)
+    _, windows = _freshness(df, check)
     return windows.select(
         F.col("wstart").alias("window_start"),
         (F.col("wstart") + _interval(window_minutes)).alias("window_end"),
@@ -216,54 +228,107 @@ def freshness_report(df: DataFrame, column: str, window_minutes: int, min_record
         (F.col("records") < min_records_per_window).alias("below_min"))
 
 
+def _global_frame(df: DataFrame, members: list[Rule], tag: str) -> DataFrame:
+    """Exactly one row: the measures of all table-wide checks plus ``tag_e`` / ``tag_w`` name arrays.
+
+    Every piece is a 1-row aggregate, so the pieces are combined by cross join (1 x 1 rows).
+    """
+    pieces: list[DataFrame] = []
+    errs: list[Column] = []
+    warns: list[Column] = []
+    fused = [r for r in members if not isinstance(r.check, SqlQuery)]
+    if fused:
+        measures = [m for i, r in enumerate(fused) for m in r.check.measures(f"{tag}_m{i}")]
+        flags = [(r.check.violated(f"{tag}_m{i}"), r) for i, r in enumerate(fused)]
+        pieces.append(df.agg(*measures).select(
+            "*",
+            _names_array([(c, r.name) for c, r in flags if r.criticality == "error"]).alias(f"{tag}_fe"),
+            _names_array([(c, r.name) for c, r in flags if r.criticality == "warn"]).alias(f"{tag}_fw")))
+        errs.append(F.col(f"{tag}_fe"))
+        warns.append(F.col(f"{tag}_fw"))
+    for i, r in enumerate(m for m in members if isinstance(m.check, SqlQuery)):
+        result = _run_sql(df, r.check)
+        hit = F.coalesce(F.bool_or(F.coalesce(F.col(r.check.condition_column).cast("boolean"), F.lit(False))),
+                         F.lit(False))
+        named = F.when(hit, F.array(F.lit(r.name))).otherwise(_empty())
+        pieces.append(result.agg(named.alias(f"{tag}_q{i}")))
+        (errs if r.criticality == "error" else warns).append(F.col(f"{tag}_q{i}"))
+    frame = pieces[0]
+    for p in pieces[1:]:
+        frame = frame.crossJoin(p)
+    concat = lambda cols: (F.concat(*cols) if len(cols) > 1 else cols[0]) if cols else _empty()
+    return frame.select("*", concat(errs).alias(f"{tag}_e"), concat(warns).alias(f"{tag}_w"))
+
+
 def annotate(df: DataFrame, rules: Iterable[Rule], gate: Gate | None = None) -> Checked:
     """Evaluate ``rules`` on ``df``: adds ``_errors``, ``_warnings`` (arrays of rule names) and
-    ``_data_quality_score`` (1 - violated rules / rules)."""
+    ``_data_quality_score`` (1 - violated rules / rules).
+
+    All side frames (violating keys per key set, the 1-row table-wide frame, freshness windows) are
+    built first and materialised concurrently; the annotate pass itself is then one scan of ``df`` joined
+    to them.
+    """
     rules = tuple(rules)
     _check_names(rules)
     gate = gate or Gate()
     run = uuid.uuid4().hex[:6]
-    base = df
-    helpers: list[str] = []
-    err_arrays: list[Column] = []
-    warn_arrays: list[Column] = []
-    outcome_rows: list[DataFrame] = []
 
-    # keyed, global and SQL-query rules: one frame per key set
     groups: dict[tuple[str, ...], list[Rule]] = {}
     for r in rules:
         key = _group_key(r)
         if key is not None:
             groups.setdefault(key, []).append(r)
-    for gi, (key, members) in enumerate(groups.items()):
-        tag = f"__g{gi}"
-        frame = _key_frame(df, key, members, tag)
+    tags = {key: f"__g{gi}" for gi, key in enumerate(groups)}
+    fresh = [r for r in rules if isinstance(r.check, Freshness)]
+    fresh_parts = [_freshness(df, r.check) for r in fresh]
+
+    # side frames, materialised concurrently (small by construction, or gated by their measured size)
+    tasks = []
+    for key, members in groups.items():
+        if key:
+            frame = _key_frame(df, key, members, tags[key])
+            tasks.append(lambda frame=frame, key=key: gate.prepare(frame, f"violations-{run}-{tags[key][3:]}"))
+        else:  # one row
+            frame = _global_frame(df, members, tags[key])
+            tasks.append(lambda frame=frame: materialize(frame, f"global-{run}"))
+    for i, (_, windows) in enumerate(fresh_parts):  # at most lookback_windows rows
+        tasks.append(lambda windows=windows, i=i: materialize(windows, f"windows-{run}-{i}"))
+    done = run_concurrently(tasks)
+    side = dict(zip(groups, done[:len(groups)]))
+    window_frames = done[len(groups):]
+
+    base = df
+    helpers: list[str] = []
+    err_arrays: list[Column] = []
+    warn_arrays: list[Column] = []
+    outcome_rows: list[DataFrame] = []
+
+    for key, members in groups.items():
+        tag, frame = tags[key], side[key]
+        if frame is None:  # no violating key at all
+            continue
         if not key:
             base = base.crossJoin(F.broadcast(frame))
-            for r in members:
+            fused = [r for r in members if not isinstance(r.check, SqlQuery)]
+            for i, r in enumerate(fused):
                 if isinstance(r.check, AggrLimit):
-                    v = r.check.measures(f"__o")[0]
-                    outcome_rows.append(df.agg(v).select(
+                    outcome_rows.append(frame.select(
                         F.lit(r.name).alias("rule_name"),
-                        F.col("__o_v").cast("string").alias("observed"),
-                        r.check.violated("__o").alias("dataset_violated")))
+                        F.col(f"{tag}_m{i}_v").cast("string").alias("observed"),
+                        r.check.violated(f"{tag}_m{i}").alias("dataset_violated")))
         else:
-            frame = gate.prepare(frame, f"violations-{run}-{gi}")
-            if frame is None:
-                continue
             cond = None
             for j, k in enumerate(key):
                 c = F.col(k).eqNullSafe(F.col(f"{tag}_k{j}"))
                 cond = c if cond is None else cond & c
             base = base.join(frame, cond, "left")
-        helpers += [c for c in frame.columns]
+        helpers += list(frame.columns)
         err_arrays.append(F.coalesce(F.col(f"{tag}_e"), _empty()))
         warn_arrays.append(F.coalesce(F.col(f"{tag}_w"), _empty()))
 
-    # freshness rules
-    for fi, r in enumerate(x for x in rules if isinstance(x.check, Freshness)):
+    for fi, (r, (wstart, _), windows) in enumerate(zip(fresh, fresh_parts, window_frames)):
         col = f"__f{fi}"
-        wstart, _, under, outcome = _freshness(df, r.check)
+        under, outcome = _window_outcome(windows, r.check)
         flagged = under.select(F.col("wstart").alias(f"{col}_w"), F.lit(True).alias(f"{col}_hit"))
         if r.check.lookback_windows <= gate.max_rows:
             flagged = F.broadcast(flagged)
@@ -284,8 +349,7 @@ def annotate(df: DataFrame, rules: Iterable[Rule], gate: Gate | None = None) ->
                  .withColumn(SCORE, 1.0 - (F.size(ERRORS) + F.size(WARNINGS)) / F.lit(float(n_rules)))
                  .drop(*helpers))
 
-    spark = df.sparkSession
-    outcomes = spark.createDataFrame([], "rule_name string, observed string, dataset_violated boolean")
+    outcomes = df.sparkSession.createDataFrame([], "rule_name string, observed string, dataset_violated boolean")
     for o in outcome_rows:
         outcomes = outcomes.unionByName(o)
     return Checked(annotated, rules, outcomes)

@@ -20,7 +20,7 @@ from tidemark.operators import transforms as T
 from tidemark.operators.engine import Checked, Gate
 from tidemark.plans import checks
 from tidemark.plans.incremental import in_window
-from tidemark.session import checkpoint_dir, materialize
+from tidemark.session import checkpoint_dir, materialize, run_concurrently
 from tidemark.sources import catalog, sinks
 
 TABLES = ("orders", "customers", "delivery_performance")
@@ -58,19 +58,27 @@ class Flow:
         self.spark = spark
         self.raw = raw
         self.config = config or RunConfig()
+        self._processed: dict[str, DataFrame] = {}
+        self._checked: dict[str, Checked] = {}
 
     # processed ----------------------------------------------------------------------------------
-    @cached_property
-    def processed(self) -> dict[str, DataFrame]:
+    def processed_plan(self, table: str) -> DataFrame:
+        """The cleaning plan of one table (lazy, not materialised)."""
         cfg = self.config
-        orders = self.raw["orders"]
-        if cfg.run_mode == "incremental":
-            orders = orders.filter(in_window(F.col("order_date"), cfg.start_date, cfg.end_date))
-        return {
-            "orders": T.clean_orders(orders),
-            "customers": T.clean_customers(self.raw["customers"], cfg.as_of),
-            "delivery_performance": T.clean_delivery(self.raw["delivery_performance"]),
-        }
+        if table == "orders":
+            orders = self.raw["orders"]
+            if cfg.run_mode == "incremental":
+                orders = orders.filter(in_window(F.col("order_date"), cfg.start_date, cfg.end_date))
+            return T.clean_orders(orders)
+        if table == "customers":
+            return T.clean_customers(self.raw["customers"], cfg.as_of)
+        return T.clean_delivery(self.raw["delivery_performance"])
+
+    def processed(self, table: str) -> DataFrame:
+        """Processed table, written once: every rule pass then reads only the columns it needs."""
+        if table not in self._processed:
+            self._processed[table] = materialize(self.processed_plan(table), f"processed-{table}")
+        return self._processed[table]
 
     def rules(self, table: str):
         if table == "orders":
@@ -80,31 +88,45 @@ class Flow:
         return checks.delivery_rules()
 
     # checked ------------------------------------------------------------------------------------
-    @cached_property
-    def checked(self) -> dict[str, Checked]:
-        out = {}
-        for table in TABLES:
-            df = self.processed[table]
-            if self.config.quality_checks:
-                out[table] = engine.annotate(df, self.rules(table), self.config.gate).materialized(f"annotated-{table}")
-            else:
-                out[table] = engine.annotate(df, [], self.config.gate)
-        return out
+    def _build_checked(self, table: str) -> Checked:
+        df = self.processed(table)
+        rules = self.rules(table) if self.config.quality_checks else []
+        checked = engine.annotate(df, rules, self.config.gate)
+        return checked.materialized(f"annotated-{table}") if rules else checked
+
+    def checked(self, table: str) -> Checked:
+        if table not in self._checked:
+            self._checked[table] = self._build_checked(table)
+        return self._checked[table]
+
+    def check_all(self, tables=TABLES) -> dict[str, Checked]:
+        """Annotate several tables with overlapping jobs (they are independent until the join)."""
+        missing = [t for t in tables if t not in self._checked]
+        for t, c in zip(missing, run_concurrently([lambda t=t: self._build_checked(t) for t in missing])):
+            self._checked[t] = c
+        return {t: self._checked[t] for t in tables}
 
     def valid(self, table: str) -> DataFrame:
-        return self.checked[table].valid(self.config.quarantine_on)
+        return self.checked(table).valid(self.config.quarantine_on)
 
     def quarantine(self, table: str) -> DataFrame:
-        return self.checked[table].quarantine(self.config.quarantine_on)
+        return self.checked(table).quarantine(self.config.quarantine_on)
 
     # published ----------------------------------------------------------------------------------
     def _broadcast_customers(self) -> bool | None:
+        """Broadcast the customer side only when its materialised row count is known and small."""
         if checkpoint_dir(self.spark) is None:
             return None
-        return self.valid("customers").count() <= self.config.customers_broadcast_rows
+        stats = self.checked("customers").stats
+        if stats and self.config.quarantine_on == "error":
+            rows = stats["rows"] - stats["error_rows"]
+        else:
+            rows = self.valid("customers").count()
+        return rows <= self.config.customers_broadcast_rows
 
     @cached_property
     def joined(self) -> DataFrame:
+        self.check_all()
         j = marts.join_orders(self.valid("orders"), self.valid("customers"), self.valid("delivery_performance"),
                               broadcast_customers=self._broadcast_customers())
         return materialize(j, "joined")
@@ -125,7 +147,7 @@ class Flow:
         }
 
     def quality_summary(self) -> DataFrame:
-        return reporting.quality_summary({t: self.checked[t].annotated for t in TABLES}, self.config.quarantine_on)
+        return reporting.quality_summary({t: self.checked(t).annotated for t in TABLES}, self.config.quarantine_on)
 
 
 def run(spark: SparkSession, raw: dict[str, DataFrame], out_prefix: str,
@@ -151,10 +173,10 @@ def run(spark: SparkSession, raw: dict[str, DataFrame], out_prefix: str,
         written[name] = target(name)
 
     for table in TABLES:
-        publish(f"processed_{table}", T.stamp_processed(flow.processed[table]), by_month=table == "orders")
+        publish(f"processed_{table}", T.stamp_processed(flow.processed(table)), by_month=table == "orders")
         publish(f"final_{table}", flow.valid(table), by_month=table == "orders")
         publish(f"quarantine_{table}", flow.quarantine(table), by_month=table == "orders")
-        log = reporting.rule_log(flow.checked[table], run_id=batch, valid_table=target(f"final_{table}"),
+        log = reporting.rule_log(flow.checked(table), run_id=batch, valid_table=target(f"final_{table}"),
                                  quarantine_table=target(f"quarantine_{table}"))
         sinks.append_table(log, target("dq_test_logs"))
         written["dq_test_logs"] = target("dq_test_logs")

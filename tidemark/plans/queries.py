@@ -77,16 +77,16 @@ def _raw(name: str):
 
 
 def _clean(name: str):
-    return lambda spark, sf: stable(flow(spark, sf).processed[SHORT[name]].select(*CLEAN_COLUMNS[name]))
+    return lambda spark, sf: stable(flow(spark, sf).processed(SHORT[name]).select(*CLEAN_COLUMNS[name]))
 
 
 def _profile(name: str):
-    return lambda spark, sf: T.completeness_profile(flow(spark, sf).processed[SHORT[name]], SHORT[name])
+    return lambda spark, sf: T.completeness_profile(flow(spark, sf).processed(SHORT[name]), SHORT[name])
 
 
 def _rule_results(name: str):
     def q(spark, sf):
-        res = reporting.rule_results(flow(spark, sf).checked[SHORT[name]])
+        res = reporting.rule_results(flow(spark, sf).checked(SHORT[name]))
         return res.select("rule_name", "criticality", "failed_records_count", "check_status")
     return q
 
@@ -171,7 +171,7 @@ def _freshness(min_records: int):
 def run_window_orders(spark, sf):
     start, end = INCREMENTAL_WINDOW
     f = flow(spark, sf, run_mode="incremental", start_date=start, end_date=end)
-    return stable(f.processed["orders"].select(*CLEAN_COLUMNS["orders"]))
+    return stable(f.processed("orders").select(*CLEAN_COLUMNS["orders"]))
 
 
 def lineitem_rule_results(spark, sf):

@@ -9,8 +9,11 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
+from typing import TypeVar
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 
@@ -65,3 +68,33 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     path = f"{base.rstrip('/')}/tidemark/{name}-{uuid.uuid4().hex[:12]}"
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.parquet(path)
+
+
+def materialize_observed(df: DataFrame, name: str, **metrics: Column) -> tuple[DataFrame, dict | None]:
+    """``materialize`` plus aggregate metrics (e.g. a row count) computed during the same write job.
+
+    Returns (scan of the written table, metrics); without a shared folder, (df, None) and nothing runs.
+    """
+    base = checkpoint_dir(df.sparkSession)
+    if not base:
+        return df, None
+    observation = Observation(f"tidemark-{uuid.uuid4().hex[:8]}")
+    path = f"{base.rstrip('/')}/tidemark/{name}-{uuid.uuid4().hex[:12]}"
+    df.observe(observation, *[c.alias(k) for k, c in metrics.items()]).write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path), dict(observation.get)
+
+
+T = TypeVar("T")
+
+
+def run_concurrently(tasks: Sequence[Callable[[], T]], max_workers: int = 8) -> list[T]:
+    """Run independent driver-side steps (each submitting its own Spark jobs) from parallel threads.
+
+    Spark schedules jobs from several threads at once; small independent jobs then overlap instead of
+    queueing one after another. Results come back in task order; the first failure is raised.
+    """
+    if len(tasks) <= 1:
+        return [t() for t in tasks]
+    with ThreadPoolExecutor(max_workers=min(max_workers, len(tasks))) as pool:
+        futures = [pool.submit(t) for t in tasks]
+        return [f.result() for f in futures]
