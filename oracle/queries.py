@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from oracle.sql import AS_OF, CLEAN_COLUMNS, INCREMENTAL_WINDOW, RULES, build, rnd, srnd  # noqa: F401
 
 DOUBLE_COLUMNS = {
@@ -30,6 +32,20 @@ PROFILE = {
 TABLE_NAMES = {"orders": "orders", "customers": "customers", "delivery": "delivery_performance"}
 
 
+def msum(c: str) -> str:
+    """Exact sum of a 2-decimal measure in hundredths (as the marts compute it)."""
+    return f"(CAST(sum(CAST(round({c} * 100) AS BIGINT)) AS DOUBLE) / 100.0)"
+
+
+def mavg(c: str) -> str:
+    return f"(CAST(sum(CAST(round({c} * 100) AS BIGINT)) AS DOUBLE) / nullif(CAST(count({c}) AS DOUBLE) * 100, 0))"
+
+
+def _money(sql: str) -> str:
+    sql = re.sub(r"\bavg\(([a-z_]+)\)", lambda m: mavg(m.group(1)), sql)
+    return re.sub(r"\bsum\(order_total\)", lambda m: msum("order_total"), sql)
+
+
 def _select(cols: list[str], doubles: set[str], digits: int = 4) -> str:
     return ", ".join(f"{srnd(c, digits)} AS {c}" if c in doubles else c for c in cols)
 
@@ -71,6 +87,7 @@ SELECT customer_segment, CAST(COUNT(*) AS BIGINT) AS total_orders,
        avg(distance_km) AS avg_delivery_distance,
        CAST(COUNT(DISTINCT payment_method) AS BIGINT) AS payment_methods_used
 FROM joined GROUP BY customer_segment"""
+SEGMENT_AGG = _money(SEGMENT_AGG)
 
 MONTHLY_AGG = """
 SELECT order_year, order_month, CAST(COUNT(*) AS BIGINT) AS total_orders,
@@ -82,6 +99,7 @@ SELECT order_year, order_month, CAST(COUNT(*) AS BIGINT) AS total_orders,
        avg(distance_km) AS avg_delivery_distance,
        CAST(COUNT(DISTINCT customer_segment) AS BIGINT) AS segments_served
 FROM joined GROUP BY order_year, order_month"""
+MONTHLY_AGG = _money(MONTHLY_AGG)
 
 
 def _pct(num: str, den: str) -> str:
@@ -286,6 +304,9 @@ FROM (SELECT payment_method, CAST(COUNT(*) AS BIGINT) AS order_count,
         f"WHERE order_date >= TIMESTAMP '{start} 00:00:00' AND order_date < TIMESTAMP '{end} 00:00:00' + INTERVAL 1 DAY",
         ("clean_orders",))
 
+    for name in ("delivery_analysis", "customer_ranking", "payment_analysis", "kpi_summary"):
+        q[name] = _money(q[name])
+
     q["lineitem_rule_results"] = _lineitem_rule_results()
     q["lineitem_quality"] = _lineitem_quality()
     return q

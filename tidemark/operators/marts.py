@@ -71,6 +71,19 @@ def join_orders(orders: DataFrame, customers: DataFrame, delivery: DataFrame,
     return joined.select(*[F.col(f"{side}.{col}").alias(out) for side, col, out in JOINED_COLUMNS])
 
 
+def money_sum(c: str) -> Column:
+    """Exact sum of a 2-decimal measure: added as whole hundredths (longs), so the result does not depend
+    on the order in which partial sums are combined. Every measure of the joined table is rounded to 2
+    decimals by cleaning, so nothing is lost."""
+    return F.sum(F.round(F.col(c) * 100).cast("bigint")) / 100.0
+
+
+def money_avg(c: str) -> Column:
+    """Exact average of a 2-decimal measure (sum of hundredths / (count * 100), one correctly rounded
+    division); null when no value is present, like ``avg``."""
+    return F.try_divide(F.sum(F.round(F.col(c) * 100).cast("bigint")), F.count(c) * 100.0)
+
+
 def _delayed(flag: str = "is_delayed") -> tuple[Column, Column]:
     """(delayed, on_time) counts; a null flag counts in neither."""
     return (F.count_if(F.col(flag)).alias("delayed_orders"),
@@ -95,11 +108,11 @@ def segment_analysis(joined: DataFrame) -> DataFrame:
     return (joined.groupBy("customer_segment").agg(
         F.count(F.lit(1)).alias("total_orders"),
         F.count_distinct("customer_id").alias("unique_customers"),
-        F.avg("order_total").alias("avg_order_value"),
-        F.sum("order_total").alias("total_revenue"),
-        F.avg("delivery_time_minutes").alias("avg_delivery_time"),
+        money_avg("order_total").alias("avg_order_value"),
+        money_sum("order_total").alias("total_revenue"),
+        money_avg("delivery_time_minutes").alias("avg_delivery_time"),
         delayed, on_time,
-        F.avg("distance_km").alias("avg_delivery_distance"),
+        money_avg("distance_km").alias("avg_delivery_distance"),
         F.count_distinct("payment_method").alias("payment_methods_used"),
     ).withColumns({
         "delivery_success_rate": _pct("on_time_orders", "total_orders"),
@@ -114,11 +127,11 @@ def monthly_performance(joined: DataFrame) -> DataFrame:
     return (joined.groupBy("order_year", "order_month").agg(
         F.count(F.lit(1)).alias("total_orders"),
         F.count_distinct("customer_id").alias("unique_customers"),
-        F.sum("order_total").alias("total_revenue"),
-        F.avg("order_total").alias("avg_order_value"),
-        F.avg("delivery_time_minutes").alias("avg_delivery_time"),
+        money_sum("order_total").alias("total_revenue"),
+        money_avg("order_total").alias("avg_order_value"),
+        money_avg("delivery_time_minutes").alias("avg_delivery_time"),
         delayed, on_time,
-        F.avg("distance_km").alias("avg_delivery_distance"),
+        money_avg("distance_km").alias("avg_delivery_distance"),
         F.count_distinct("customer_segment").alias("segments_served"),
     ).withColumns({
         "delivery_success_rate": _pct("on_time_orders", "total_orders"),
@@ -145,10 +158,10 @@ def delivery_analysis(joined: DataFrame) -> DataFrame:
     """A3: by (delay_category, delivery_status), with share of all orders."""
     grouped = joined.groupBy("delay_category", "delivery_status").agg(
         F.count(F.lit(1)).alias("order_count"),
-        F.avg("delivery_time_minutes").alias("avg_delivery_time"),
-        F.avg("distance_km").alias("avg_distance"),
-        F.avg("delivery_efficiency").alias("avg_efficiency"),
-        F.sum("order_total").alias("total_revenue"),
+        money_avg("delivery_time_minutes").alias("avg_delivery_time"),
+        money_avg("distance_km").alias("avg_distance"),
+        money_avg("delivery_efficiency").alias("avg_efficiency"),
+        money_sum("order_total").alias("total_revenue"),
         F.count_distinct("customer_id").alias("affected_customers"),
     )
     return (_share_of_total(grouped, "order_count")
@@ -214,9 +227,9 @@ def customer_ranking(joined: DataFrame, partitions: int | None = None) -> DataFr
     delayed, on_time = _delayed()
     per_customer = joined.groupBy("customer_id", "customer_name", "customer_segment", "is_premium").agg(
         F.count(F.lit(1)).alias("order_count"),
-        F.sum("order_total").alias("total_revenue"),
-        F.avg("order_total").alias("avg_order_value"),
-        F.avg("delivery_time_minutes").alias("avg_delivery_time"),
+        money_sum("order_total").alias("total_revenue"),
+        money_avg("order_total").alias("avg_order_value"),
+        money_avg("delivery_time_minutes").alias("avg_delivery_time"),
         delayed, on_time,
     ).withColumn("delivery_success_rate", _pct("on_time_orders", "order_count"))
     ranked = rank_within(per_customer, "customer_segment", F.round("total_revenue", 2),
@@ -231,9 +244,9 @@ def payment_analysis(joined: DataFrame) -> DataFrame:
     grouped = joined.groupBy("payment_method").agg(
         F.count(F.lit(1)).alias("order_count"),
         F.count_distinct("customer_id").alias("unique_customers"),
-        F.sum("order_total").alias("total_revenue"),
-        F.avg("order_total").alias("avg_order_value"),
-        F.avg("delivery_time_minutes").alias("avg_delivery_time"),
+        money_sum("order_total").alias("total_revenue"),
+        money_avg("order_total").alias("avg_order_value"),
+        money_avg("delivery_time_minutes").alias("avg_delivery_time"),
         delayed, on_time,
     ).withColumn("delivery_success_rate", _pct("on_time_orders", "order_count"))
     return _share_of_total(grouped, "order_count")
@@ -250,10 +263,10 @@ def kpi_summary(joined: DataFrame) -> DataFrame:
     premium_null_id = F.when(F.col("is_premium") & F.col("customer_id").isNull(), 1)
     values = joined.agg(
         F.count(F.lit(1)).alias("m0"),
-        F.sum("order_total").alias("m1"),
+        money_sum("order_total").alias("m1"),
         _distinct_with_null(F.col("customer_id")).alias("m2"),
-        F.avg("order_total").alias("m3"),
-        F.avg("delivery_time_minutes").alias("m4"),
+        money_avg("order_total").alias("m3"),
+        money_avg("delivery_time_minutes").alias("m4"),
         (F.try_divide(F.count_if(~F.col("is_delayed")), F.count(F.lit(1))) * 100).alias("m5"),
         (F.count_distinct(premium_customer) + F.coalesce(F.max(premium_null_id), F.lit(0))).alias("m6"),
         _distinct_with_null(F.col("customer_segment")).alias("m7"),

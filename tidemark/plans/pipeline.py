@@ -20,7 +20,7 @@ from tidemark.operators import transforms as T
 from tidemark.operators.engine import Checked, Gate
 from tidemark.plans import checks
 from tidemark.plans.incremental import in_window
-from tidemark.session import checkpoint_dir, materialize, run_concurrently
+from tidemark.session import checkpoint_dir, materialize, run_concurrently, spread
 from tidemark.sources import catalog, sinks
 
 TABLES = ("orders", "customers", "delivery_performance")
@@ -77,7 +77,10 @@ class Flow:
     def processed(self, table: str) -> DataFrame:
         """Processed table, written once: every rule pass then reads only the columns it needs."""
         if table not in self._processed:
-            self._processed[table] = materialize(self.processed_plan(table), f"processed-{table}")
+            plan = self.processed_plan(table)
+            if checkpoint_dir(self.spark) is not None:
+                plan = spread(plan)
+            self._processed[table] = materialize(plan, f"processed-{table}")
         return self._processed[table]
 
     def rules(self, table: str):

@@ -55,6 +55,16 @@ def checkpoint_dir(spark: SparkSession) -> str | None:
     return value or None
 
 
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Round-robin ``df`` over ``min_partitions`` (default: the cluster's default parallelism) only when it
+    has fewer partitions than that, e.g. when it comes from a few unsplittable files. Inputs that are
+    already split widely pass through without a shuffle."""
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < target:
+        return df.repartition(target)
+    return df
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once as parquet under the shared folder and return a scan of it.
 
