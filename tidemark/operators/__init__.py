@@ -1,0 +1 @@
+"""Table operators: transforms, the rule model and engine, quality reports, join and marts."""

@@ -54,10 +54,14 @@ class RunConfig:
 class Flow:
     """Lazily built stages over three raw tables (orders, customers, delivery_performance)."""
 
-    def __init__(self, spark: SparkSession, raw: dict[str, DataFrame], config: RunConfig | None = None):
+    def __init__(self, spark: SparkSession, raw: dict[str, DataFrame], config: RunConfig | None = None,
+                 processed_target=None):
+        """``processed_target(table) -> target`` publishes each processed table where the run wants it
+        and reuses that copy for the rule passes (one write instead of two)."""
         self.spark = spark
         self.raw = raw
         self.config = config or RunConfig()
+        self.processed_target = processed_target
         self._processed: dict[str, DataFrame] = {}
         self._checked: dict[str, Checked] = {}
 
@@ -78,9 +82,14 @@ class Flow:
         """Processed table, written once: every rule pass then reads only the columns it needs."""
         if table not in self._processed:
             plan = self.processed_plan(table)
-            if checkpoint_dir(self.spark) is not None:
+            if checkpoint_dir(self.spark) is not None or self.processed_target:
                 plan = spread(plan)
-            self._processed[table] = materialize(plan, f"processed-{table}")
+            if self.processed_target:
+                target = self.processed_target(table)
+                sinks.write_table(T.stamp_processed(plan), target)
+                self._processed[table] = sinks.read_table(self.spark, target)
+            else:
+                self._processed[table] = materialize(plan, f"processed-{table}")
         return self._processed[table]
 
     def rules(self, table: str):
@@ -159,37 +168,45 @@ def run(spark: SparkSession, raw: dict[str, DataFrame], out_prefix: str,
 
     Returns the row-count report (S6) of everything written. ``out_prefix`` is a folder or a catalog
     namespace; in incremental mode month-partitioned outputs are overwritten only for touched months.
+    The three tables are checked with overlapping jobs, and once the shared stages exist the published
+    tables (independent of each other) are written concurrently.
     """
     cfg = config or RunConfig()
-    flow = Flow(spark, raw, cfg)
     batch = cfg.batch_id or _dt.datetime.now().strftime("%Y%m%d_%H%M%S")
     sep = "/" if "/" in out_prefix else "."
     target = lambda name: f"{out_prefix.rstrip(sep)}{sep}{name}"
     incremental = cfg.run_mode == "incremental"
-    written: dict[str, str] = {}
-
-    def publish(name: str, df: DataFrame, by_month: bool = False) -> None:
-        if incremental and by_month:
-            sinks.overwrite_partitions(df, target(name), ["order_month"])
-        else:
-            sinks.write_table(df, target(name))
-        written[name] = target(name)
+    flow = Flow(spark, raw, cfg, processed_target=None if incremental else (lambda t: target(f"processed_{t}")))
+    outputs: list[tuple[str, DataFrame, bool]] = []
 
+    flow.check_all()
+    logs = None
     for table in TABLES:
-        publish(f"processed_{table}", T.stamp_processed(flow.processed(table)), by_month=table == "orders")
-        publish(f"final_{table}", flow.valid(table), by_month=table == "orders")
-        publish(f"quarantine_{table}", flow.quarantine(table), by_month=table == "orders")
+        if incremental:
+            outputs.append((f"processed_{table}", T.stamp_processed(flow.processed(table)), table == "orders"))
+        outputs.append((f"final_{table}", flow.valid(table), table == "orders"))
+        outputs.append((f"quarantine_{table}", flow.quarantine(table), table == "orders"))
         log = reporting.rule_log(flow.checked(table), run_id=batch, valid_table=target(f"final_{table}"),
                                  quarantine_table=target(f"quarantine_{table}"))
-        sinks.append_table(log, target("dq_test_logs"))
-        written["dq_test_logs"] = target("dq_test_logs")
-    publish("data_quality_summary", flow.quality_summary())
-
+        logs = log if logs is None else logs.unionByName(log)
+    outputs.append(("data_quality_summary", flow.quality_summary(), False))
     analytics = flow.joined.withColumns({"_created_timestamp": F.current_timestamp(),
                                          "_batch_id": F.lit(f"batch_{batch}")})
-    publish("analytics_main", analytics, by_month=True)
+    outputs.append(("analytics_main", analytics, True))
     for name, df in flow.marts().items():
-        stamped = df.withColumn("_created_timestamp", F.current_timestamp())
-        publish(name, stamped, by_month=False)
-    publish("table_metadata", catalog.table_metadata(spark))
+        outputs.append((name, df.withColumn("_created_timestamp", F.current_timestamp()), False))
+    outputs.append(("table_metadata", catalog.table_metadata(spark), False))
+
+    def publish(name: str, df: DataFrame, by_month: bool) -> None:
+        if incremental and by_month:
+            sinks.overwrite_partitions(df, target(name), ["order_month"])
+        else:
+            sinks.write_table(df, target(name))
+
+    run_concurrently([lambda o=o: publish(*o) for o in outputs])
+    sinks.append_table(logs, target("dq_test_logs"))
+    written = {name: target(name) for name, _, _ in outputs}
+    if not incremental:
+        written.update({f"processed_{t}": target(f"processed_{t}") for t in TABLES})
+    written["dq_test_logs"] = target("dq_test_logs")
     return catalog.table_row_counts(spark, written)

@@ -1,0 +1,6 @@
+"""Streaming: intentionally empty.
+
+The workload is batch only: there is no stream source, watermark or stateful operator to rebuild.
+Incremental runs are a closed date window on ``order_date`` pushed to the scan plus a dynamic
+partition overwrite of the touched months (``tidemark.plans.incremental`` and ``sources.sinks``).
+"""
