@@ -36,7 +36,14 @@ from tidemark.operators.rules import (
     Rule,
     SqlQuery,
 )
-from tidemark.session import checkpoint_dir, materialize, materialize_observed, run_concurrently
+from tidemark.session import (
+    checkpoint_dir,
+    estimated_row_bytes,
+    fits_broadcast,
+    materialize,
+    materialize_observed,
+    run_concurrently,
+)
 
 ERRORS = "_errors"
 WARNINGS = "_warnings"
@@ -48,21 +55,25 @@ QUARANTINE_POLICIES = ("error", "any")
 class Gate:
     """Decides how a violating-key frame is joined back.
 
-    With a shared folder the frame is written once and counted: 0 rows -> no join at all,
-    ``<= max_rows`` -> broadcast hash join, more -> shuffle join. Without one, AQE decides from runtime
-    shuffle statistics.
+    With a shared folder the frame is written once while its rows and estimated in-memory bytes are
+    observed in the same job: 0 rows -> no join at all; at most ``max_rows`` rows and ``max_bytes``
+    bytes (default: the session's ``spark.sql.autoBroadcastJoinThreshold``) -> broadcast hash join;
+    otherwise a shuffle join (AQE splits skewed partitions). Without a shared folder the frame stays
+    lazy and AQE decides from runtime shuffle statistics.
     """
 
     max_rows: int = 2_000_000
+    max_bytes: int | None = None
 
     def prepare(self, frame: DataFrame, name: str) -> DataFrame | None:
         if checkpoint_dir(frame.sparkSession) is None:
             return frame
-        frame, metrics = materialize_observed(frame, name, rows=F.count(F.lit(1)))
-        n = metrics["rows"]
-        if n == 0:
+        frame, metrics = materialize_observed(frame, name, rows=F.count(F.lit(1)),
+                                              bytes=F.coalesce(F.sum(estimated_row_bytes(frame)), F.lit(0)))
+        if metrics["rows"] == 0:
             return None
-        return F.broadcast(frame) if n <= self.max_rows else frame
+        small = fits_broadcast(frame.sparkSession, metrics["rows"], metrics["bytes"], self.max_rows, self.max_bytes)
+        return F.broadcast(frame) if small else frame
 
 
 @dataclass

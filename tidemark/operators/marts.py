@@ -11,7 +11,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.session import checkpoint_dir, materialize
+from tidemark.session import (
+    checkpoint_dir,
+    estimated_row_bytes,
+    fits_broadcast,
+    materialize,
+    materialize_observed,
+)
 
 # --- fixed values: the joined table's columns (source alias, column, output name) -------------------
 JOINED_COLUMNS = (
@@ -48,6 +54,11 @@ KPI_METRICS = (
 )
 
 
+def side_columns(side: str) -> list[str]:
+    """Columns the join reads from one side ("o", "c" or "d")."""
+    return sorted({col for s, col, _ in JOINED_COLUMNS if s == side})
+
+
 def join_orders(orders: DataFrame, customers: DataFrame, delivery: DataFrame,
                 broadcast_customers: bool | None = None) -> DataFrame:
     """Orders left-joined to customers (on customer_id) and delivery (on order_id), 18 columns.
@@ -206,10 +217,11 @@ def rank_within(df: DataFrame, group: str, order_key: Column, rank_col: str, max
     before = Window.partitionBy(group).orderBy("_rk_part").rowsBetween(Window.unboundedPreceding, -1)
     stats = stats.withColumn("_rk_offset", F.coalesce(F.sum("_rk_n").over(before), F.lit(0)))
     stats = stats.withColumn(max_col, F.max(F.col("_rk_offset") + F.col("_rk_last")).over(Window.partitionBy(group)))
-    stats = materialize(stats.select(F.col("_rk_part").alias("_rk_part_s"), F.col(group).alias("_rk_group_s"),
-                                     "_rk_offset", F.col(max_col).cast("int")),
-                        "rank-stats")
-    if stats.count() <= broadcast_rows:
+    stats = stats.select(F.col("_rk_part").alias("_rk_part_s"), F.col(group).alias("_rk_group_s"),
+                         "_rk_offset", F.col(max_col).cast("int"))
+    stats, m = materialize_observed(stats, "rank-stats", rows=F.count(F.lit(1)),
+                                    bytes=F.coalesce(F.sum(estimated_row_bytes(stats)), F.lit(0)))
+    if fits_broadcast(spark, m["rows"], m["bytes"], broadcast_rows):
         stats = F.broadcast(stats)
     joined = local.join(stats, (F.col("_rk_part") == F.col("_rk_part_s"))
                         & F.col(group).eqNullSafe(F.col("_rk_group_s")), "inner")

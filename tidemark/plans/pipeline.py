@@ -20,7 +20,14 @@ from tidemark.operators import transforms as T
 from tidemark.operators.engine import Checked, Gate
 from tidemark.plans import checks
 from tidemark.plans.incremental import in_window
-from tidemark.session import checkpoint_dir, materialize, run_concurrently, spread
+from tidemark.session import (
+    checkpoint_dir,
+    estimated_row_bytes,
+    fits_broadcast,
+    materialize,
+    run_concurrently,
+    spread,
+)
 from tidemark.sources import catalog, sinks
 
 TABLES = ("orders", "customers", "delivery_performance")
@@ -126,15 +133,14 @@ class Flow:
 
     # published ----------------------------------------------------------------------------------
     def _broadcast_customers(self) -> bool | None:
-        """Broadcast the customer side only when its materialised row count is known and small."""
+        """Broadcast the customer side only when its measured size (rows and estimated bytes of the
+        columns the join reads, one aggregation pass) is within the broadcast bounds."""
         if checkpoint_dir(self.spark) is None:
             return None
-        stats = self.checked("customers").stats
-        if stats and self.config.quarantine_on == "error":
-            rows = stats["rows"] - stats["error_rows"]
-        else:
-            rows = self.valid("customers").count()
-        return rows <= self.config.customers_broadcast_rows
+        side = self.valid("customers").select("customer_id", *marts.side_columns("c"))
+        m = side.agg(F.count(F.lit(1)).alias("rows"),
+                     F.coalesce(F.sum(estimated_row_bytes(side)), F.lit(0)).alias("bytes")).first()
+        return fits_broadcast(self.spark, m["rows"], m["bytes"], self.config.customers_broadcast_rows)
 
     @cached_property
     def joined(self) -> DataFrame:

@@ -14,6 +14,7 @@ from concurrent.futures import ThreadPoolExecutor
 from typing import TypeVar
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 
@@ -29,6 +30,7 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str =
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.sql.autoBroadcastJoinThreshold", str(64 << 20))
         .config("spark.driver.memory", "16g")
         .getOrCreate()
     )
@@ -94,6 +96,47 @@ def materialize_observed(df: DataFrame, name: str, **metrics: Column) -> tuple[D
     return df.sparkSession.read.parquet(path), dict(observation.get)
 
 
+def estimated_row_bytes(frame: DataFrame) -> Column:
+    """Rough in-memory size of one row: 48 bytes of row overhead, string bytes, 8 bytes per other
+    scalar, 24 bytes plus text per array element. Summed while a frame is written, it gives the size
+    a broadcast decision is checked against."""
+    size = F.lit(48)
+    for f in frame.schema.fields:
+        c = F.col(f.name)
+        kind = f.dataType.simpleString()
+        if kind == "string":
+            size = size + F.coalesce(F.octet_length(c), F.lit(0))
+        elif kind.startswith("array"):
+            size = size + F.coalesce(F.size(c) * 24 + F.octet_length(F.array_join(c, "")), F.lit(0))
+        else:
+            size = size + 8
+    return size.cast("bigint")
+
+
+def _parse_bytes(text: str | None) -> int:
+    if not text:
+        return -1
+    t = text.strip().lower()
+    units = {"b": 1, "k": 1 << 10, "kb": 1 << 10, "m": 1 << 20, "mb": 1 << 20, "g": 1 << 30, "gb": 1 << 30}
+    for suffix in sorted(units, key=len, reverse=True):
+        number = t[: -len(suffix)].strip()
+        if t.endswith(suffix) and number.lstrip("-").isdigit():
+            return int(number) * units[suffix]
+    return int(t) if t.lstrip("-").isdigit() else -1
+
+
+def broadcast_byte_limit(spark: SparkSession) -> int:
+    """The session's ``spark.sql.autoBroadcastJoinThreshold`` in bytes (-1: never broadcast)."""
+    return _parse_bytes(spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760b"))
+
+
+def fits_broadcast(spark: SparkSession, rows: int, nbytes: int, max_rows: int,
+                   max_bytes: int | None = None) -> bool:
+    """True when a measured frame is within both the row and the byte bound."""
+    limit = broadcast_byte_limit(spark) if max_bytes is None else max_bytes
+    return rows <= max_rows and 0 <= nbytes <= limit
+
+
 T = TypeVar("T")
 
 
