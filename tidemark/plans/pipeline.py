@@ -93,7 +93,8 @@ class Flow:
                 plan = spread(plan)
             if self.processed_target:
                 target = self.processed_target(table)
-                sinks.write_table(T.stamp_processed(plan), target)
+                sinks.write_table(T.stamp_processed(plan), target,
+                                  partition_by=["order_month"] if table == "orders" else None)
                 self._processed[table] = sinks.read_table(self.spark, target)
             else:
                 self._processed[table] = materialize(plan, f"processed-{table}")
@@ -207,7 +208,7 @@ def run(spark: SparkSession, raw: dict[str, DataFrame], out_prefix: str,
         if incremental and by_month:
             sinks.overwrite_partitions(df, target(name), ["order_month"])
         else:
-            sinks.write_table(df, target(name))
+            sinks.write_table(df, target(name), partition_by=["order_month"] if by_month else None)
 
     run_concurrently([lambda o=o: publish(*o) for o in outputs])
     sinks.append_table(logs, target("dq_test_logs"))

@@ -6,6 +6,8 @@ A target is either a path (contains ``/``) or a catalog table name. All writes a
 
 from __future__ import annotations
 
+import threading
+
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -18,9 +20,17 @@ def read_table(spark: SparkSession, target: str) -> DataFrame:
     return spark.read.parquet(target) if _is_path(target) else spark.table(target)
 
 
+def _rebalanced(df: DataFrame, partition_by: list[str]) -> DataFrame:
+    """Rows of a partition value gathered into few tasks, with AQE splitting a hot value into
+    advisory-sized pieces: few files per partition and no single task holding a hot month."""
+    return df.hint("rebalance", *partition_by)
+
+
 def write_table(df: DataFrame, target: str, mode: str = "overwrite",
                 partition_by: list[str] | None = None) -> None:
-    """Full-refresh (S3) or append (S10) write."""
+    """Full-refresh (S3) or append (S10) write, optionally partitioned."""
+    if partition_by:
+        df = _rebalanced(df, partition_by)
     writer = df.write.mode(mode)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
@@ -35,22 +45,30 @@ def append_table(df: DataFrame, target: str) -> None:
     write_table(df, target, mode="append")
 
 
+_CONF_LOCK = threading.Lock()
+
+
 def overwrite_partitions(df: DataFrame, target: str, partition_by: list[str]) -> None:
     """Replace only the partitions present in ``df`` (incremental runs, S11).
 
-    Uses Spark's dynamic partition overwrite, so months outside the run window are left untouched.
+    Dynamic partition overwrite is requested per write (writer option), so concurrent writes in the
+    same session are not affected; months outside the run window are left untouched.
     """
     spark = df.sparkSession
-    previous = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    try:
-        if _is_path(target):
-            df.write.mode("overwrite").partitionBy(*partition_by).parquet(target)
-        elif spark.catalog.tableExists(target):
-            # insertInto matches by position: order columns as the table declares them.
-            columns = spark.table(target).columns
+    df = _rebalanced(df, partition_by)
+    if _is_path(target):
+        (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy(*partition_by).parquet(target))
+        return
+    if not spark.catalog.tableExists(target):
+        df.write.mode("overwrite").partitionBy(*partition_by).format("parquet").saveAsTable(target)
+        return
+    # insertInto matches by position and takes the mode from the session: set it under a lock.
+    columns = spark.table(target).columns
+    with _CONF_LOCK:
+        previous = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
+        spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+        try:
             df.select(*columns).write.insertInto(target, overwrite=True)
-        else:
-            df.write.mode("overwrite").partitionBy(*partition_by).format("parquet").saveAsTable(target)
-    finally:
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", previous)
+        finally:
+            spark.conf.set("spark.sql.sources.partitionOverwriteMode", previous)
