@@ -185,3 +185,15 @@ def test_freshness_with_current_time(spark):
     report = E.freshness_report(df, "ts", 60, 1, 3, curr_timestamp="2024-01-01 03:30:00").orderBy("window_start")
     assert [(str(x.window_start), x.records) for x in report.collect()] == [
         ("2024-01-01 00:00:00", 1), ("2024-01-01 01:00:00", 1), ("2024-01-01 02:00:00", 0)]
+
+
+def test_freshness_with_current_time_pushes_the_window_to_the_scan(spark, tmpdir_path):
+    base = dt.datetime(2024, 1, 1, 0, 0)
+    path = f"{tmpdir_path}/events"
+    _events(spark, [base + dt.timedelta(minutes=m) for m in range(0, 600, 7)]).write.parquet(path)
+    df = spark.read.parquet(path)
+    report = E.freshness_report(df, "ts", 60, 1, 3, curr_timestamp="2024-01-01 05:30:00")
+    plan = report._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters: [IsNotNull(ts), GreaterThanOrEqual(ts" in plan
+    # multiples of 7 minutes in 02:00-03:00, 03:00-04:00, 04:00-05:00
+    assert [x.records for x in report.orderBy("window_start").collect()] == [8, 9, 8]

@@ -20,6 +20,7 @@ So the full rows are scanned once, and shuffled only when a violating-key set is
 
 from __future__ import annotations
 
+import datetime as _dt
 import re
 import uuid
 from collections.abc import Iterable
@@ -192,15 +193,29 @@ def window_start(ts: Column, minutes: int, ts_type: str) -> Column:
     return F.timestamp_add("MINUTE", (F.floor(seconds / (60 * minutes)) * minutes).cast("int"), epoch)
 
 
+def _floor_to_window(text: str, minutes: int) -> _dt.datetime:
+    ts = _dt.datetime.fromisoformat(text)
+    seconds = int((ts - _dt.datetime(1970, 1, 1)).total_seconds())
+    return _dt.datetime(1970, 1, 1) + _dt.timedelta(seconds=seconds - seconds % (60 * minutes))
+
+
 def _freshness(df: DataFrame, check: Freshness) -> tuple[Column, DataFrame]:
-    """(window-start expression, lookback windows (wstart, records): at most lookback_windows rows)."""
+    """(window-start expression, lookback windows (wstart, records): at most lookback_windows rows).
+
+    With ``curr_timestamp`` the lookback bounds are literals: the row filter is pushed to the scan, so
+    only the lookback span is read. Otherwise the end is the end of the last window holding data.
+    """
     ts_type = df.schema[check.column].dataType.simpleString()
     wstart = window_start(F.col(check.column), check.window_minutes, ts_type)
     span = check.window_minutes * check.lookback_windows
+    rows = df
     if check.curr_timestamp:
-        end_lit = F.lit(check.curr_timestamp).cast(ts_type)
-        bounds = df.sparkSession.range(1).select(
-            window_start(end_lit, check.window_minutes, ts_type).alias("_end"))
+        end = _floor_to_window(check.curr_timestamp, check.window_minutes)
+        start = end - _dt.timedelta(minutes=span)
+        bounds = df.sparkSession.range(1).select(F.lit(end.isoformat(sep=" ")).cast(ts_type).alias("_end"))
+        c = F.col(check.column)
+        rows = df.filter((c >= F.lit(start.isoformat(sep=" ")).cast(ts_type))
+                         & (c < F.lit(end.isoformat(sep=" ")).cast(ts_type)))
     else:
         bounds = df.agg(F.max(wstart).alias("_last")).select((F.col("_last") + _interval(check.window_minutes))
                                                              .alias("_end"))
@@ -208,7 +223,7 @@ def _freshness(df: DataFrame, check: Freshness) -> tuple[Column, DataFrame]:
                                                F.col("_end") - _interval(check.window_minutes),
                                                _interval(check.window_minutes))).alias("wstart"))
     # The spine has at most lookback_windows rows: a bounded broadcast.
-    counts = (df.select(wstart.alias("wstart")).join(F.broadcast(spine), "wstart")
+    counts = (rows.select(wstart.alias("wstart")).join(F.broadcast(spine), "wstart")
               .groupBy("wstart").agg(F.count(F.lit(1)).alias("records")))
     windows = spine.join(counts, "wstart", "left").select(
         "wstart", F.coalesce("records", F.lit(0)).alias("records"))
