@@ -39,6 +39,30 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str =
     return spark
 
 
+def scale_conf(input_bytes: int, total_cores: int, partition_bytes: int = 256 << 20,
+               max_shuffle_partitions: int = 50_000) -> dict[str, str]:
+    """Session settings for a large cluster run, sized from the input volume and the core count.
+
+    Scans split at ``partition_bytes`` (about input/256 MB tasks); shuffles start with one partition per
+    ``partition_bytes`` of input (at least two per core, capped so map statuses stay small) and AQE
+    coalesces them to ``partition_bytes`` at run time and splits skewed join partitions. Broadcasts
+    stay at 64 MB: every explicit broadcast in the library is checked against this threshold.
+    """
+    shuffle = int(min(max(2 * total_cores, input_bytes // partition_bytes), max_shuffle_partitions))
+    return {
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(shuffle),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.shuffle.partitions": str(shuffle),
+        "spark.sql.files.maxPartitionBytes": str(partition_bytes),
+        "spark.sql.autoBroadcastJoinThreshold": str(64 << 20),
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 << 20),
+        "spark.sql.parquet.filterPushdown": "true",
+    }
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Use the cluster's checkpoint folder; create a scratch one only where none is configured (tests)."""
     current = checkpoint_dir(spark)
