@@ -90,3 +90,19 @@ def test_csv_files_to_marts_match_parquet_fixtures(spark, tmpdir_path):
 
     assert segments(loaded) == segments(raw)
     assert loaded["orders"].filter(F.col("_batch_id") != "b1").count() == 0
+
+
+def test_command_line_load_and_run(spark, tmpdir_path):
+    from tidemark.__main__ import main
+    from tidemark.sources import csv
+
+    raw = fixtures.raw_tables(spark, SF_SMALL)
+    src = f"{tmpdir_path}/csv"
+    for table, df in raw.items():
+        (df.coalesce(1).write.option("header", True).option("timestampNTZFormat", csv.TIMESTAMP_FORMAT)
+         .csv(f"{src}/{table}.csv"))
+    # the default registry expects all eight files: the five raw-only ones are missing -> exit code 1
+    assert main(["load", "--csv-folder", src, "--raw", f"{tmpdir_path}/raw", "--batch-id", "b"]) == 1
+    assert main(["run", "--raw", f"{tmpdir_path}/raw", "--out", f"{tmpdir_path}/out", "--as-of", "2025-01-01",
+                 "--batch-id", "b"]) == 0
+    assert spark.read.parquet(f"{tmpdir_path}/out/kpi_summary").count() == 8

@@ -37,7 +37,7 @@ def clear_flows() -> None:
 
 
 def flow(spark: SparkSession, sf_dir: str, **config) -> Flow:
-    key = (id(spark), sf_dir.rstrip("/"), tuple(sorted(config.items())))
+    key = (spark.sparkContext.applicationId, id(spark), sf_dir.rstrip("/"), tuple(sorted(config.items())))
     if key not in _FLOWS:
         cfg = RunConfig(as_of=AS_OF, **config)
         _FLOWS[key] = Flow(spark, fixtures.raw_tables(spark, sf_dir), cfg)
