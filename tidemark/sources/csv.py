@@ -94,11 +94,12 @@ def load_csv_table(spark: SparkSession, folder: str, file_name: str, target: str
                    batch_id: str, **read_options) -> LoadOutcome:
     """Load one CSV file into one raw table; never raises.
 
-    The row count is taken from the written table, so the CSV is parsed once.
+    ``_source_file`` is the registry's file name. The row count is taken from the written table, so the
+    CSV is parsed once.
     """
     try:
         df = read_csv(spark, f"{folder.rstrip('/')}/{file_name}", schema, **read_options)
-        write_table(with_lineage(df, batch_id), target, mode="overwrite")
+        write_table(with_lineage(df, batch_id, file_name), target, mode="overwrite")
         rows = read_table(spark, target).count()
         return LoadOutcome(file_name, target, True, rows, None)
     except Exception as exc:  # one bad file must not stop the others
