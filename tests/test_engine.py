@@ -197,3 +197,19 @@ def test_freshness_with_current_time_pushes_the_window_to_the_scan(spark, tmpdir
     assert "PushedFilters: [IsNotNull(ts), GreaterThanOrEqual(ts" in plan
     # multiples of 7 minutes in 02:00-03:00, 03:00-04:00, 04:00-05:00
     assert [x.records for x in report.orderBy("window_start").collect()] == [8, 9, 8]
+
+
+def test_history_rows_take_part_in_dataset_checks_only(spark):
+    new = spark.createDataFrame([("7", "a", 1.0, "ok"), ("8", "b", 2.0, "ok")], SCHEMA)
+    old = spark.createDataFrame([("7", "z", 5.0, "bad"), ("9", "a", 3.0, "ok")], SCHEMA)
+    rules = [rule("u", "error", is_unique(["id"])),
+             rule("per_cust", "warn", is_aggr_not_greater_than("id", "count", 1, group_by=["cust"])),
+             rule("st", "warn", sql_condition("status = 'bad'", ["id"])),
+             rule("rows", "error", is_aggr_not_less_than("*", "count", 3))]
+    alone, _ = flags(spark, rules, data=[tuple(r) for r in new.collect()])
+    assert all(r[3] == "rows" for r in alone)              # only 2 rows without history
+    checked = E.annotate(new, rules, history=old)
+    got = {r.id: (sorted(r._errors), sorted(r._warnings)) for r in checked.annotated.collect()}
+    assert set(got) == {"7", "8"}                          # history rows are not returned
+    assert got["7"] == (["u"], ["per_cust", "st"])         # duplicate of a published id; cust a has 2 ids
+    assert got["8"] == ([], [])

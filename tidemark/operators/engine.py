@@ -286,18 +286,28 @@ def _global_frame(df: DataFrame, members: list[Rule], tag: str) -> DataFrame:
     return frame.select("*", concat(errs).alias(f"{tag}_e"), concat(warns).alias(f"{tag}_w"))
 
 
-def annotate(df: DataFrame, rules: Iterable[Rule], gate: Gate | None = None) -> Checked:
+def annotate(df: DataFrame, rules: Iterable[Rule], gate: Gate | None = None,
+             history: DataFrame | None = None) -> Checked:
     """Evaluate ``rules`` on ``df``: adds ``_errors``, ``_warnings`` (arrays of rule names) and
     ``_data_quality_score`` (1 - violated rules / rules).
 
     All side frames (violating keys per key set, the 1-row table-wide frame, freshness windows) are
     built first and materialised concurrently; the annotate pass itself is then one scan of ``df`` joined
     to them.
+
+    ``history``: rows already published (e.g. outside an incremental run's window). They take part in
+    every dataset-level check (uniqueness, per-key limits and conditions, table-wide aggregates,
+    freshness) but are not annotated or returned, so an incremental run judges new rows against the
+    whole dataset.
     """
     rules = tuple(rules)
     _check_names(rules)
     gate = gate or Gate()
     run = uuid.uuid4().hex[:6]
+    source = df
+    if history is not None:
+        shared = [c for c in df.columns if c in history.columns]
+        source = df.unionByName(history.select(*shared), allowMissingColumns=True)
 
     groups: dict[tuple[str, ...], list[Rule]] = {}
     for r in rules:
@@ -306,16 +316,16 @@ def annotate(df: DataFrame, rules: Iterable[Rule], gate: Gate | None = None) ->
             groups.setdefault(key, []).append(r)
     tags = {key: f"__g{gi}" for gi, key in enumerate(groups)}
     fresh = [r for r in rules if isinstance(r.check, Freshness)]
-    fresh_parts = [_freshness(df, r.check) for r in fresh]
+    fresh_parts = [_freshness(source, r.check) for r in fresh]
 
     # side frames, materialised concurrently (small by construction, or gated by their measured size)
     tasks = []
     for key, members in groups.items():
         if key:
-            frame = _key_frame(df, key, members, tags[key])
+            frame = _key_frame(source, key, members, tags[key])
             tasks.append(lambda frame=frame, key=key: gate.prepare(frame, f"violations-{run}-{tags[key][3:]}"))
         else:  # one row
-            frame = _global_frame(df, members, tags[key])
+            frame = _global_frame(source, members, tags[key])
             tasks.append(lambda frame=frame: materialize(frame, f"global-{run}"))
     for i, (_, windows) in enumerate(fresh_parts):  # at most lookback_windows rows
         tasks.append(lambda windows=windows, i=i: materialize(windows, f"windows-{run}-{i}"))
