@@ -213,3 +213,14 @@ def test_history_rows_take_part_in_dataset_checks_only(spark):
     assert set(got) == {"7", "8"}                          # history rows are not returned
     assert got["7"] == (["u"], ["per_cust", "st"])         # duplicate of a published id; cust a has 2 ids
     assert got["8"] == ([], [])
+
+
+def test_window_start_ignores_session_time_zone(spark):
+    spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+    try:
+        df = spark.createDataFrame([("2024-03-10 02:30:00",), ("2024-07-01 10:59:59",), ("1969-12-31 23:30:00",)],
+                                   "x string").select(F.col("x").cast("timestamp_ntz").alias("ts"))
+        got = [str(r[0]) for r in df.select(E.window_start(F.col("ts"), 60, "timestamp_ntz")).collect()]
+        assert got == ["2024-03-10 02:00:00", "2024-07-01 10:00:00", "1969-12-31 23:00:00"]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")

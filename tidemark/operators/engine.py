@@ -184,13 +184,20 @@ def _interval(minutes: int) -> Column:
 
 
 def window_start(ts: Column, minutes: int, ts_type: str) -> Column:
-    """Start of the tumbling ``minutes`` window holding ``ts`` (epoch-aligned in the column's own clock).
+    """Start of the tumbling ``minutes`` window holding ``ts``, aligned to the epoch in the column's own
+    clock.
 
-    Plain arithmetic rather than ``window()``, which would also filter out rows whose time is null.
+    Plain interval arithmetic (``ts - epoch``, then whole minutes), so a ``timestamp_ntz`` column never
+    passes through the session time zone, and no row is dropped (``window()`` would also filter out
+    rows whose time is null).
     """
     epoch = F.lit("1970-01-01 00:00:00").cast(ts_type)
-    seconds = F.timestamp_diff("SECOND", epoch, ts)
-    return F.timestamp_add("MINUTE", (F.floor(seconds / (60 * minutes)) * minutes).cast("int"), epoch)
+    since = ts - epoch
+    whole_minutes = (F.extract(F.lit("DAY"), since).cast("bigint") * 1440
+                     + F.extract(F.lit("HOUR"), since).cast("bigint") * 60
+                     + F.extract(F.lit("MINUTE"), since).cast("bigint"))
+    bucket = F.floor(whole_minutes / minutes) * minutes
+    return F.timestamp_add("MINUTE", bucket.cast("int"), epoch)
 
 
 def _floor_to_window(text: str, minutes: int) -> _dt.datetime:
