@@ -6,16 +6,18 @@ Plan shape for one table (``annotate``):
    same ``groupBy`` (map-side partial aggregation, so a key holding a third of the table is combined in
    every task before the shuffle). Only violating keys are kept, with the names of the rules they break.
    SQL-query checks with the same merge key are reduced to one row per key and merged into that frame.
-2. Each violating-key frame is materialised in the shared folder and counted. Empty frames are dropped
-   from the plan; frames up to ``Gate.max_rows`` are broadcast; larger ones are joined by shuffle (AQE
-   splits skewed partitions). Keys match null-safely.
+2. Each violating-key frame is written to the shared folder; its rows and estimated bytes are observed
+   during that write. Empty frames are dropped from the plan; frames within ``Gate`` bounds (rows, and
+   bytes up to the broadcast threshold) are broadcast; larger ones are joined by shuffle (AQE splits
+   skewed partitions). Keys match null-safely. The side frames of one table are built concurrently.
 3. Global checks become one 1-row aggregate, cross-joined (one row, always broadcast).
 4. Freshness checks join rows to the under-filled windows of a spine of at most ``lookback_windows``
    rows.
 5. Row checks and the joined flags become two arrays in one projection: ``_errors`` and ``_warnings``
    (rule names). Without a shared folder the frames stay lazy and AQE picks the join strategy at run time.
 
-So the full rows are scanned once, and shuffled only when a violating-key set is large.
+So the full rows are scanned once, and shuffled only when a violating-key set is large. Optional
+``history`` rows (already published) join every dataset-level aggregation without being annotated.
 """
 
 from __future__ import annotations
