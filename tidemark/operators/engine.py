@@ -25,7 +25,7 @@ from __future__ import annotations
 import datetime as _dt
 import re
 import uuid
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -208,35 +208,47 @@ def _floor_to_window(text: str, minutes: int) -> _dt.datetime:
     return _dt.datetime(1970, 1, 1) + _dt.timedelta(seconds=seconds - seconds % (60 * minutes))
 
 
-def _freshness(df: DataFrame, check: Freshness) -> tuple[Column, DataFrame]:
-    """(window-start expression, lookback windows (wstart, records): at most lookback_windows rows).
+def _freshness(df: DataFrame, check: Freshness) -> tuple[Column, DataFrame, Callable[[DataFrame], DataFrame]]:
+    """(window-start expression, per-window counts, function: counts -> lookback windows).
 
-    With ``curr_timestamp`` the lookback bounds are literals: the row filter is pushed to the scan, so
-    only the lookback span is read. Otherwise the end is the end of the last window holding data.
+    Counts are one aggregation of the data: with ``curr_timestamp`` the lookback bounds are literals and
+    the row filter is pushed to the scan (only the lookback span is read); otherwise every window is
+    counted (bounded by the time span, not by the rows) and the lookback ends with the last window
+    holding data. The lookback windows (wstart, records) are at most ``lookback_windows`` rows.
     """
     ts_type = df.schema[check.column].dataType.simpleString()
     wstart = window_start(F.col(check.column), check.window_minutes, ts_type)
-    span = check.window_minutes * check.lookback_windows
-    rows = df
+    width = _interval(check.window_minutes)
+    span = _interval(check.window_minutes * check.lookback_windows)
+
+    def spine_from(bounds: DataFrame) -> DataFrame:
+        return bounds.select(F.explode(F.sequence(F.col("_end") - span, F.col("_end") - width, width))
+                             .alias("wstart"))
+
     if check.curr_timestamp:
         end = _floor_to_window(check.curr_timestamp, check.window_minutes)
-        start = end - _dt.timedelta(minutes=span)
-        bounds = df.sparkSession.range(1).select(F.lit(end.isoformat(sep=" ")).cast(ts_type).alias("_end"))
+        start = end - _dt.timedelta(minutes=check.window_minutes * check.lookback_windows)
         c = F.col(check.column)
         rows = df.filter((c >= F.lit(start.isoformat(sep=" ")).cast(ts_type))
                          & (c < F.lit(end.isoformat(sep=" ")).cast(ts_type)))
+        fixed_spine = spine_from(df.sparkSession.range(1).select(
+            F.lit(end.isoformat(sep=" ")).cast(ts_type).alias("_end")))
+        # The spine has at most lookback_windows rows: a bounded broadcast.
+        counts = (rows.select(wstart.alias("wstart")).join(F.broadcast(fixed_spine), "wstart")
+                  .groupBy("wstart").agg(F.count(F.lit(1)).alias("records")))
+
+        def windows_of(counts: DataFrame) -> DataFrame:
+            return fixed_spine.join(counts, "wstart", "left").select(
+                "wstart", F.coalesce("records", F.lit(0)).alias("records"))
     else:
-        bounds = df.agg(F.max(wstart).alias("_last")).select((F.col("_last") + _interval(check.window_minutes))
-                                                             .alias("_end"))
-    spine = bounds.select(F.explode(F.sequence(F.col("_end") - _interval(span),
-                                               F.col("_end") - _interval(check.window_minutes),
-                                               _interval(check.window_minutes))).alias("wstart"))
-    # The spine has at most lookback_windows rows: a bounded broadcast.
-    counts = (rows.select(wstart.alias("wstart")).join(F.broadcast(spine), "wstart")
-              .groupBy("wstart").agg(F.count(F.lit(1)).alias("records")))
-    windows = spine.join(counts, "wstart", "left").select(
-        "wstart", F.coalesce("records", F.lit(0)).alias("records"))
-    return wstart, windows
+        counts = (df.select(wstart.alias("wstart")).filter(F.col("wstart").isNotNull())
+                  .groupBy("wstart").agg(F.count(F.lit(1)).alias("records")))
+
+        def windows_of(counts: DataFrame) -> DataFrame:
+            spine = spine_from(counts.agg((F.max("wstart") + width).alias("_end")))
+            return spine.join(counts, "wstart", "left").select(
+                "wstart", F.coalesce("records", F.lit(0)).alias("records"))
+    return wstart, counts, windows_of
 
 
 def _window_outcome(windows: DataFrame, check: Freshness) -> tuple[DataFrame, DataFrame]:
@@ -255,7 +267,8 @@ def freshness_report(df: DataFrame, column: str, window_minutes: int, min_record
                      lookback_windows: int, curr_timestamp: str | None = None) -> DataFrame:
     """Q9 as a report: one row per lookback window (window_start, window_end, records, below_min)."""
     check = Freshness(column, window_minutes, min_records_per_window, lookback_windows, curr_timestamp)
-    _, windows = _freshness(df, check)
+    _, counts, windows_of = _freshness(df, check)
+    windows = windows_of(counts)
     return windows.select(
         F.col("wstart").alias("window_start"),
         (F.col("wstart") + _interval(window_minutes)).alias("window_end"),
@@ -336,8 +349,11 @@ def annotate(df: DataFrame, rules: Iterable[Rule], gate: Gate | None = None,
         else:  # one row
             frame = _global_frame(source, members, tags[key])
             tasks.append(lambda frame=frame: materialize(frame, f"global-{run}"))
-    for i, (_, windows) in enumerate(fresh_parts):  # at most lookback_windows rows
-        tasks.append(lambda windows=windows, i=i: materialize(windows, f"windows-{run}-{i}"))
+    for i, (_, counts, windows_of) in enumerate(fresh_parts):
+        # counts: one row per window of the data's time span, written once; then the lookback windows
+        # (at most lookback_windows rows) derived from that small table and written too
+        tasks.append(lambda counts=counts, windows_of=windows_of, i=i: materialize(
+            windows_of(materialize(counts, f"window-counts-{run}-{i}")), f"windows-{run}-{i}"))
     done = run_concurrently(tasks)
     side = dict(zip(groups, done[:len(groups)]))
     window_frames = done[len(groups):]
@@ -371,7 +387,7 @@ def annotate(df: DataFrame, rules: Iterable[Rule], gate: Gate | None = None,
         err_arrays.append(F.coalesce(F.col(f"{tag}_e"), _empty()))
         warn_arrays.append(F.coalesce(F.col(f"{tag}_w"), _empty()))
 
-    for fi, (r, (wstart, _), windows) in enumerate(zip(fresh, fresh_parts, window_frames)):
+    for fi, (r, (wstart, _, _), windows) in enumerate(zip(fresh, fresh_parts, window_frames)):
         col = f"__f{fi}"
         under, outcome = _window_outcome(windows, r.check)
         flagged = under.select(F.col("wstart").alias(f"{col}_w"), F.lit(True).alias(f"{col}_hit"))
