@@ -91,12 +91,12 @@ class Checked:
     outcomes: DataFrame
     stats: dict | None = None
 
-    def materialized(self, name: str = "annotated") -> "Checked":
-        """Write the annotated rows once so split, log and scores share one execution; row counts are
-        observed during that write."""
+    def materialized(self, name: str = "annotated", **extra: Column) -> "Checked":
+        """Write the annotated rows once so split, log and scores share one execution; row counts (and
+        any ``extra`` aggregate metrics) are observed during that write."""
         df, stats = materialize_observed(self.annotated, name, rows=F.count(F.lit(1)),
                                          error_rows=F.count_if(F.size(ERRORS) > 0),
-                                         warning_rows=F.count_if(F.size(WARNINGS) > 0))
+                                         warning_rows=F.count_if(F.size(WARNINGS) > 0), **extra)
         return Checked(df, self.rules, self.outcomes, stats)
 
     def valid(self, quarantine_on: str = "error") -> DataFrame:

@@ -114,7 +114,14 @@ class Flow:
         df = self.processed(table)
         rules = self.rules(table) if self.config.quality_checks else []
         checked = engine.annotate(df, rules, self.config.gate, history=self.history.get(table))
-        return checked.materialized(f"annotated-{table}") if rules else checked
+        if not rules:
+            return checked
+        extra = {}
+        if table == "customers":  # size of the join's customer side, measured in the same write
+            cols = ["customer_id", *marts.side_columns("c")]
+            valid = F.size(F.col(engine.ERRORS)) == 0
+            extra["join_bytes"] = F.coalesce(F.sum(F.when(valid, estimated_row_bytes(df, cols))), F.lit(0))
+        return checked.materialized(f"annotated-{table}", **extra)
 
     def checked(self, table: str) -> Checked:
         if table not in self._checked:
@@ -140,6 +147,10 @@ class Flow:
         columns the join reads, one aggregation pass) is within the broadcast bounds."""
         if checkpoint_dir(self.spark) is None:
             return None
+        stats = self.checked("customers").stats
+        if stats and "join_bytes" in stats and self.config.quarantine_on == "error":
+            return fits_broadcast(self.spark, stats["rows"] - stats["error_rows"], stats["join_bytes"],
+                                  self.config.customers_broadcast_rows)
         side = self.valid("customers").select("customer_id", *marts.side_columns("c"))
         m = side.agg(F.count(F.lit(1)).alias("rows"),
                      F.coalesce(F.sum(estimated_row_bytes(side)), F.lit(0)).alias("bytes")).first()

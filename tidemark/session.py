@@ -120,12 +120,15 @@ def materialize_observed(df: DataFrame, name: str, **metrics: Column) -> tuple[D
     return df.sparkSession.read.parquet(path), dict(observation.get)
 
 
-def estimated_row_bytes(frame: DataFrame) -> Column:
-    """Rough in-memory size of one row: 48 bytes of row overhead, string bytes, 8 bytes per other
-    scalar, 24 bytes plus text per array element. Summed while a frame is written, it gives the size
-    a broadcast decision is checked against."""
+def estimated_row_bytes(frame: DataFrame, columns: Sequence[str] | None = None) -> Column:
+    """Rough in-memory size of one row (of ``columns`` only, if given): 48 bytes of row overhead,
+    string bytes, 8 bytes per other scalar, 24 bytes plus text per array element. Summed while a frame
+    is written, it gives the size a broadcast decision is checked against."""
     size = F.lit(48)
+    wanted = set(columns) if columns is not None else None
     for f in frame.schema.fields:
+        if wanted is not None and f.name not in wanted:
+            continue
         c = F.col(f.name)
         kind = f.dataType.simpleString()
         if kind == "string":
