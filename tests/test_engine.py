@@ -224,3 +224,25 @@ def test_window_start_ignores_session_time_zone(spark):
         assert got == ["2024-03-10 02:00:00", "2024-07-01 10:00:00", "1969-12-31 23:00:00"]
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def test_gate_byte_bound_forces_shuffle_join(spark):
+    rules = [rule("u", "error", is_unique(["id"]))]
+    small, _ = flags(spark, rules, gate=E.Gate(max_rows=1000, max_bytes=1 << 20))
+    previous = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # no broadcast unless the gate hints one
+    try:
+        tight, checked = flags(spark, rules, gate=E.Gate(max_rows=1000, max_bytes=1))
+        plan = checked.annotated._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", previous)
+    assert small == tight
+
+
+def test_scale_conf_sizes_partitions():
+    from tidemark.session import scale_conf
+    big = scale_conf(100 * 10**12, 8000)
+    assert big["spark.sql.shuffle.partitions"] == "50000" and big["spark.sql.adaptive.enabled"] == "true"
+    small = scale_conf(10**9, 16)
+    assert small["spark.sql.shuffle.partitions"] == "32"

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import DataType, DateType, NumericType, StringType, TimestampNTZType, TimestampType
+from pyspark.sql.types import DataType, DateType, StringType, TimestampNTZType, TimestampType
 
 ColumnOrName = Column | str
 
@@ -80,7 +80,3 @@ def as_date(c: ColumnOrName, dtype: DataType | None = None) -> Column:
 def round2(c: ColumnOrName) -> Column:
     """Round half-up to 2 decimals; null passes through."""
     return F.round(_c(c), 2)
-
-
-def is_numeric(dtype: DataType) -> bool:
-    return isinstance(dtype, NumericType)
