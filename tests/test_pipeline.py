@@ -106,3 +106,14 @@ def test_command_line_load_and_run(spark, tmpdir_path):
     assert main(["run", "--raw", f"{tmpdir_path}/raw", "--out", f"{tmpdir_path}/out", "--as-of", "2025-01-01",
                  "--batch-id", "b"]) == 0
     assert spark.read.parquet(f"{tmpdir_path}/out/kpi_summary").count() == 8
+
+
+def test_quarantine_any_policy_through_flow_and_summary(spark):
+    f = Flow(spark, fixtures.raw_tables(spark, SF_SMALL), RunConfig(as_of="2025-01-01", quarantine_on="any"))
+    stats = f.checked("customers").stats
+    summary = {r.table_name: r for r in f.quality_summary().collect()}
+    bad = f.quarantine("customers").count()
+    assert f.valid("customers").count() + bad == stats["rows"]
+    assert bad >= stats["error_rows"] and bad >= stats["warning_rows"]
+    assert summary["customers"].quarantined_records == bad
+    assert "_warnings" not in f.valid("customers").columns
