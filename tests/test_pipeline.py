@@ -117,3 +117,13 @@ def test_quarantine_any_policy_through_flow_and_summary(spark):
     assert bad >= stats["error_rows"] and bad >= stats["warning_rows"]
     assert summary["customers"].quarantined_records == bad
     assert "_warnings" not in f.valid("customers").columns
+
+
+def test_rule_log_rows(spark):
+    from tidemark.operators import reporting
+    f = Flow(spark, fixtures.raw_tables(spark, SF_SMALL), RunConfig(as_of="2025-01-01"))
+    log = {r.rule_name: r for r in reporting.rule_log(f.checked("orders"), run_id="r1").collect()}
+    assert len(log) == 10 and log["order_data_freshness"].observed.endswith("empty)")
+    assert log["minimum_order_count"].check_status == "passed" and log["minimum_order_count"].observed
+    assert log["unique_order_id"].failed_records_count > 0 and log["unique_order_id"].criticality == "error"
+    assert '"is_unique"' in log["unique_order_id"].test_definition

@@ -55,13 +55,14 @@ def rule_results(checked: Checked) -> DataFrame:
 def rule_log(checked: Checked, run_id: str, valid_table: str | None = None,
              quarantine_table: str | None = None, run_timestamp: Column | None = None) -> DataFrame:
     """Q11: append-ready log rows: run_id, run_timestamp, valid_table, quarantine_table, rule_name,
-    check_status, failed_records_count, test_definition."""
+    criticality, check_status, failed_records_count, observed (dataset-level outcome, if any),
+    test_definition."""
     return rule_results(checked).select(
         F.lit(run_id).alias("run_id"),
         (run_timestamp if run_timestamp is not None else F.current_timestamp()).alias("run_timestamp"),
         F.lit(valid_table).cast("string").alias("valid_table"),
         F.lit(quarantine_table).cast("string").alias("quarantine_table"),
-        "rule_name", "check_status", "failed_records_count", "test_definition",
+        "rule_name", "criticality", "check_status", "failed_records_count", "observed", "test_definition",
     )
 
 
