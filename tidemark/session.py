@@ -81,6 +81,22 @@ def checkpoint_dir(spark: SparkSession) -> str | None:
     return value or None
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The folder for written intermediates: ``spark.checkpoint.dir`` as the session has it.
+
+    Where it is unset, only a single-process ``local[...]`` master gets a scratch folder of its own (all its
+    tasks see the same disk). A cluster without the setting is an error, never a machine-local folder.
+    """
+    current = checkpoint_dir(spark)
+    if current:
+        return current
+    master = spark.sparkContext.master
+    if not (master == "local" or master.startswith("local[")):
+        raise RuntimeError(f"set {CHECKPOINT_CONF} to a folder that all executors share (master is {master})")
+    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="tidemark-ckpt-"))
+    return checkpoint_dir(spark)
+
+
 def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     """Round-robin ``df`` over ``min_partitions`` (default: the cluster's default parallelism) only when it
     has fewer partitions than that, e.g. when it comes from a few unsplittable files. Inputs that are
