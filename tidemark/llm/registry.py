@@ -6,9 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import bpe, mixing
+from tidemark.llm import bpe, mixing, quality
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_quality": quality.query,
     "op8_mixing": mixing.query,
     "op9_bpe": bpe.query,
 }
