@@ -6,10 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import bpe, mixing, neardup, quality
+from tidemark.llm import bpe, mixing, neardup, quality, secrets
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_quality": quality.query,
+    "op4_secrets": secrets.query,
     "op5_near_duplicates": neardup.query,
     "op8_mixing": mixing.query,
     "op9_bpe": bpe.query,
