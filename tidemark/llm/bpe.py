@@ -197,17 +197,20 @@ def tokenizer(path: str) -> WordBpe:
 
 
 def encoded(docs: DataFrame, path: str, batch_chars: int = 1 << 20) -> DataFrame:
-    """One row per document: doc_id, ids (array of int), decoded (string)."""
+    """One row per document: doc_id, n_tokens, ids (array of int), decoded_sha256."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = tokenizer(path)
         for ids, texts in _small_batches(batches, batch_chars):
             codes = bpe.encode_batch(texts)
             yield pa.RecordBatch.from_arrays(
-                [ids, pa.array([np.frombuffer(c, "<i4") for c in codes], pa.list_(pa.int32())),
-                 pa.array([bpe.decode(c) for c in codes], pa.string())], names=["doc_id", "ids", "decoded"])
+                [ids, pa.array([len(c) // 4 for c in codes], pa.int64()),
+                 pa.array([np.frombuffer(c, "<i4") for c in codes], pa.list_(pa.int32())),
+                 pa.array([hashlib.sha256(bpe.decode(c).encode()).hexdigest() for c in codes], pa.string())],
+                names=["doc_id", "n_tokens", "ids", "decoded_sha256"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, ids array<int>, decoded string")
+    return docs.select("doc_id", "text").mapInArrow(
+        run, "doc_id long, n_tokens long, ids array<int>, decoded_sha256 string")
 
 
 def digests(docs: DataFrame, path: str, batch_chars: int = 1 << 20) -> DataFrame:

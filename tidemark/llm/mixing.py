@@ -7,12 +7,13 @@ round is one aggregate over the source table that brings three numbers to the dr
 Sampling: a source's target is ``whole`` repetitions of all its documents plus a part of one more. For that
 part, documents stand in a seeded hash order and the run of first ones whose words come nearest to the rest
 of the target is taken whole. Documents larger than 1/64 of their source (at most 64 of them) are decided
-first, so that the small ones make up the difference. The order's running sums are cut into hash ranges of
-about ``BUCKET_ROWS`` documents: sums by range, then a running sum within each, so a hot source never
-meets in one task.
+first, so that the small ones make up the difference. The order is cut into hash ranges of about
+``BUCKET_ROWS`` documents: sums by range find the one range of a source in which the run ends, and only
+that range is summed row by row, so a hot source never meets in one task. What results is one row a
+source, with the place where its run ends; every document then meets its source's row.
 
 Nulls and edge cases: a null text counts 0 words; null sources form one source; a null or repeated id is
-kept, a row each; rows equal in id, source and size are interchangeable. Empty sources get target 0.
+kept, a row each; rows equal in id, source and size are decided alike. Empty sources get target 0.
 An empty table gives an empty result. Other columns are ignored.
 """
 
@@ -68,37 +69,54 @@ def water_fill(sources: DataFrame, budget_share: tuple[int, int], max_epochs: in
         F.least(share, cap.cast("double"))))
 
 
-def sized_documents(docs: DataFrame, seed: int = SEED) -> DataFrame:
-    """Narrow rows (doc_id, source, size, place): words of the text, and the seeded place in [0, 1)."""
+def sized_columns(seed: int) -> list[Column]:
+    """doc_id, source, size (words of the text) and place (seeded, in [0, 1))."""
     size = F.coalesce(F.regexp_count(F.col("text"), F.lit(WORDS)), F.lit(0)).cast("long")
-    narrow = docs.select("doc_id", "source", size.alias("size"))
-    h = F.xxhash64(F.lit(seed), F.coalesce(F.col("doc_id"), F.lit(-1)), _key(F.col("source")), F.col("size"))
-    return narrow.withColumn("place", F.shiftrightunsigned(h, 11) / F.lit(float(1 << 53)))
-
-
-def _take_part(rows: DataFrame, wanted: str) -> DataFrame:
-    """Adds ``extra`` (0/1): whether a row is in the run of first rows (by place) of its source whose sizes
-    come nearest to ``wanted``. Needs key, place, size, doc_id, ranges."""
-    rows = rows.withColumn("range", F.floor(F.col("place") * F.col("ranges")).cast("long"))
-    sums = rows.groupBy("key", "range").agg(F.sum("size").alias("range_size"))
-    before = Window.partitionBy("key").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
-    starts = sums.select("key", "range", F.coalesce(F.sum("range_size").over(before), F.lit(0)).alias("start"))
-    within = Window.partitionBy("key", "range").orderBy("place", "doc_id", "size")
-    run = F.col("start") + F.sum("size").over(within.rowsBetween(Window.unboundedPreceding, 0)) - F.col("size")
-    return rows.join(starts, ["key", "range"]).withColumn(
-        "extra", F.when((F.col(wanted) > 0) & (2 * run + F.col("size") <= 2 * F.col(wanted)), 1).otherwise(0)
-    ).drop("range", "start")
+    h = F.xxhash64(F.lit(seed), F.coalesce(F.col("doc_id"), F.lit(-1)), _key(F.col("source")), size)
+    place = F.shiftrightunsigned(h, 11) / F.lit(float(1 << 53))
+    return [F.col("doc_id"), F.col("source"), size.alias("size"), place.alias("place")]
 
 
-def mix(docs: DataFrame, weights: list[int], budget_share: tuple[int, int] = (3, 2), max_epochs: int = 2,
-        seed: int = SEED) -> DataFrame:
-    """One row per document: doc_id, source, size, source_size, target, repeats (int), taken (long).
+def sized_documents(docs: DataFrame, seed: int = SEED) -> DataFrame:
+    return docs.select(*sized_columns(seed))
 
-    ``repeats`` is how often the mix takes the document; ``taken`` is ``repeats * size``.
+
+def _place(doc_id: Column, size: Column, place: Column) -> Column:
+    return F.struct(place.alias("place"), F.coalesce(doc_id, F.lit(-1)).alias("doc"), size.alias("size"))
+
+
+def _cuts(rows: DataFrame, wanted: DataFrame, name: str) -> DataFrame:
+    """(key, ``name``): the last place of the run of first rows of each source whose sizes come nearest to
+    its ``wanted``; null where nothing is wanted.
+
+    ``rows``: key, at (struct), size. ``wanted``: key, wanted, ranges. Only the hash range in which the
+    running sum passes ``wanted`` is summed row by row.
     """
-    spark = docs.sparkSession
-    scratch = Scratch(spark, "mixing")
-    sized = scratch.write(sized_documents(docs, seed), "sized")
+    rows = rows.join(wanted, "key").withColumn("range", F.floor(F.col("at.place") * F.col("ranges")).cast("long"))
+    sums = rows.groupBy("key", "range").agg(F.sum("size").alias("range_size"), F.first("wanted").alias("wanted"),
+                                            F.first("ranges").alias("ranges"))
+    by_range = Window.partitionBy("key").orderBy("range")
+    start = F.sum("range_size").over(by_range.rowsBetween(Window.unboundedPreceding, 0)) - F.col("range_size")
+    sums = sums.withColumn("start", start)
+    total = sums.groupBy("key").agg(F.sum("range_size").alias("total"), F.first("wanted").alias("wanted"))
+    passing = sums.where((F.col("start") <= F.col("wanted")) & (F.col("wanted") < F.col("start") + F.col("range_size"))
+                         & (F.col("wanted") > 0)).select(
+        "key", "range", "start", (F.col("range") / F.col("ranges")).alias("low"))
+    within = Window.partitionBy("key").orderBy("at")
+    run = F.col("start") + F.sum("size").over(within.rowsBetween(Window.unboundedPreceding, 0)) - F.col("size")
+    inside = rows.join(passing, ["key", "range"]).withColumn("run", run)
+    before = _place(F.lit(None).cast("long"), F.lit(-1).cast("long"), F.col("low"))
+    cut = inside.groupBy("key").agg(F.coalesce(
+        F.max(F.when(2 * F.col("run") + F.col("size") <= 2 * F.col("wanted"), F.col("at"))),
+        F.max(before)).alias(name))
+    everything = _place(F.lit(None).cast("long"), F.lit(-1).cast("long"), F.lit(2.0))
+    return total.join(cut, "key", "left").select("key", F.when(
+        (F.col("wanted") > 0) & (F.col("wanted") >= F.col("total")), everything).otherwise(F.col(name)).alias(name))
+
+
+def mix_plan(sized: DataFrame, weights: list[int], scratch: Scratch, budget_share: tuple[int, int] = (3, 2),
+             max_epochs: int = 2) -> DataFrame:
+    """One row a source: key, source_size, target, whole, cut_large, cut_small (see ``repeats``)."""
     sources = sized.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("n"))
     sources = scratch.write(weights_in_turn(sources, weights), "sources")
     whole = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0)
@@ -107,22 +125,57 @@ def mix(docs: DataFrame, weights: list[int], budget_share: tuple[int, int] = (3,
         _key(F.col("source")).alias("key"), "source_size", "target", "whole", "part",
         F.greatest(F.lit(1), F.floor(F.col("n") / BUCKET_ROWS)).alias("ranges"))
     targets = scratch.write(targets, "targets")
-    rows = sized.withColumn("key", _key(F.col("source"))).join(targets, "key")
-    is_large = F.col("size") * LARGE_SHARE > F.col("source_size")
-    large = rows.where(is_large).withColumn("ranges", F.lit(1))
-    of_large = large.groupBy("key").agg(F.sum("size").alias("large_size"))
-    large = _take_part(large.join(of_large, "key").withColumn(
-        "wanted", F.col("part") * F.col("large_size") / F.col("source_size")), "wanted").drop("large_size")
-    large = scratch.write(large, "large")
-    taken_large = large.groupBy("key").agg(F.sum(F.col("size") * F.col("extra")).alias("taken_large"))
-    taken_large = scratch.write(taken_large, "taken_large")
-    small = rows.where(~is_large).join(taken_large, "key", "left").withColumn(
-        "wanted", F.col("part") - F.coalesce(F.col("taken_large"), F.lit(0))).drop("taken_large")
-    small = _take_part(small, "wanted")
-    repeats = F.col("whole") + F.col("extra")
-    return large.unionByName(small).select(
-        "doc_id", "source", "size", "source_size", "target", repeats.cast("int").alias("repeats"),
-        (repeats * F.col("size")).cast("long").alias("taken"))
+    rows = sized.withColumn("key", _key(F.col("source"))).join(targets.select("key", "source_size"), "key").select(
+        "key", "size", _place(F.col("doc_id"), F.col("size"), F.col("place")).alias("at"),
+        (F.col("size") * LARGE_SHARE > F.col("source_size")).alias("is_large"))
+    large, small = rows.where("is_large"), rows.where("not is_large")
+    large_size = large.groupBy("key").agg(F.sum("size").alias("large_size"))
+    wanted = targets.join(large_size, "key").select(
+        "key", (F.col("part") * F.col("large_size") / F.col("source_size")).alias("wanted"), F.lit(1).alias("ranges"))
+    cut_large = scratch.write(_cuts(large, wanted, "cut_large"), "cut_large")
+    taken = large.join(cut_large, "key").where(F.col("at") <= F.col("cut_large")).groupBy("key").agg(
+        F.sum("size").alias("taken_large"))
+    wanted = targets.join(taken, "key", "left").select(
+        "key", (F.col("part") - F.coalesce("taken_large", F.lit(0))).alias("wanted"), "ranges")
+    cut_small = _cuts(small, wanted, "cut_small")
+    plan = targets.join(cut_large, "key", "left").join(cut_small, "key", "left")
+    return scratch.write(plan.select("key", "source_size", "target", "whole", "cut_large", "cut_small"), "plan")
+
+
+def repeats(rows: DataFrame, plan: DataFrame) -> DataFrame:
+    """Rows with doc_id, source, size and place, and how often each is taken, by its source's row of ``plan``:
+    ``whole`` times, and once more if its place is not behind the cut."""
+    at = _place(F.col("doc_id"), F.col("size"), F.col("place"))
+    cut = F.when(F.col("size") * LARGE_SHARE > F.col("source_size"), F.col("cut_large")).otherwise(F.col("cut_small"))
+    extra = F.coalesce((at <= cut).cast("int"), F.lit(0))
+    return rows.withColumn("key", _key(F.col("source"))).join(plan, "key").withColumn(
+        "repeats", (F.col("whole") + extra).cast("int")).drop("key", "whole", "cut_large", "cut_small")
+
+
+def mix(docs: DataFrame, weights: list[int], budget_share: tuple[int, int] = (3, 2), max_epochs: int = 2,
+        seed: int = SEED) -> DataFrame:
+    """One row per document: doc_id, source, size, place, source_size, target, repeats (int), taken (long).
+
+    ``repeats`` is how often the mix takes the document; ``taken`` is ``repeats * size``.
+    """
+    scratch = Scratch(docs.sparkSession, "mixing")
+    sized = scratch.write(sized_documents(docs, seed), "sized")
+    plan = mix_plan(sized, weights, scratch, budget_share, max_epochs)
+    return repeats(sized, plan).withColumn("taken", (F.col("repeats") * F.col("size")).cast("long"))
+
+
+def repeated(docs: DataFrame, weights: list[int], budget_share: tuple[int, int] = (3, 2), max_epochs: int = 2,
+             seed: int = SEED) -> DataFrame:
+    """The mix itself: each row of ``docs`` as often as it is taken, with the columns of ``docs``.
+
+    Texts are not shuffled: the plan has one row a source, and each row of ``docs`` meets its own.
+    """
+    scratch = Scratch(docs.sparkSession, "mixing")
+    sized = scratch.write(sized_documents(docs, seed), "sized")
+    plan = mix_plan(sized, weights, scratch, budget_share, max_epochs)
+    columns = [c for c in docs.columns]
+    held = docs.select(F.struct(*columns).alias("row"), *sized_columns(seed))
+    return repeats(held, plan).select("row", F.explode(F.array_repeat(F.lit(1), F.col("repeats")))).select("row.*")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

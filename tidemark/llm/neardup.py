@@ -244,6 +244,13 @@ def _cross_pairs(rows: DataFrame) -> DataFrame:
             .select(F.least("node", "other").alias("u"), F.greatest("node", "other").alias("v")).distinct())
 
 
+def deduplicated(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
+    """``docs`` with one document of each group, the one with the least id. Rows without an id stay."""
+    found = near_duplicates(docs, words, percent)
+    gone = found.where(F.col("doc_id") != F.col("component_id")).select("doc_id").distinct()
+    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+
+
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = near_duplicates(table(spark, sf_dir, "documents"), words=2)
     return found.select("doc_id", "n_shingles", "component_id",

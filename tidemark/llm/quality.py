@@ -160,19 +160,20 @@ def train(docs: DataFrame, labels: DataFrame, max_train_rows: int = MAX_TRAIN_RO
 def score(docs: DataFrame, model: np.ndarray, keep: list[str]) -> DataFrame:
     """Columns ``keep`` of ``docs`` and ``score``: one pass, one sparse dot product a document."""
     schema = docs.select(*keep).schema.add("score", "double")
+    at = keep.index("text") if "text" in keep else len(keep)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            text = batch.column(batch.num_columns - 1)
+            text = batch.column(at)
             total = np.full(batch.num_rows, model[SLOTS])
             for lo, hi, data, offs in doc_chunks(text):
                 cuts, slots, values = features(data, offs)
                 sums = np.r_[0.0, np.cumsum(model[slots] * values)]
                 total[lo:hi] += sums[cuts[1:]] - sums[cuts[:-1]]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(1 / (1 + np.exp(-np.clip(total, -35, 35))))],
+            yield pa.RecordBatch.from_arrays([*batch.columns[:len(keep)], pa.array(1 / (1 + np.exp(-np.clip(total, -35, 35))))],
                                              names=[*keep, "score"])
 
-    return docs.select(*keep, F.col("text").alias("_text")).mapInArrow(run, schema)
+    return docs.select(*keep, *([] if "text" in keep else ["text"])).mapInArrow(run, schema)
 
 
 def held_out(doc_id: Column) -> Column:
