@@ -6,9 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import bpe, mixing, neardup, quality, secrets
+from tidemark.llm import bpe, mixing, neardup, quality, secrets, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_warc": warc.query,
     "op3_quality": quality.query,
     "op4_secrets": secrets.query,
     "op5_near_duplicates": neardup.query,
@@ -16,4 +17,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_bpe": bpe.query,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op2_warc": warc.ORACLE,
+}
