@@ -6,13 +6,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import bpe, mixing, neardup, quality, secrets, warc
+from tidemark.llm import ann, bpe, mixing, neardup, pii, quality, secrets, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_warc": warc.query,
     "op3_quality": quality.query,
     "op4_secrets": secrets.query,
     "op5_near_duplicates": neardup.query,
+    "op6_pii": pii.query,
+    "op7_neighbours": ann.query,
     "op8_mixing": mixing.query,
     "op9_bpe": bpe.query,
 }
