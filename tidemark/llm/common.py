@@ -8,7 +8,8 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from tidemark.session import shared_folder
 
@@ -44,6 +45,13 @@ class Scratch:
         self._paths[id(out)] = path
         return out
 
+    def write_marked(self, df: DataFrame, name: str) -> tuple[DataFrame, tuple[int, int]]:
+        """``write``, and the count and an order-free checksum of the rows, taken during the same job."""
+        seen = Observation()
+        total = F.sum(F.xxhash64(*df.columns).cast("decimal(20,0)")).alias("s")
+        out = self.write(df.observe(seen, F.count(F.lit(1)).alias("n"), total), name)
+        return out, (seen.get["n"], seen.get["s"])
+
     def drop(self, *frames: DataFrame) -> None:
         for frame in frames:
             path = self._paths.pop(id(frame), None)

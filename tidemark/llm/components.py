@@ -38,17 +38,15 @@ def connected_components(edges: DataFrame, scratch: Scratch, max_rounds: int = 6
     """
     state = (edges.where(F.col("u").isNotNull() & F.col("v").isNotNull() & (F.col("u") != F.col("v")))
              .select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
-    state = scratch.write(state, "edges")
-    mark = None
+    state, mark = scratch.write_marked(state, "edges")
     for _ in range(max_rounds):
-        got = state.agg(F.count("*").alias("n"),
-                        F.sum(F.xxhash64("u", "v").cast("decimal(20,0)")).alias("s")).head()
-        if not got.n or (got.n, got.s) == mark:
+        if not mark[0]:
             break
-        mark = (got.n, got.s)
-        after = scratch.write(_small_star(_large_star(state)), "edges")
+        after, then = scratch.write_marked(_small_star(_large_star(state)), "edges")
         scratch.drop(state)
-        state = after
+        state, before, mark = after, mark, then
+        if before == mark:
+            break
     else:
         raise RuntimeError(f"components did not settle in {max_rounds} rounds")
     roots = state.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()

@@ -6,9 +6,13 @@
    the bucket's least class, so a bucket of any size gives as many pairs as classes.
 3. Pairs whose signatures agree in too few places go; the rest are confirmed on the full sets.
 4. Connected components by alternating large-star and small-star.
-5. Buckets that still hold several components are looked at again: first against other members in turn,
-   then, once few pairs are left (or after ``PIVOT_ROUNDS``), all pairs of classes of different components
-   are tested. So every two classes that share a bucket end up tested or in one component.
+5. Buckets that still hold several components: in those of at most ``SMALL_BUCKET`` classes, all pairs of
+   different components are confirmed like the others. Larger ones are joined to families (components of
+   the graph of classes and buckets); a family is cut into blocks of about ``BLOCK`` classes, and each pair
+   of blocks is one task's work, which holds two blocks of signatures and sets. It tests pairs of different
+   components, the most similar signatures first, skips what its own links have joined, and puts out links
+   alone. So every two classes that share a bucket end up tested or in one component, and no group's
+   pairs are ever rows.
 
 At 80 % similarity a pair shares no bucket with probability (1 - 0.8^5)^32, about 3e-6.
 
@@ -35,7 +39,8 @@ BANDS, ROWS = 32, 5
 HASHES = BANDS * ROWS
 #: signatures of two sets at 80 % similarity agree in fewer places with a probability below 1e-9
 SIGNATURE_LEAST = 0.6
-PIVOT_ROUNDS = 4
+SMALL_BUCKET = 64
+BLOCK = 384
 
 _rng = np.random.default_rng(5)
 _A = _rng.integers(1, 1 << 63, HASHES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -141,13 +146,21 @@ def _similar_signatures(pairs: DataFrame, signed: DataFrame) -> DataFrame:
     return joined.mapInArrow(run, "u binary, v binary")
 
 
-def _linked(pairs: DataFrame, docs: DataFrame, classes: DataFrame, words: int, percent: int) -> DataFrame:
-    """Pairs (u, v) whose full sets meet the similarity, in whole numbers: 100 * common >= percent * union."""
-    wanted = pairs.select(F.col("u").alias("node")).union(pairs.select(F.col("v").alias("node"))).distinct()
-    chosen = classes.join(wanted, "node").select("node", F.col("doc").alias("doc_id"))
-    texts = docs.select("doc_id", "text").join(chosen, "doc_id").select("node", "text")
+def _common(a: np.ndarray, b: np.ndarray) -> int:
+    """How many values two sorted sets share."""
+    if len(a) > len(b):
+        a, b = b, a
+    at = np.searchsorted(b, a)
+    at[at == len(b)] = 0
+    return int(np.count_nonzero(b[at] == a)) if len(b) else 0
+
 
-    def to_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _sets_of(nodes: DataFrame, docs: DataFrame, classes: DataFrame, words: int) -> DataFrame:
+    """(node, items): the full set of each of ``nodes`` (node), from its class's text."""
+    chosen = classes.join(nodes.distinct(), "node").select("node", "doc")
+    texts = docs.join(chosen, "doc").select("node", "text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for lo, hi, data, offs in doc_chunks(batch.column(1)):
                 nodes = batch.column(0).slice(lo, hi - lo).to_pylist()
@@ -157,56 +170,119 @@ def _linked(pairs: DataFrame, docs: DataFrame, classes: DataFrame, words: int, p
                                                   pa.array([s.tobytes() for _, s in kept], pa.binary())],
                                                  names=["node", "items"])
 
-    def confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    return texts.mapInArrow(run, "node binary, items binary")
+
+
+def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Pairs (u, v) whose full sets meet the similarity, in whole numbers: 100 * common >= percent * union."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keep = []
             for s, t in zip(batch.column(2), batch.column(3)):
                 a, b = np.frombuffer(s.as_buffer(), np.uint64), np.frombuffer(t.as_buffer(), np.uint64)
-                both = len(a) + len(b) - len(np.union1d(a, b))
+                both = _common(a, b)
                 keep.append(100 * both >= percent * (len(a) + len(b) - both))
             yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
 
-    sets = texts.mapInArrow(to_sets, "node binary, items binary")
     one = sets.select(F.col("node").alias("u"), F.col("items").alias("s"))
     two = sets.select(F.col("node").alias("v"), F.col("items").alias("t"))
-    return pairs.join(two, "v").join(one, "u").select("u", "v", "s", "t").mapInArrow(confirm, "u binary, v binary")
+    return pairs.join(two, "v").join(one, "u").select("u", "v", "s", "t").mapInArrow(run, "u binary, v binary")
+
+
+def _confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame, words: int, percent: int, scratch: Scratch) -> DataFrame:
+    similar = scratch.write(_similar_signatures(pairs, classes), "similar")
+    nodes = similar.select(F.col("u").alias("node")).union(similar.select(F.col("v").alias("node")))
+    sets = scratch.write(_sets_of(nodes, docs, classes, words), "sets")
+    found = scratch.write(_linked(similar, sets, percent), "links")
+    scratch.drop(similar, sets)
+    return found
+
+
+def _family_links(rows: DataFrame, classes: DataFrame, docs: DataFrame, words: int, percent: int, scratch: Scratch) -> DataFrame:
+    """Links between different components in the buckets of ``rows`` (bucket, node, component)."""
+    heads = rows.groupBy("bucket").agg(F.min("node").alias("head"))
+    star = rows.join(heads, "bucket").select(F.col("node").alias("u"), F.col("head").alias("v"))
+    family = connected_components(star, scratch).withColumnRenamed("component", "family")
+    nodes = scratch.write(rows.select("node", "component").distinct().join(family, "node"), "families")
+    blocks = nodes.groupBy("family").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
+    placed = nodes.join(blocks, "family").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    # a block meets itself and every other one; a task's group is a pair of blocks
+    pairs = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
+        "node", "component", "family", "block", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"))
+    sets = _sets_of(nodes.select("node"), docs, classes, words)
+    full = scratch.write(classes.select("node", "signature").join(sets, "node"), "family_sets")
+    work = pairs.join(full, "node")
+
+    def run(group: pa.Table) -> pa.Table:
+        group = group.combine_chunks()
+        node, component = (group.column(c).to_pylist() for c in ("node", "component"))
+        signed = np.frombuffer(b"".join(group.column("signature").to_pylist()), np.uint32).reshape(-1, HASHES)
+        sets = [np.frombuffer(x, np.uint64) for x in group.column("items").to_pylist()]
+        block = group.column("block").to_numpy()
+        i, j = group.column("i")[0].as_py(), group.column("j")[0].as_py()
+        parent = {c: c for c in component}
+
+        def root(c):
+            while parent[c] != c:
+                parent[c] = parent[parent[c]]
+                c = parent[c]
+            return c
+
+        part = np.unique(np.array([hash(c) for c in component]), return_inverse=True)[1]
+        left, right = np.flatnonzero(block == i), np.flatnonzero(block == j)
+        near = []
+        for a in left:
+            agree = (signed[right] == signed[a]).mean(axis=1)
+            ok = (agree >= SIGNATURE_LEAST) & (part[right] != part[a])
+            ok &= right > a if i == j else True
+            b = right[ok]
+            near.append(np.c_[np.full(len(b), a), b, np.round(agree[ok] * HASHES)])
+        near = np.concatenate(near).astype(np.int64) if near else np.zeros((0, 3), np.int64)
+        out = []
+        for a, b, _ in near[np.argsort(-near[:, 2], kind="stable")].tolist():
+            if root(component[a]) != root(component[b]):
+                both = _common(sets[a], sets[b])
+                if 100 * both >= percent * (len(sets[a]) + len(sets[b]) - both):
+                    parent[root(component[a])] = root(component[b])
+                    out.append((node[a], node[b]))
+        return pa.table({"u": pa.array([x[0] for x in out], pa.binary()), "v": pa.array([x[1] for x in out], pa.binary())})
+
+    return scratch.write(work.groupBy("family", "i", "j").applyInArrow(run, "u binary, v binary"), "family_links")
 
 
 def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id (the least id of its group)."""
     scratch = Scratch(docs.sparkSession, "neardup")
     described = scratch.write(_describe(docs, words), "described")
+    no_id = F.lit(-1 << 62)
     classes = scratch.write(described.where(F.col("node").isNotNull()).groupBy("node").agg(
-        F.min("doc_id").alias("least"), F.min(F.coalesce("doc_id", F.lit(-1 << 62))).alias("doc")), "classes")
-    ids = described.withColumn("doc", F.coalesce("doc_id", F.lit(-1 << 62))).select("node", "doc", "signature")
-    signed = ids.join(classes.select("node", "doc"), ["node", "doc"]).select("node", "signature")
-    signed = scratch.write(signed.dropDuplicates(["node"]), "signed")
-    by_id = docs.select(F.coalesce("doc_id", F.lit(-1 << 62)).alias("doc_id"), "text")
-
-    rows = _bucket_rows(signed)
-    shared = rows.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1").select("bucket")
+        F.min("doc_id").alias("least"), F.min(F.coalesce("doc_id", no_id)).alias("doc"),
+        F.first("signature").alias("signature")), "classes")
+    by_id = docs.select(F.coalesce("doc_id", no_id).alias("doc"), "text")
+
+    rows = _bucket_rows(classes)
+    shared = rows.groupBy("bucket").agg(F.count("*").alias("n"), F.min("node").alias("head")).where("n > 1")
     rows = scratch.write(rows.join(shared, "bucket"), "buckets")
-    tested = links = None
-    labels = None
-    for turn in range(PIVOT_ROUNDS + 1):
-        open_rows = rows if labels is None else _open(rows, labels)
-        if labels is not None:
-            open_rows = scratch.write(open_rows, "open")
-            if open_rows.isEmpty():
-                break
-        last = turn == PIVOT_ROUNDS or (turn and _open_pairs(open_rows) <= 4 * open_rows.count())
-        pairs = _cross_pairs(open_rows) if last else _pivot_pairs(open_rows, turn)
-        if tested is not None:
-            pairs = pairs.join(tested, ["u", "v"], "left_anti")
-        pairs = scratch.write(pairs, "pairs")
-        tested = pairs if tested is None else tested.unionByName(pairs)
-        similar = scratch.write(_similar_signatures(pairs, signed), "similar")
-        found = scratch.write(_linked(similar, by_id, classes, words, percent), "links")
-        links = found if links is None else links.unionByName(found)
-        labels = scratch.write(connected_components(links, scratch), "labels")
-        if last:
-            break
-    groups = classes.join(labels, "node", "left").select(
+    pairs = scratch.write(rows.where(F.col("node") != F.col("head")).select(
+        F.col("head").alias("u"), F.col("node").alias("v")).distinct(), "pairs")
+    links = _confirmed(pairs, classes, by_id, words, percent, scratch)
+    labels = scratch.write(connected_components(links, scratch), "labels")
+
+    unsettled = scratch.write(_open(rows, labels), "open")
+    small, large = unsettled.where(F.col("n") <= SMALL_BUCKET), unsettled.where(F.col("n") > SMALL_BUCKET)
+    found = []
+    if not small.isEmpty():
+        more = scratch.write(_cross_pairs(small).join(pairs, ["u", "v"], "left_anti"), "pairs")
+        found.append(_confirmed(more, classes, by_id, words, percent, scratch))
+    if not large.isEmpty():
+        found.append(_family_links(large, classes, by_id, words, percent, scratch))
+    if found:
+        joined = labels.where(F.col("node") != F.col("component")).select(F.col("node").alias("u"), F.col("component").alias("v"))
+        for more in found:
+            joined = joined.unionByName(more)
+        labels = scratch.write(connected_components(joined, scratch), "labels")
+    groups = classes.select("node", "least").join(labels, "node", "left").select(
         "node", "least", F.coalesce("component", "node").alias("component"))
     heads = groups.groupBy("component").agg(F.min("least").alias("head"))
     of_class = groups.join(heads, "component").select("node", "head")
@@ -214,30 +290,14 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
         "doc_id", "n_shingles", F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("head")).alias("component_id"))
 
 
-def _pivot_pairs(rows: DataFrame, turn: int) -> DataFrame:
-    """Each bucket's classes with one of them: the least in turn 0, then the least by a hash of node and turn."""
-    by = F.struct("node") if not turn else F.struct(F.xxhash64("node", F.lit(turn)), "node")
-    pivots = rows.groupBy("bucket").agg(F.min_by("node", by).alias("pivot"))
-    return (rows.join(pivots, "bucket").where(F.col("node") != F.col("pivot"))
-            .select(F.least("node", "pivot").alias("u"), F.greatest("node", "pivot").alias("v")).distinct())
-
-
 def _open(rows: DataFrame, labels: DataFrame) -> DataFrame:
-    """Rows (bucket, node, component) of the buckets that hold several components."""
-    named = rows.select("bucket", "node").join(labels, "node", "left").select(
-        "bucket", "node", F.coalesce("component", "node").alias("component"))
+    """Rows (bucket, node, n, component) of the buckets that hold several components."""
+    named = rows.join(labels, "node", "left").select("bucket", "node", "n", F.coalesce("component", "node").alias("component"))
     several = named.groupBy("bucket").agg(F.min("component").alias("a"), F.max("component").alias("b")).where(
         "a <> b").select("bucket")
     return named.join(several, "bucket")
 
 
-def _open_pairs(rows: DataFrame) -> int:
-    """How many pairs of classes of different components the buckets hold, from counts alone."""
-    by_part = rows.groupBy("bucket", "component").agg(F.count("*").alias("n"))
-    by_bucket = by_part.groupBy("bucket").agg((F.sum("n") * F.sum("n") - F.sum(F.col("n") * F.col("n"))).alias("pairs"))
-    return int(by_bucket.agg(F.sum("pairs").cast("decimal(38,0)")).head()[0] or 0) // 2
-
-
 def _cross_pairs(rows: DataFrame) -> DataFrame:
     other = rows.select("bucket", F.col("node").alias("other"), F.col("component").alias("part"))
     return (rows.join(other, "bucket").where(F.col("component") < F.col("part"))
