@@ -6,9 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import ann, bpe, mixing, neardup, pii, quality, secrets, suffixdedup, warc
+from tidemark.llm import ann, bpe, mixing, neardup, pii, quality, search, secrets, suffixdedup, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op10_search": search.query,
     "op1_suffix_dedup": suffixdedup.query,
     "op2_warc": warc.query,
     "op3_quality": quality.query,
