@@ -33,12 +33,12 @@ TABLE_NAMES = {"orders": "orders", "customers": "customers", "delivery": "delive
 
 
 def msum(c: str) -> str:
-    """Exact sum of a 2-decimal measure in hundredths (as the marts compute it)."""
-    return f"(CAST(sum(CAST(round({c} * 100) AS BIGINT)) AS DOUBLE) / 100.0)"
+    """Plain decimal sum of a 2-decimal measure."""
+    return f"CAST(sum(CAST({c} AS DECIMAL(18, 2))) AS DOUBLE)"
 
 
 def mavg(c: str) -> str:
-    return f"(CAST(sum(CAST(round({c} * 100) AS BIGINT)) AS DOUBLE) / nullif(CAST(count({c}) AS DOUBLE) * 100, 0))"
+    return f"({msum(c)} / nullif(CAST(count({c}) AS DOUBLE), 0))"
 
 
 def _money(sql: str) -> str:
@@ -159,6 +159,28 @@ def _lineitem_quality() -> str:
             f"{srnd(f'coalesce({ok} / nullif(COUNT(*), 0) * 100, 0.0)', 6)} AS quality_score FROM f")
 
 
+FIRED_RULES = """
+WITH f AS (
+  SELECT o_totalprice > 300000 AS large_orders,
+         sum(CAST(o_totalprice AS DECIMAL(18, 2))) OVER (PARTITION BY o_custkey) > 2500000 AS large_customers,
+         COUNT(*) OVER () < 1000000000000 AS minimum_row_count,
+         COUNT(o_orderkey) OVER (PARTITION BY o_custkey) > 12 AS max_orders_per_customer,
+         max(o_totalprice) OVER () > 1000 AS max_total_price
+  FROM orders),
+n AS (
+  SELECT unnest(['large_orders', 'large_customers', 'minimum_row_count', 'max_orders_per_customer', 'max_total_price'])
+           AS rule_name,
+         unnest(['warn', 'warn', 'error', 'warn', 'error']) AS criticality,
+         unnest([COUNT(*) FILTER (WHERE large_orders), COUNT(*) FILTER (WHERE large_customers),
+                 COUNT(*) FILTER (WHERE minimum_row_count), COUNT(*) FILTER (WHERE max_orders_per_customer),
+                 COUNT(*) FILTER (WHERE max_total_price)]) AS failed
+  FROM f)
+SELECT rule_name, criticality, CAST(failed AS BIGINT) AS failed_records_count,
+       CASE WHEN failed > 0 THEN 'failed' ELSE 'passed' END AS check_status
+FROM n
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     q: dict[str, str] = {}
     for t in ("orders", "customers", "delivery"):
@@ -307,6 +329,34 @@ FROM (SELECT payment_method, CAST(COUNT(*) AS BIGINT) AS order_count,
     for name in ("delivery_analysis", "customer_ranking", "payment_analysis", "kpi_summary"):
         q[name] = _money(q[name])
 
+    samples = {"customers": (["customer_id", "customer_name", "email", "customer_segment"], "customers"),
+               "delivery": (["order_id", "delivery_partner_id", "delivery_time_minutes", "distance_km",
+                             "delivery_status"], "delivery")}
+    for t, (cols, _) in samples.items():
+        order = ", ".join(f"{c} NULLS FIRST" for c in cols)
+        picked = _select(cols, DOUBLE_COLUMNS[t])
+        q[f"quarantine_sample_{t}"] = build(
+            f"SELECT {picked}, errors FROM (SELECT * FROM quarantine_{t} ORDER BY {order} LIMIT 3)", (f"quarantine_{t}",))
+        q[f"preview_final_{t}"] = build(
+            f"SELECT {picked} FROM (SELECT * FROM valid_{t} ORDER BY {order} LIMIT 5)", (f"valid_{t}",))
+
+    q["incremental_kpi_summary"] = q["kpi_summary"]
+    q["incremental_final_orders"] = build(
+        f"SELECT {_select(CLEAN_COLUMNS['orders'], DOUBLE_COLUMNS['orders'])}, "
+        "array_to_string(list_filter(string_split(warnings, ','), lambda w: w <> 'order_data_freshness'), ',') "
+        "AS warnings FROM valid_orders", ("valid_orders",))
+    q["ingested_orders"] = build(
+        f"SELECT {_select(RAW_COLUMNS['orders'], RAW_DOUBLES['orders'])}, 'b1' AS _batch_id, true AS from_csv, "
+        "true AS has_load_time FROM raw_orders", ("raw_orders",))
+    loads = [("orders", "raw_orders"), ("customers", "raw_customers"), ("delivery_performance", "raw_delivery")]
+    q["ingest_status"] = build("\nUNION ALL\n".join(
+        f"SELECT '{t}.csv' AS source_file, 'raw_{t}' AS table_name, true AS loaded, CAST(COUNT(*) AS BIGINT) AS row_count "
+        f"FROM {src}" for t, src in loads), tuple(src for _, src in loads))
+    q["logged_rule_results"] = (
+        f"SELECT run_id, rule_name, criticality, failed_records_count, check_status FROM ({q['rule_results_orders']}) "
+        "CROSS JOIN (VALUES ('first'), ('second')) AS runs(run_id)")
+    q["fired_rule_results"] = FIRED_RULES
+
     q["lineitem_rule_results"] = _lineitem_rule_results()
     q["lineitem_quality"] = _lineitem_quality()
     return q

@@ -130,13 +130,24 @@ def test_duplicate_rule_names_rejected(spark):
                                                          rule("x", "warn", is_not_null("cust"))])
 
 
-def test_gate_paths_give_same_flags(spark, monkeypatch):
+def test_gate_paths_give_same_flags(spark):
     rules = [rule("u", "error", is_unique(["id"])), rule("c", "warn", sql_condition("status = 'bad'", ["id"]))]
     broadcast, _ = flags(spark, rules, gate=E.Gate(max_rows=1000))
     shuffled, _ = flags(spark, rules, gate=E.Gate(max_rows=0))
-    monkeypatch.setattr(E, "checkpoint_dir", lambda s: None)
-    lazy, _ = flags(spark, rules)
-    assert broadcast == shuffled == lazy
+    assert broadcast == shuffled
+
+
+def test_window_start_on_far_dates(spark):
+    df = spark.sql("SELECT CAST(x AS TIMESTAMP_NTZ) AS ts FROM VALUES ('0001-01-01 00:59:59'), ('9999-12-31 23:59:59'), "
+                   "('1969-12-31 23:30:00'), ('1970-01-01 01:00:00'), (NULL) AS t(x)")
+    got = [str(r[0]) for r in df.select(E.window_start(df.ts, 60, "timestamp_ntz").cast("string")).collect()]
+    assert got == ["0001-01-01 00:00:00", "9999-12-31 23:00:00", "1969-12-31 23:00:00", "1970-01-01 01:00:00", "None"]
+
+
+def test_nan_and_infinity_violate_ranges(spark):
+    df = spark.createDataFrame([(1, float("nan")), (2, float("inf")), (3, 5.0), (4, None)], "id int, x double")
+    checked = E.annotate(df, [rule("r", "error", is_in_range("x", 0, None))])
+    assert {r.id for r in checked.annotated.where("size(_errors) > 0").collect()} == {1, 2}
 
 
 def test_split_policies_are_disjoint(spark):

@@ -46,12 +46,12 @@ def test_skipping_checks_publishes_processed_rows(spark):
 def parity(spark):
     from oracle_compare import compare
     Q.clear_flows()
-    return compare(spark, SF_SMALL, verbose=False)
+    return compare(spark, SF_SMALL, list(Q.queries()), verbose=False)
 
 
 def test_every_query_has_an_oracle():
-    import __spark_entry__ as entry
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    from oracle.queries import oracle_sql
+    assert set(Q.queries()) == set(oracle_sql())
 
 
 def test_oracle_parity_sf0001(parity):

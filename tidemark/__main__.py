@@ -36,6 +36,7 @@ def main(argv: list[str] | None = None) -> int:
     run.add_argument("--quality-checks", choices=["true", "false"], default="true")
     run.add_argument("--quarantine-on", choices=["error", "any"], default="error")
     run.add_argument("--as-of", help="reference date for customer age (default: today)")
+    run.add_argument("--freshness-curr-timestamp", help="end of the freshness lookback (default: the run's time)")
     run.add_argument("--batch-id")
 
     args = parser.parse_args(argv)
@@ -55,7 +56,8 @@ def main(argv: list[str] | None = None) -> int:
     raw = {t: read_table(spark, f"{args.raw.rstrip(sep)}{sep}raw_{t}") for t in TABLES}
     config = RunConfig(as_of=args.as_of, batch_id=args.batch_id, run_mode=args.run_mode,
                        start_date=args.start_date, end_date=args.end_date,
-                       quality_checks=args.quality_checks == "true", quarantine_on=args.quarantine_on)
+                       quality_checks=args.quality_checks == "true", quarantine_on=args.quarantine_on,
+                       freshness_curr_timestamp=args.freshness_curr_timestamp)
     for r in publish(spark, raw, args.out, config).collect():  # one row per published table
         print(f"{r.table_name}\t{r.row_count}\t{r.error or ''}")
     return 0

@@ -32,15 +32,20 @@ def phone_digits(c: ColumnOrName) -> Column:
     return F.regexp_replace(_c(c), r"[^\d+]", "")
 
 
+#: how Spark writes the floating-point values that are no numbers
+NOT_FINITE = ("NaN", "Infinity", "-Infinity")
+
+
 def in_range_or_null(c: ColumnOrName, min_val=None, max_val=None, dtype: DataType | None = None) -> Column:
     """The value if inside the closed interval [min_val, max_val] (either bound optional), else null.
 
     On a string column (``dtype`` a StringType) the comparison is made on ``try_cast(c AS bigint)`` and the
-    original string is returned; a non-numeric string is out of range (null), never an error.
+    original string is returned; a non-numeric string is out of range (null), never an error. NaN and
+    infinities are out of every range.
     """
     col = _c(c)
     probe = col.try_cast("bigint") if isinstance(dtype, StringType) else col
-    cond = probe.isNotNull()
+    cond = probe.isNotNull() & ~probe.cast("string").isin(*NOT_FINITE)
     if min_val is not None:
         cond = cond & (probe >= F.lit(min_val))
     if max_val is not None:

@@ -40,7 +40,6 @@ from tidemark.operators.rules import (
     SqlQuery,
 )
 from tidemark.session import (
-    checkpoint_dir,
     estimated_row_bytes,
     fits_broadcast,
     materialize,
@@ -58,19 +57,16 @@ QUARANTINE_POLICIES = ("error", "any")
 class Gate:
     """Decides how a violating-key frame is joined back.
 
-    With a shared folder the frame is written once while its rows and estimated in-memory bytes are
+    The frame is written once while its rows and estimated in-memory bytes are
     observed in the same job: 0 rows -> no join at all; at most ``max_rows`` rows and ``max_bytes``
     bytes (default: the session's ``spark.sql.autoBroadcastJoinThreshold``) -> broadcast hash join;
-    otherwise a shuffle join (AQE splits skewed partitions). Without a shared folder the frame stays
-    lazy and AQE decides from runtime shuffle statistics.
+    otherwise a shuffle join (AQE splits skewed partitions).
     """
 
     max_rows: int = 2_000_000
     max_bytes: int | None = None
 
     def prepare(self, frame: DataFrame, name: str) -> DataFrame | None:
-        if checkpoint_dir(frame.sparkSession) is None:
-            return frame
         frame, metrics = materialize_observed(frame, name, rows=F.count(F.lit(1)),
                                               bytes=F.coalesce(F.sum(estimated_row_bytes(frame)), F.lit(0)))
         if metrics["rows"] == 0:
@@ -126,10 +122,14 @@ def _empty() -> Column:
 
 
 def _run_sql(df: DataFrame, check: SqlQuery) -> DataFrame:
+    """The rule's query over ``df``; the view it reads is gone once the query is analyzed."""
     view = f"tidemark_input_{uuid.uuid4().hex[:12]}"
     df.createOrReplaceTempView(view)
     pattern = r"\{\{\s*" + re.escape(check.input_placeholder) + r"\s*\}\}"
-    return df.sparkSession.sql(re.sub(pattern, view, check.query))
+    try:
+        return df.sparkSession.sql(re.sub(pattern, view, check.query))
+    finally:
+        df.sparkSession.catalog.dropTempView(view)
 
 
 def _group_key(r: Rule) -> tuple[str, ...] | None:
@@ -197,9 +197,13 @@ def window_start(ts: Column, minutes: int, ts_type: str) -> Column:
     since = ts - epoch
     whole_minutes = (F.extract(F.lit("DAY"), since).cast("bigint") * 1440
                      + F.extract(F.lit("HOUR"), since).cast("bigint") * 60
-                     + F.extract(F.lit("MINUTE"), since).cast("bigint"))
-    bucket = F.floor(whole_minutes / minutes) * minutes
-    return F.timestamp_add("MINUTE", bucket.cast("int"), epoch)
+                     + F.extract(F.lit("MINUTE"), since).cast("bigint")
+                     # before the epoch the parts are negative: seconds left over belong to the minute below
+                     - (F.extract(F.lit("SECOND"), since) < 0).cast("bigint"))
+    bucket = whole_minutes - F.pmod(whole_minutes, F.lit(minutes))
+    # as an interval of days and minutes: minutes alone leave the int range beyond the year 6000
+    start = F.make_dt_interval(days=F.floor(bucket / 1440).cast("int"), mins=F.pmod(bucket, F.lit(1440)).cast("int"))
+    return epoch + start
 
 
 def _floor_to_window(text: str, minutes: int) -> _dt.datetime:
@@ -233,8 +237,7 @@ def _freshness(df: DataFrame, check: Freshness) -> tuple[Column, DataFrame, Call
                          & (c < F.lit(end.isoformat(sep=" ")).cast(ts_type)))
         fixed_spine = spine_from(df.sparkSession.range(1).select(
             F.lit(end.isoformat(sep=" ")).cast(ts_type).alias("_end")))
-        # The spine has at most lookback_windows rows: a bounded broadcast.
-        counts = (rows.select(wstart.alias("wstart")).join(F.broadcast(fixed_spine), "wstart")
+        counts = (rows.select(wstart.alias("wstart")).join(fixed_spine, "wstart")
                   .groupBy("wstart").agg(F.count(F.lit(1)).alias("records")))
 
         def windows_of(counts: DataFrame) -> DataFrame:

@@ -12,7 +12,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.session import (
-    checkpoint_dir,
     estimated_row_bytes,
     fits_broadcast,
     materialize,
@@ -83,16 +82,15 @@ def join_orders(orders: DataFrame, customers: DataFrame, delivery: DataFrame,
 
 
 def money_sum(c: str) -> Column:
-    """Exact sum of a 2-decimal measure: added as whole hundredths (longs), so the result does not depend
-    on the order in which partial sums are combined. Every measure of the joined table is rounded to 2
-    decimals by cleaning, so nothing is lost."""
-    return F.sum(F.round(F.col(c) * 100).cast("bigint")) / 100.0
+    """Exact sum of a 2-decimal measure, added as DECIMAL(38,2): the result does not depend on the order in
+    which partial sums are combined, and does not overflow below 1e36. Every measure of the joined table is
+    finite and rounded to 2 decimals by cleaning, so nothing is lost."""
+    return F.sum(F.col(c).cast("decimal(38,2)")).cast("double")
 
 
 def money_avg(c: str) -> Column:
-    """Exact average of a 2-decimal measure (sum of hundredths / (count * 100), one correctly rounded
-    division); null when no value is present, like ``avg``."""
-    return F.try_divide(F.sum(F.round(F.col(c) * 100).cast("bigint")), F.count(c) * 100.0)
+    """Exact sum of a 2-decimal measure over its count; null when no value is present, like ``avg``."""
+    return F.try_divide(money_sum(c), F.count(c).cast("double"))
 
 
 def _delayed(flag: str = "is_delayed") -> tuple[Column, Column]:
@@ -196,14 +194,10 @@ def rank_within(df: DataFrame, group: str, order_key: Column, rank_col: str, max
     4. offset = rows of the same group in earlier ranges; rank = offset + local rank; the group's largest
        rank is the maximum of (offset + last local rank) over its ranges.
 
-    Without a shared folder (nothing to pin range ids to) it falls back to the plain window.
+    Ties of one key share a range: rows with equal keys, such as all null revenues, are ranked alike by a
+    running count and need no order among themselves.
     """
     spark = df.sparkSession
-    key = order_key.desc_nulls_last()
-    if checkpoint_dir(spark) is None:
-        ranked = df.withColumn(rank_col, F.rank().over(Window.partitionBy(group).orderBy(key)))
-        return ranked.withColumn(max_col, F.max(rank_col).over(Window.partitionBy(group)))
-
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     ranged = (df.withColumn("_rk_key", order_key)
               .repartitionByRange(n, F.col(group).asc_nulls_first(), F.col("_rk_key").desc_nulls_last())

@@ -27,6 +27,8 @@ from dataclasses import asdict, dataclass, field
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from tidemark.functions.cleaners import NOT_FINITE
+
 CRITICALITIES = ("error", "warn")
 AGGR_TYPES = ("count", "sum", "avg", "min", "max", "count_distinct")
 
@@ -99,7 +101,7 @@ class InRange(RowCheck):
             inside = inside & (c >= F.lit(self.min_limit))
         if self.max_limit is not None:
             inside = inside & (c <= F.lit(self.max_limit))
-        return c.isNotNull() & ~inside
+        return c.isNotNull() & (~inside | c.cast("string").isin(*NOT_FINITE))
 
 
 @dataclass(frozen=True)

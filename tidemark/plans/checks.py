@@ -57,14 +57,6 @@ def orders_rules(freshness_column: str = "order_date", curr_timestamp: str | Non
     ]
 
 
-CUSTOMER_SEGMENT_DISTRIBUTION_SQL = """
-SELECT customer_segment,
-       CASE WHEN COUNT(*) < 1 THEN True ELSE False END AS condition
-FROM {{ input_view }}
-GROUP BY customer_segment
-"""
-
-
 def customers_rules() -> list[Rule]:
     return [
         rule("unique_customer_id", "error", is_unique(["customer_id"])),
@@ -82,8 +74,7 @@ def customers_rules() -> list[Rule]:
                            merge_columns=["customer_id"])),
         rule("minimum_customer_count", "error", is_aggr_not_less_than("*", "count", 1)),
         rule("customer_segment_distribution", "warn",
-             sql_query(CUSTOMER_SEGMENT_DISTRIBUTION_SQL, merge_columns=["customer_segment"],
-                       condition_column="condition", input_placeholder="input_view")),
+             is_aggr_not_less_than("*", "count", 1, group_by=["customer_segment"])),
     ]
 
 
@@ -109,6 +100,22 @@ def rule_sets() -> dict[str, list[Rule]]:
     }
 
 
+def firing_rules() -> list[Rule]:
+    """Dataset-level rules that the base orders table violates: SQL queries of both shapes (one row a key,
+    one row a group), a table-wide minimum and a limit per customer."""
+    return [
+        rule("large_orders", "warn", sql_query(
+            "SELECT o_orderkey, o_totalprice > 300000 AS condition FROM {{ input_view }}", ["o_orderkey"])),
+        rule("large_customers", "warn", sql_query(
+            "SELECT o_custkey, sum(CAST(o_totalprice AS DECIMAL(18, 2))) > 2500000 AS condition "
+            "FROM {{ input_view }} GROUP BY o_custkey", ["o_custkey"])),
+        rule("minimum_row_count", "error", is_aggr_not_less_than("*", "count", 1_000_000_000_000)),
+        rule("max_orders_per_customer", "warn",
+             is_aggr_not_greater_than("o_orderkey", "count", 12, group_by=["o_custkey"])),
+        rule("max_total_price", "error", is_aggr_not_greater_than("o_totalprice", "max", 1_000)),
+    ]
+
+
 def lineitem_rules() -> list[Rule]:
     """The same rule library on the line-item table: a composite key that is not unique in the data,
     per-order aggregate limits and row ranges."""

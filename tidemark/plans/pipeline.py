@@ -9,7 +9,7 @@ consumer, and an executor lost late in the run re-reads files instead of recompu
 from __future__ import annotations
 
 import datetime as _dt
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,13 +19,13 @@ from tidemark.operators import engine, marts, reporting
 from tidemark.operators import transforms as T
 from tidemark.operators.engine import Checked, Gate
 from tidemark.plans import checks
-from tidemark.plans.incremental import in_window
+from tidemark.plans.incremental import in_window, touched_months
 from tidemark.session import (
-    checkpoint_dir,
     estimated_row_bytes,
     fits_broadcast,
     materialize,
     run_concurrently,
+    run_folder,
     spread,
 )
 from tidemark.sources import catalog, sinks
@@ -38,7 +38,8 @@ class RunConfig:
     """Run parameters (all optional).
 
     ``as_of``: reference date for ages (default: today). ``run_mode``: ``full`` or ``incremental``
-    (orders restricted to [start_date, end_date] on order_date; outputs overwrite only touched months).
+    (orders of [start_date, end_date] by order_date and undated ones; the months of the window are rebuilt
+    whole). ``freshness_curr_timestamp``: end of the freshness lookback (``run``: its own time).
     ``quality_checks=False`` publishes processed rows as valid without running rules.
     """
 
@@ -62,15 +63,23 @@ class Flow:
     """Lazily built stages over three raw tables (orders, customers, delivery_performance)."""
 
     def __init__(self, spark: SparkSession, raw: dict[str, DataFrame], config: RunConfig | None = None,
-                 processed_target=None, history: dict[str, DataFrame] | None = None):
+                 processed_target=None, history: dict[str, DataFrame] | None = None,
+                 kept_orders: DataFrame | None = None, stamped: bool = False):
         """``processed_target(table) -> target`` publishes each processed table where the run wants it
         and reuses that copy for the rule passes (one write instead of two). ``history[table]`` holds
-        already published rows that dataset-level rules must also see (incremental runs)."""
+        already published rows that dataset-level rules must also see (incremental runs).
+        ``kept_orders`` are published processed orders of the run's months outside its window: they are
+        checked and published again with the window's rows. ``stamped`` adds the processing time before
+        the checks, so that every published table of a row has it."""
         self.spark = spark
         self.raw = raw
         self.config = config or RunConfig()
         self.processed_target = processed_target
         self.history = history or {}
+        self.kept_orders = kept_orders
+        self.stamped = stamped
+        #: a publishing run quarantines undated rows; the plain run window leaves them out
+        self.with_undated = stamped
         self._processed: dict[str, DataFrame] = {}
         self._checked: dict[str, Checked] = {}
 
@@ -81,8 +90,12 @@ class Flow:
         if table == "orders":
             orders = self.raw["orders"]
             if cfg.run_mode == "incremental":
-                orders = orders.filter(in_window(F.col("order_date"), cfg.start_date, cfg.end_date))
-            return T.clean_orders(orders)
+                inside = in_window(F.col("order_date"), cfg.start_date, cfg.end_date)
+                orders = orders.filter(inside | F.col("order_date").isNull() if self.with_undated else inside)
+            cleaned = T.clean_orders(orders)
+            if self.kept_orders is not None:
+                cleaned = cleaned.unionByName(self.kept_orders.select(*cleaned.columns))
+            return cleaned
         if table == "customers":
             return T.clean_customers(self.raw["customers"], cfg.as_of)
         return T.clean_delivery(self.raw["delivery_performance"])
@@ -91,12 +104,10 @@ class Flow:
         """Processed table, written once: every rule pass then reads only the columns it needs."""
         if table not in self._processed:
             plan = self.processed_plan(table)
-            if checkpoint_dir(self.spark) is not None or self.processed_target:
-                plan = spread(plan)
+            plan = T.stamp_processed(spread(plan)) if self.stamped else spread(plan)
             if self.processed_target:
                 target = self.processed_target(table)
-                sinks.write_table(T.stamp_processed(plan), target,
-                                  partition_by=["order_month"] if table == "orders" else None)
+                sinks.write_table(plan, target, partition_by=["order_month"] if table == "orders" else None)
                 self._processed[table] = sinks.read_table(self.spark, target)
             else:
                 self._processed[table] = materialize(plan, f"processed-{table}")
@@ -145,8 +156,6 @@ class Flow:
     def _broadcast_customers(self) -> bool | None:
         """Broadcast the customer side only when its measured size (rows and estimated bytes of the
         columns the join reads, one aggregation pass) is within the broadcast bounds."""
-        if checkpoint_dir(self.spark) is None:
-            return None
         stats = self.checked("customers").stats
         if stats and "join_bytes" in stats and self.config.quarantine_on == "error":
             return fits_broadcast(self.spark, stats["rows"] - stats["error_rows"], stats["join_bytes"],
@@ -156,40 +165,41 @@ class Flow:
                      F.coalesce(F.sum(estimated_row_bytes(side)), F.lit(0)).alias("bytes")).first()
         return fits_broadcast(self.spark, m["rows"], m["bytes"], self.config.customers_broadcast_rows)
 
+    def joined_plan(self) -> DataFrame:
+        self.check_all()
+        return marts.join_orders(self.valid("orders"), self.valid("customers"), self.valid("delivery_performance"),
+                                 broadcast_customers=self._broadcast_customers())
+
     @cached_property
     def joined(self) -> DataFrame:
-        self.check_all()
-        j = marts.join_orders(self.valid("orders"), self.valid("customers"), self.valid("delivery_performance"),
-                              broadcast_customers=self._broadcast_customers())
-        return materialize(j, "joined")
+        return materialize(self.joined_plan(), "joined")
 
     @cached_property
     def monthly(self) -> DataFrame:
         return marts.monthly_performance(self.joined)
 
-    def marts(self) -> dict[str, DataFrame]:
-        j = self.joined
-        return {
-            "customer_segment_analysis": marts.segment_analysis(j),
-            "monthly_performance": self.monthly,
-            "delivery_analysis": marts.delivery_analysis(j),
-            "customer_ranking": marts.customer_ranking(j),
-            "payment_analysis": marts.payment_analysis(j),
-            "kpi_summary": marts.kpi_summary(j),
-        }
-
     def quality_summary(self) -> DataFrame:
         return reporting.quality_summary({t: self.checked(t).annotated for t in TABLES}, self.config.quarantine_on)
 
 
-def _existing(spark: SparkSession, target: str) -> DataFrame | None:
-    """A published table, or None if it does not exist yet."""
-    if "/" not in target:
-        return spark.table(target) if spark.catalog.tableExists(target) else None
-    try:
-        return sinks.read_table(spark, target)
-    except Exception:  # no such path yet
-        return None
+def all_marts(joined: DataFrame) -> dict[str, DataFrame]:
+    """The six marts over a joined table."""
+    return {
+        "customer_segment_analysis": marts.segment_analysis(joined),
+        "monthly_performance": marts.monthly_performance(joined),
+        "delivery_analysis": marts.delivery_analysis(joined),
+        "customer_ranking": marts.customer_ranking(joined),
+        "payment_analysis": marts.payment_analysis(joined),
+        "kpi_summary": marts.kpi_summary(joined),
+    }
+
+
+def _published_score(valid: DataFrame, quarantine: DataFrame, table: str) -> DataFrame:
+    """Q12 over published tables: rows of ``valid`` are valid, rows of ``quarantine`` are not."""
+    none = F.array().cast("array<string>")
+    rows = valid.select(none.alias(engine.ERRORS), none.alias(engine.WARNINGS)).unionByName(
+        quarantine.select(F.array(F.lit("quarantined")).alias(engine.ERRORS), none.alias(engine.WARNINGS)))
+    return reporting.quality_score(rows, table)
 
 
 def run(spark: SparkSession, raw: dict[str, DataFrame], out_prefix: str,
@@ -197,53 +207,73 @@ def run(spark: SparkSession, raw: dict[str, DataFrame], out_prefix: str,
     """Publish processed, final (valid), quarantine, log, summary, joined and mart tables.
 
     Returns the row-count report (S6) of everything written. ``out_prefix`` is a folder or a catalog
-    namespace; in incremental mode month-partitioned outputs are overwritten only for touched months.
-    The three tables are checked with overlapping jobs, and once the shared stages exist the published
-    tables (independent of each other) are written concurrently.
+    namespace. The three tables are checked with overlapping jobs, published tables that do not depend on
+    each other are written concurrently, and marts come last: a run that fails before leaves the earlier
+    marts in place. Intermediates go to a folder of this run, deleted at its end.
+
+    Incremental runs read the window's rows and the undated ones, join them with the published rows of the
+    window's months outside the window, and replace these months whole in the processed, final, quarantine
+    and joined tables (months left without rows are removed). Rows of other months take part in
+    dataset-level rules. Marts, scores and the summary are computed over the whole published tables.
     """
-    cfg = config or RunConfig()
-    batch = cfg.batch_id or _dt.datetime.now().strftime("%Y%m%d_%H%M%S")
+    with run_folder(spark):
+        return _run(spark, raw, out_prefix, config or RunConfig())
+
+
+def _run(spark: SparkSession, raw: dict[str, DataFrame], out_prefix: str, cfg: RunConfig) -> DataFrame:
+    now = _dt.datetime.now()
+    batch = cfg.batch_id or now.strftime("%Y%m%d_%H%M%S")
+    cfg = replace(cfg, freshness_curr_timestamp=cfg.freshness_curr_timestamp or now.isoformat(" ", "seconds"))
     sep = "/" if "/" in out_prefix else "."
     target = lambda name: f"{out_prefix.rstrip(sep)}{sep}{name}"
-    incremental = cfg.run_mode == "incremental"
-    history = {}
-    if incremental:
-        published = _existing(spark, target("processed_orders"))
-        if published is not None:  # rows of other months: part of the dataset the rules judge
-            inside = in_window(F.col("order_date"), cfg.start_date, cfg.end_date)
-            history["orders"] = published.filter(~F.coalesce(inside, F.lit(False)))
-    flow = Flow(spark, raw, cfg, processed_target=None if incremental else (lambda t: target(f"processed_{t}")),
-                history=history)
-    outputs: list[tuple[str, DataFrame, bool]] = []
+    months = None
+    history, kept = {}, None
+    if cfg.run_mode == "incremental":
+        inside = F.coalesce(in_window(F.col("order_date"), cfg.start_date, cfg.end_date), F.lit(False))
+        months = touched_months(cfg.start_date, cfg.end_date)
+        if sinks.exists(spark, target("processed_orders")):
+            published = sinks.read_table(spark, target("processed_orders"))
+            kept = published.filter(months(F.col("order_month")) & ~inside & F.col("order_date").isNotNull())
+            history["orders"] = published.filter(~months(F.col("order_month")))
+        else:
+            months = None  # nothing published yet: the window's rows are the first tables
+    flow = Flow(spark, raw, cfg, processed_target=(lambda t: target(f"processed_{t}")) if months is None else None,
+                history=history, kept_orders=kept, stamped=True)
+
+    def publish(name: str, df: DataFrame, by_month: bool = False) -> None:
+        if by_month and months is not None:
+            sinks.replace_partitions(df, target(name), "order_month", months)
+        else:
+            sinks.write_table(df, target(name), partition_by=["order_month"] if by_month else None)
 
     flow.check_all()
+    outputs: list[tuple] = []
+    for table in TABLES:
+        by_month = table == "orders"
+        if months is not None:
+            outputs.append((f"processed_{table}", flow.processed(table), by_month))
+        outputs.append((f"final_{table}", flow.valid(table), by_month))
+        outputs.append((f"quarantine_{table}", flow.quarantine(table), by_month))
+    analytics = flow.joined_plan().withColumns({"_created_timestamp": F.current_timestamp(),
+                                                "_batch_id": F.lit(f"batch_{batch}")})
+    outputs.append(("analytics_main", analytics, True))
+    outputs.append(("table_metadata", catalog.table_metadata(spark)))
+    run_concurrently([lambda o=o: publish(*o) for o in outputs])
+
     logs = None
     for table in TABLES:
-        if incremental:
-            outputs.append((f"processed_{table}", T.stamp_processed(flow.processed(table)), table == "orders"))
-        outputs.append((f"final_{table}", flow.valid(table), table == "orders"))
-        outputs.append((f"quarantine_{table}", flow.quarantine(table), table == "orders"))
         log = reporting.rule_log(flow.checked(table), run_id=batch, valid_table=target(f"final_{table}"),
                                  quarantine_table=target(f"quarantine_{table}"))
         logs = log if logs is None else logs.unionByName(log)
-    outputs.append(("data_quality_summary", flow.quality_summary(), False))
-    analytics = flow.joined.withColumns({"_created_timestamp": F.current_timestamp(),
-                                         "_batch_id": F.lit(f"batch_{batch}")})
-    outputs.append(("analytics_main", analytics, True))
-    for name, df in flow.marts().items():
-        outputs.append((name, df.withColumn("_created_timestamp", F.current_timestamp()), False))
-    outputs.append(("table_metadata", catalog.table_metadata(spark), False))
+    sinks.append_table(logs, target("dq_test_logs"))
 
-    def publish(name: str, df: DataFrame, by_month: bool) -> None:
-        if incremental and by_month:
-            sinks.overwrite_partitions(df, target(name), ["order_month"])
-        else:
-            sinks.write_table(df, target(name), partition_by=["order_month"] if by_month else None)
+    read = lambda name: sinks.read_table(spark, target(name))
+    scores = [_published_score(read(f"final_{t}"), read(f"quarantine_{t}"), t) for t in TABLES]
+    summaries = [("data_quality_summary", scores[0].unionByName(scores[1]).unionByName(scores[2]))]
+    joined = read("analytics_main").drop("_created_timestamp", "_batch_id")
+    summaries += [(name, df.withColumn("_created_timestamp", F.current_timestamp())) for name, df in all_marts(joined).items()]
+    run_concurrently([lambda o=o: publish(*o) for o in summaries])
 
-    run_concurrently([lambda o=o: publish(*o) for o in outputs])
-    sinks.append_table(logs, target("dq_test_logs"))
-    written = {name: target(name) for name, _, _ in outputs}
-    if not incremental:
-        written.update({f"processed_{t}": target(f"processed_{t}") for t in TABLES})
-    written["dq_test_logs"] = target("dq_test_logs")
-    return catalog.table_row_counts(spark, written)
+    names = [o[0] for o in (*outputs, *summaries)] + ["dq_test_logs"]
+    names += [f"processed_{t}" for t in TABLES if f"processed_{t}" not in names]
+    return catalog.table_row_counts(spark, {n: target(n) for n in names})

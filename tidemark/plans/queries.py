@@ -11,6 +11,7 @@ whose floating-point summation order differs; the library functions themselves d
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -21,12 +22,17 @@ from tidemark.operators import engine, marts, reporting
 from tidemark.operators import transforms as T
 from tidemark.operators.engine import ERRORS, WARNINGS
 from tidemark.plans import checks
-from tidemark.plans.pipeline import Flow, RunConfig
-from tidemark.session import checkpoint_dir, materialize, spread
-from tidemark.sources import catalog, fixtures
+from tidemark.plans.pipeline import Flow, RunConfig, run
+from tidemark.session import shared_folder
+from tidemark.sources import catalog, csv, fixtures, sinks
 
 AS_OF = "2025-01-01"
 INCREMENTAL_WINDOW = ("1997-01-01", "1997-12-31")
+PART_OF_MONTH = ("1997-01-10", "1997-01-20")
+SAMPLE_COLUMNS = {
+    "customers": ["customer_id", "customer_name", "email", "customer_segment"],
+    "delivery": ["order_id", "delivery_partner_id", "delivery_time_minutes", "distance_km", "delivery_status"],
+}
 SHORT = {"orders": "orders", "customers": "customers", "delivery": "delivery_performance"}
 
 _FLOWS: dict[tuple, Flow] = {}
@@ -175,24 +181,99 @@ def run_window_orders(spark, sf):
     return stable(f.processed("orders").select(*CLEAN_COLUMNS["orders"]))
 
 
-def _lineitem(spark, sf):
-    """The line-item table, spread over the cluster when it arrives in few splits, written once."""
-    lineitem = spark.read.parquet(f"{sf.rstrip('/')}/lineitem.parquet")
-    if checkpoint_dir(spark) is None:
-        return lineitem
-    return materialize(spread(lineitem), "lineitem")
+def _base(spark, sf, table):
+    return spark.read.parquet(f"{sf.rstrip('/')}/{table}.parquet")
 
 
 def lineitem_rule_results(spark, sf):
-    checked = engine.annotate(_lineitem(spark, sf), checks.lineitem_rules()).materialized("annotated-lineitem")
+    """Counts alone: the base table is read in place, with the columns the rules need, and nothing is kept."""
+    checked = engine.annotate(_base(spark, sf, "lineitem"), checks.lineitem_rules())
     return reporting.rule_results(checked).select("rule_name", "criticality", "failed_records_count", "check_status")
 
 
 def lineitem_quality(spark, sf):
-    checked = engine.annotate(_lineitem(spark, sf), checks.lineitem_rules())
+    checked = engine.annotate(_base(spark, sf, "lineitem"), checks.lineitem_rules())
     return stable(reporting.quality_score(checked.annotated, "lineitem"), 6)
 
 
+def fired_rule_results(spark, sf):
+    """Every dataset-level kind of rule in a violating state, over the base orders table."""
+    checked = engine.annotate(_base(spark, sf, "orders"), checks.firing_rules())
+    return reporting.rule_results(checked).select("rule_name", "criticality", "failed_records_count", "check_status")
+
+
+def _scratch(spark, name: str) -> str:
+    return f"{shared_folder(spark).rstrip('/')}/tidemark/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def _incremental(spark, sf) -> str:
+    """Folder of the tables after a full run and a run for part of a month."""
+    out, raw = _scratch(spark, "published"), fixtures.raw_tables(spark, sf)
+    run(spark, raw, out, RunConfig(as_of=AS_OF, batch_id="full"))
+    start, end = PART_OF_MONTH
+    run(spark, raw, out, RunConfig(as_of=AS_OF, batch_id="part", run_mode="incremental", start_date=start, end_date=end))
+    return out
+
+
+def incremental_final_orders(spark, sf):
+    final = spark.read.parquet(f"{_incremental(spark, sf)}/final_orders")
+    warnings = F.array_join(F.array_sort(F.filter(WARNINGS, lambda w: w != "order_data_freshness")), ",")
+    return stable(final.select(*CLEAN_COLUMNS["orders"], warnings.alias("warnings")))
+
+
+def incremental_kpi_summary(spark, sf):
+    return stable(spark.read.parquet(f"{_incremental(spark, sf)}/kpi_summary").select("metric", "value"))
+
+
+def _loaded(spark, sf, tables=("orders", "customers", "delivery_performance")):
+    """(status of the load, folder of the loaded tables) of the raw tables written as CSV files first."""
+    folder, raw = _scratch(spark, "csv"), fixtures.raw_tables(spark, sf)
+    for table in tables:
+        (raw[table].write.option("header", True).option("timestampNTZFormat", csv.TIMESTAMP_FORMAT)
+         .option("dateFormat", "yyyy-MM-dd").csv(f"{folder}/{table}.csv"))
+    out = _scratch(spark, "loaded")
+    mapping = {f"{t}.csv": (f"raw_{t}", t) for t in tables}
+    return csv.load_all(spark, folder, out, mappings=mapping, batch_id="b1"), out
+
+
+def ingested_orders(spark, sf):
+    _, out = _loaded(spark, sf, ("orders",))
+    loaded = spark.read.parquet(f"{out}/raw_orders")
+    columns = fixtures.raw_orders(spark, sf).columns
+    return stable(loaded.select(*columns, "_batch_id", F.col("_source_file").endswith(".csv").alias("from_csv"),
+                                F.col("_load_timestamp").isNotNull().alias("has_load_time")))
+
+
+def ingest_status(spark, sf):
+    status, _ = _loaded(spark, sf)
+    return status.select("source_file", F.element_at(F.split("table_name", "/"), -1).alias("table_name"), "loaded",
+                         "row_count")
+
+
+def logged_rule_results(spark, sf):
+    """The rule log of one run, appended to a table twice and read back."""
+    target = _scratch(spark, "log")
+    checked = flow(spark, sf).checked("orders")
+    for run_id in ("first", "second"):
+        sinks.append_table(reporting.rule_log(checked, run_id=run_id), target)
+    return spark.read.parquet(target).select("run_id", "rule_name", "criticality", "failed_records_count", "check_status")
+
+
+def _sample(name: str):
+    def q(spark, sf):
+        cols = SAMPLE_COLUMNS[name]
+        sample = reporting.quarantine_sample(flow(spark, sf).quarantine(SHORT[name]), cols, cols, 3)
+        return stable(sample.select(*cols, _joined_names(ERRORS).alias("errors")))
+    return q
+
+
+def _preview(name: str):
+    def q(spark, sf):
+        cols = SAMPLE_COLUMNS[name]
+        return stable(catalog.preview(flow(spark, sf).valid(SHORT[name]), cols, cols, 5))
+    return q
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     q: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
     for t in ("orders", "customers", "delivery"):
@@ -202,6 +283,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         q[f"rule_results_{t}"] = _rule_results(t)
         q[f"valid_{t}"] = _valid(t)
         q[f"quarantine_{t}"] = _quarantine(t)
+    for t in SAMPLE_COLUMNS:
+        q[f"quarantine_sample_{t}"] = _sample(t)
+        q[f"preview_final_{t}"] = _preview(t)
     q.update({
         "quality_summary": quality_summary,
         "overall_quality_score": overall_quality_score,
@@ -217,6 +301,12 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "kpi_summary": _mart(marts.kpi_summary),
         "table_row_counts": table_row_counts,
         "preview_final_orders": preview_final_orders,
+        "fired_rule_results": fired_rule_results,
+        "incremental_final_orders": incremental_final_orders,
+        "incremental_kpi_summary": incremental_kpi_summary,
+        "ingested_orders": ingested_orders,
+        "ingest_status": ingest_status,
+        "logged_rule_results": logged_rule_results,
         "freshness_events": _freshness(checks.FRESHNESS["min_records_per_window"]),
         "freshness_events_min12": _freshness(12),
         "run_window_orders": run_window_orders,

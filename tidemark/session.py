@@ -1,16 +1,16 @@
 """Session helpers: building a local session for tests/bench, and locating the shared folder.
 
-The library never picks a storage location itself. Materialised intermediates go under the folder the
-cluster names in ``spark.checkpoint.dir``; only tests, the bench and local entry points set one, and only
-when it is unset.
+Materialised intermediates go under the folder the cluster names in ``spark.checkpoint.dir``. Only a
+single-process ``local[...]`` session without that setting gets a scratch folder.
 """
 
 from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
 from typing import TypeVar
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -35,7 +35,6 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str =
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
-    ensure_checkpoint_dir(spark)
     return spark
 
 
@@ -63,16 +62,6 @@ def scale_conf(input_bytes: int, total_cores: int, partition_bytes: int = 256 <<
     }
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Use the cluster's checkpoint folder; create a scratch one only where none is configured (tests)."""
-    current = checkpoint_dir(spark)
-    if current:
-        return current
-    path = tempfile.mkdtemp(prefix="tidemark-ckpt-")
-    spark.sparkContext.setCheckpointDir(path)
-    return checkpoint_dir(spark) or path
-
-
 def checkpoint_dir(spark: SparkSession) -> str | None:
     """The shared folder named by ``spark.checkpoint.dir``, or the context's checkpoint folder if one was set."""
     value = spark.sparkContext.getConf().get(CHECKPOINT_CONF, None)
@@ -102,36 +91,59 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     has fewer partitions than that, e.g. when it comes from a few unsplittable files. Inputs that are
     already split widely pass through without a shuffle."""
     target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < target:
+    if len(df.inputFiles()) < target:  # a listing on the driver, no job
         return df.repartition(target)
     return df
 
 
+_run_folders: dict[str, str] = {}
+
+
+@contextmanager
+def run_folder(spark: SparkSession) -> Iterator[str]:
+    """Intermediates written inside the block go to a folder of their own, which is deleted at its end."""
+    key = spark.sparkContext.applicationId
+    path = f"{shared_folder(spark).rstrip('/')}/tidemark/run-{uuid.uuid4().hex[:12]}"
+    before = _run_folders.get(key)
+    _run_folders[key] = path
+    try:
+        yield path
+    finally:
+        _run_folders.pop(key)
+        if before:
+            _run_folders[key] = before
+        delete_path(spark, path)
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder through the file system that Spark uses for it."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def _intermediate(spark: SparkSession, name: str) -> str:
+    base = _run_folders.get(spark.sparkContext.applicationId) or f"{shared_folder(spark).rstrip('/')}/tidemark"
+    return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once as parquet under the shared folder and return a scan of it.
 
     This cuts lineage (a lost executor re-reads files instead of recomputing the plan) and lets several
-    consumers share one execution. Without a shared folder the plan is returned unchanged: results are the
-    same, only recomputed per consumer.
+    consumers share one execution. A cluster session without a shared folder is an error.
     """
-    base = checkpoint_dir(df.sparkSession)
-    if not base:
-        return df
-    path = f"{base.rstrip('/')}/tidemark/{name}-{uuid.uuid4().hex[:12]}"
+    path = _intermediate(df.sparkSession, name)
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.parquet(path)
 
 
-def materialize_observed(df: DataFrame, name: str, **metrics: Column) -> tuple[DataFrame, dict | None]:
+def materialize_observed(df: DataFrame, name: str, **metrics: Column) -> tuple[DataFrame, dict]:
     """``materialize`` plus aggregate metrics (e.g. a row count) computed during the same write job.
 
-    Returns (scan of the written table, metrics); without a shared folder, (df, None) and nothing runs.
+    Returns (scan of the written table, metrics).
     """
-    base = checkpoint_dir(df.sparkSession)
-    if not base:
-        return df, None
     observation = Observation(f"tidemark-{uuid.uuid4().hex[:8]}")
-    path = f"{base.rstrip('/')}/tidemark/{name}-{uuid.uuid4().hex[:12]}"
+    path = _intermediate(df.sparkSession, name)
     df.observe(observation, *[c.alias(k) for k, c in metrics.items()]).write.mode("overwrite").parquet(path)
     return df.sparkSession.read.parquet(path), dict(observation.get)
 

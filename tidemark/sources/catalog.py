@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, IntegerType, LongType, StringType, StructField, StructType
 
+from tidemark.session import run_concurrently
 from tidemark.sources.sinks import read_table
 
 ROW_COUNT_SCHEMA = StructType([
@@ -20,23 +21,34 @@ ROW_COUNT_SCHEMA = StructType([
 def table_row_counts(spark: SparkSession, tables: Mapping[str, str | DataFrame]) -> DataFrame:
     """One row per table: (table_name, row_count, error).
 
-    Counts of all resolvable tables run as one union-of-aggregates job; a table that cannot be resolved
-    yields a row with its error instead of failing the report.
+    Tables are counted by overlapping jobs; a table that cannot be resolved or read yields a row with its
+    whole error instead of failing the report.
     """
-    parts: list[DataFrame] = []
-    failures: list[tuple[str, None, str]] = []
-    for name, source in tables.items():
+
+    def count(name: str, source: str | DataFrame) -> tuple[str, int | None, str | None]:
         try:
             df = read_table(spark, source) if isinstance(source, str) else source
-            parts.append(df.agg(F.count(F.lit(1)).alias("row_count"))
-                         .select(F.lit(name).alias("table_name"), "row_count",
-                                 F.lit(None).cast("string").alias("error")))
-        except Exception as exc:  # missing table / path: report it, keep going
-            failures.append((name, None, f"{type(exc).__name__}: {exc}"[:500]))
-    result = spark.createDataFrame(failures, ROW_COUNT_SCHEMA)
-    for part in parts:
-        result = result.unionByName(part)
-    return result
+            return name, df.count(), None
+        except Exception as exc:  # reported in the row
+            return name, None, f"{type(exc).__name__}: {exc}"
+
+    rows = run_concurrently([lambda n=n, s=s: count(n, s) for n, s in tables.items()])
+    return spark.createDataFrame(rows, ROW_COUNT_SCHEMA)
+
+
+def list_tables(spark: SparkSession, namespace: str) -> dict[str, str]:
+    """Table name -> target of every table of a namespace: a catalog schema, or a folder of table folders."""
+    if "/" not in namespace:
+        return {t.name: f"{namespace}.{t.name}" for t in spark.catalog.listTables(namespace) if not t.isTemporary}
+    base = spark._jvm.org.apache.hadoop.fs.Path(namespace)
+    listed = base.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(base)
+    names = sorted(s.getPath().getName() for s in listed if s.isDirectory())
+    return {n: f"{namespace.rstrip('/')}/{n}" for n in names if n[0] not in "._"}
+
+
+def namespace_row_counts(spark: SparkSession, namespace: str) -> DataFrame:
+    """``table_row_counts`` of every table of a namespace."""
+    return table_row_counts(spark, list_tables(spark, namespace))
 
 
 def preview(df: DataFrame, columns: list[str], order_by: list[str], n: int = 5) -> DataFrame:

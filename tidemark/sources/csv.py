@@ -103,7 +103,7 @@ def load_csv_table(spark: SparkSession, folder: str, file_name: str, target: str
         rows = read_table(spark, target).count()
         return LoadOutcome(file_name, target, True, rows, None)
     except Exception as exc:  # one bad file must not stop the others
-        return LoadOutcome(file_name, target, False, None, f"{type(exc).__name__}: {exc}"[:2000])
+        return LoadOutcome(file_name, target, False, None, f"{type(exc).__name__}: {exc}")
 
 
 def load_all(spark: SparkSession, folder: str, target_prefix: str,

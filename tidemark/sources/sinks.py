@@ -7,8 +7,12 @@ A target is either a path (contains ``/``) or a catalog table name. All writes a
 from __future__ import annotations
 
 import threading
+from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tidemark.session import delete_path
 
 
 def _is_path(target: str) -> bool:
@@ -48,6 +52,47 @@ def append_table(df: DataFrame, target: str) -> None:
 _CONF_LOCK = threading.Lock()
 
 
+def exists(spark: SparkSession, target: str) -> bool:
+    """Whether a table is there; errors other than its absence are raised."""
+    if not _is_path(target):
+        return spark.catalog.tableExists(target)
+    path = spark._jvm.org.apache.hadoop.fs.Path(target)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
+
+
+def location(spark: SparkSession, target: str) -> str:
+    """Folder that holds a table's files."""
+    if _is_path(target):
+        return target
+    described = spark.sql(f"DESCRIBE FORMATTED {target}").where("col_name = 'Location'").collect()
+    return described[0].data_type
+
+
+def _partition_folders(spark: SparkSession, target: str, column: str) -> list[str]:
+    base = spark._jvm.org.apache.hadoop.fs.Path(location(spark, target))
+    listed = base.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(base)
+    return [str(s.getPath().toString()) for s in listed if s.getPath().getName().startswith(f"{column}=")]
+
+
+def replace_partitions(df: DataFrame, target: str, column: str, touched: Callable[[Column], Column]) -> None:
+    """Replace the partitions of ``column`` for which ``touched`` holds by the rows of ``df`` (which are of
+    such partitions only); touched partitions that ``df`` has no rows for are removed."""
+    spark = df.sparkSession
+    if not exists(spark, target):
+        write_table(df, target, partition_by=[column])
+        return
+    overwrite_partitions(df, target, [column])
+    present = {r[0] for r in df.select(column).distinct().collect()}  # one row a partition
+    names = {None if f.endswith("=__HIVE_DEFAULT_PARTITION__") else f.rpartition("=")[2]: f
+             for f in _partition_folders(spark, target, column)}
+    stale = spark.createDataFrame([(n,) for n in names if n not in present], f"{column} string").where(touched(F.col(column)))
+    gone = [r[0] for r in stale.collect()]
+    for name in gone:
+        delete_path(spark, names[name])
+    if gone and not _is_path(target):
+        spark.catalog.refreshTable(target)
+
+
 def overwrite_partitions(df: DataFrame, target: str, partition_by: list[str]) -> None:
     """Replace only the partitions present in ``df`` (incremental runs, S11).
 
