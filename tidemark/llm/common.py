@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from tidemark.session import shared_folder
 
 #: bytes of text handled at once by the numpy helpers (about 80 bytes of working memory for each)
-CHUNK_BYTES = 1 << 20
+CHUNK_BYTES = 1 << 18
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

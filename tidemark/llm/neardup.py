@@ -167,27 +167,20 @@ def _sets_of(nodes: DataFrame, docs: DataFrame, classes: DataFrame, words: int)
                 # an id on several texts brings texts of other classes: the digest tells
                 kept = [(k, s) for k, s in zip(nodes, shingle_sets(data, offs, words)) if _digest(s) == k]
                 yield pa.RecordBatch.from_arrays([pa.array([k for k, _ in kept], pa.binary()),
-                                                  pa.array([s.tobytes() for _, s in kept], pa.binary())],
+                                                  pa.array([s.view(np.int64) for _, s in kept], pa.list_(pa.int64()))],
                                                  names=["node", "items"])
 
-    return texts.mapInArrow(run, "node binary, items binary")
+    return texts.mapInArrow(run, "node binary, items array<long>")
 
 
 def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Pairs (u, v) whose full sets meet the similarity, in whole numbers: 100 * common >= percent * union."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            keep = []
-            for s, t in zip(batch.column(2), batch.column(3)):
-                a, b = np.frombuffer(s.as_buffer(), np.uint64), np.frombuffer(t.as_buffer(), np.uint64)
-                both = _common(a, b)
-                keep.append(100 * both >= percent * (len(a) + len(b) - both))
-            yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
-
+    """Pairs (u, v) whose full sets meet the similarity, in whole numbers: 100 * common >= percent * union.
+    Pair by pair in the JVM, so that no batch holds the sets of many pairs."""
     one = sets.select(F.col("node").alias("u"), F.col("items").alias("s"))
     two = sets.select(F.col("node").alias("v"), F.col("items").alias("t"))
-    return pairs.join(two, "v").join(one, "u").select("u", "v", "s", "t").mapInArrow(run, "u binary, v binary")
+    common = F.size(F.array_intersect("s", "t"))
+    return pairs.join(two, "v").join(one, "u").withColumn("common", common).where(
+        100 * F.col("common") >= percent * (F.size("s") + F.size("t") - F.col("common"))).select("u", "v")
 
 
 def _confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame, words: int, percent: int, scratch: Scratch) -> DataFrame:
@@ -218,7 +211,7 @@ def _family_links(rows: DataFrame, classes: DataFrame, docs: DataFrame, words: i
         group = group.combine_chunks()
         node, component = (group.column(c).to_pylist() for c in ("node", "component"))
         signed = np.frombuffer(b"".join(group.column("signature").to_pylist()), np.uint32).reshape(-1, HASHES)
-        sets = [np.frombuffer(x, np.uint64) for x in group.column("items").to_pylist()]
+        sets = [x.values.to_numpy().view(np.uint64) for x in group.column("items")]
         block = group.column("block").to_numpy()
         i, j = group.column("i")[0].as_py(), group.column("j")[0].as_py()
         parent = {c: c for c in component}
