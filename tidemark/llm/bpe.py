@@ -29,7 +29,7 @@ from tidemark.llm.common import table
 
 VOCABULARY = "word_bpe_49k.json"
 #: pieces of text and words that a task remembers, each with their ids (about 100 bytes an entry)
-REMEMBERED = 500_000
+REMEMBERED = 200_000
 #: parts the ids of pieces; no id has it
 PIECE_END = b"\xff\xff\xff\xff"
 
