@@ -193,6 +193,25 @@ def test_search_matches_brute_force(spark, shard_bytes):
     assert search.search(empty, queries, 10, scratch).count() == 0
 
 
+@pytest.mark.parametrize("short,share", [(32, 12), (0, 12), (0, 0), (1 << 20, 12)])
+def test_registered_search_asks_documents(spark, monkeypatch, short, share):
+    monkeypatch.setattr(search, "SHORT_TERMS", short)  # 0: every query scores all documents; 1 << 20: all by WAND
+    monkeypatch.setattr(search, "DENSE_SHARE", share)
+    for name, value in {"QUERY_BLOCK": 3, "SPAN_QUERIES": 4, "GROUP_BYTES": 300_000, "SHARDS_AT_ONCE": 2}.items():
+        monkeypatch.setattr(search, name, value)
+    monkeypatch.setattr(search.build_index, "__defaults__", (30_000,))
+    docs = [(r.doc_id, r.text) for r in table(spark, SF_SMALL, "documents").collect()]
+    got = collections.defaultdict(list)
+    for r in search.query(spark, SF_SMALL).collect():
+        got[r.query_id].append((r["rank"], r.doc_id, r.score))
+    asked = [(i, t) for i, t in docs if i % 20 == 0 and terms(t)]
+    assert len(asked) > 5 and set(got) == {i for i, _ in asked}
+    for q, text in asked:
+        want, found = brute_search(docs, text, 20), sorted(got[q])
+        assert [f[:2] for f in found] == [(k + 1, w[0]) for k, w in enumerate(want)], q
+        assert all(abs(f[2] - w[1]) < 1e-6 for f, w in zip(found, want))
+
+
 def test_pipeline_stages_take_effect(spark):
     import corpus_pipeline as pipeline
     from tests.llm.test_dedup import brute_groups
