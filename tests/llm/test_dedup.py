@@ -83,6 +83,19 @@ def test_near_duplicates_of_repeated_and_null_ids(spark):
     assert neardup.deduplicated(df, 2).columns == df.columns
 
 
+def test_one_row_of_each_group_stays(spark):
+    a, b, c, d = (" ".join(f"{x}{i}" for i in range(50)) for x in "abcd")
+    rows = [(3, a), (5, a), (5, b), (7, c), (7, c), (None, c + " x"), (None, d), (None, d), (None, d + " x"), (None, None),
+            (None, None), (9, ""), (9, "")]
+    df = spark.createDataFrame([(i, t, 1, "x") for i, t in rows], SCHEMA).repartition(3)
+    got = [(r.doc_id, r.text) for r in neardup.deduplicated(df, 2).collect()]
+    last = [t for i, t in got if i is None and t]
+    assert len(last) == 1 and last[0] in (d, d + " x")
+    want = [(3, a), (5, b), (7, c), (None, last[0]), (None, None), (None, None), (9, ""), (9, "")]
+    assert sorted(got, key=str) == sorted(want, key=str)
+    assert neardup.deduplicated(df.limit(0), 2).count() == 0
+
+
 def test_components_of_a_long_path_and_a_star(spark):
     rng = random.Random(2)
     path = [(i, i + 1) for i in range(200)]

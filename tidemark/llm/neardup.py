@@ -95,7 +95,7 @@ def _digest(values: np.ndarray) -> bytes:
 
 
 def _describe(docs: DataFrame, words: int) -> DataFrame:
-    """doc_id, n_shingles, node (digest of the set, null if empty), signature (binary)."""
+    """doc_id, mark (hash of the text), n_shingles, node (digest of the set, null if empty), signature (binary)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -104,13 +104,13 @@ def _describe(docs: DataFrame, words: int) -> DataFrame:
                 full = [s for s in sets if len(s)]
                 signed = iter(signatures(full)) if full else iter(())
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(lo, hi - lo), pa.array([len(s) for s in sets], pa.int64()),
+                    [batch.column(0).slice(lo, hi - lo), batch.column(2).slice(lo, hi - lo), pa.array([len(s) for s in sets], pa.int64()),
                      pa.array([_digest(s) if len(s) else None for s in sets], pa.binary()),
                      pa.array([next(signed).tobytes() if len(s) else None for s in sets], pa.binary())],
-                    names=["doc_id", "n_shingles", "node", "signature"])
+                    names=["doc_id", "mark", "n_shingles", "node", "signature"])
 
-    return docs.select("doc_id", "text").mapInArrow(
-        run, "doc_id long, n_shingles long, node binary, signature binary")
+    return docs.select("doc_id", "text", F.xxhash64("text").alias("mark")).mapInArrow(
+        run, "doc_id long, mark long, n_shingles long, node binary, signature binary")
 
 
 def _bucket_rows(signed: DataFrame) -> DataFrame:
@@ -244,8 +244,8 @@ def _family_links(rows: DataFrame, classes: DataFrame, docs: DataFrame, words: i
     return scratch.write(work.groupBy("family", "i", "j").applyInArrow(run, "u binary, v binary"), "family_links")
 
 
-def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
-    """One row per document: doc_id, n_shingles, component_id (the least id of its group)."""
+def _grouped(docs: DataFrame, words: int, percent: int) -> DataFrame:
+    """One row per document: doc_id, mark, n_shingles, node, component (of its group), head (the group's least id)."""
     scratch = Scratch(docs.sparkSession, "neardup")
     described = scratch.write(_describe(docs, words), "described")
     no_id = F.lit(-1 << 62)
@@ -278,8 +278,13 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     groups = classes.select("node", "least").join(labels, "node", "left").select(
         "node", "least", F.coalesce("component", "node").alias("component"))
     heads = groups.groupBy("component").agg(F.min("least").alias("head"))
-    of_class = groups.join(heads, "component").select("node", "head")
-    return described.select("doc_id", "n_shingles", "node").join(of_class, "node", "left").select(
+    of_class = groups.join(heads, "component").select("node", "component", "head")
+    return described.drop("signature").join(of_class, "node", "left")
+
+
+def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
+    """One row per document: doc_id, n_shingles, component_id (the least id of its group)."""
+    return _grouped(docs, words, percent).select(
         "doc_id", "n_shingles", F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("head")).alias("component_id"))
 
 
@@ -298,10 +303,26 @@ def _cross_pairs(rows: DataFrame) -> DataFrame:
 
 
 def deduplicated(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
-    """``docs`` with one document of each group, the one with the least id. Rows without an id stay."""
-    found = near_duplicates(docs, words, percent)
-    gone = found.where(F.col("doc_id") != F.col("component_id")).select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    """``docs`` with one row of each group, one with the least id (null last). Rows without shingles stay.
+
+    Decided for each id and text; rows equal in both are copies, of which one may stay.
+    """
+    scratch = Scratch(docs.sparkSession, "deduplicated")
+    key = ["none", "id", "mark"]
+    ids = [F.col("doc_id").isNull().alias("none"), F.coalesce(F.col("doc_id").cast("long"), F.lit(0)).alias("id")]
+    copies = scratch.write(_grouped(docs, words, percent).where(F.col("component").isNotNull()).select(
+        "component", "mark", *ids).groupBy("component", *key).agg(F.count("*").alias("n")), "copies")
+    best = copies.groupBy("component").agg(F.min(F.struct(*key)).alias("best"))
+    state = F.when(F.struct(*key) != F.col("best"), F.lit("gone")).when(F.col("n") > 1, F.lit("copied"))
+    states = scratch.write(copies.join(best, "component").withColumn("state", state).where(
+        F.col("state").isNotNull()).select(*key, "state"), "states")
+    marked = docs.select(F.struct(*docs.columns).alias("row"), *ids, F.xxhash64("text").alias("mark"))
+    kept = marked.join(states, key, "left_anti").select("row.*")
+    copied = states.where("state = 'copied'")
+    if copied.isEmpty():
+        return kept
+    one = marked.join(copied, key, "left_semi").groupBy(*key).agg(F.first("row").alias("row"))
+    return kept.unionByName(one.select("row.*"))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
