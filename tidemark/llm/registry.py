@@ -6,10 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import ann, bpe, mixing, neardup, pii, quality, search, secrets, suffixdedup, warc
+from tidemark.llm import ann, bpe, mixing, neardup, pii, quality, search, secrets, simhash, suffixdedup, trie, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_search": search.query,
+    "op12_simhash": simhash.query,
+    "op13_prefix_trie": trie.query,
     "op1_suffix_dedup": suffixdedup.query,
     "op2_warc": warc.query,
     "op3_quality": quality.query,
@@ -22,5 +24,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLE: dict[str, str] = {
+    "op13_prefix_trie": trie.ORACLE,
     "op2_warc": warc.ORACLE,
 }
