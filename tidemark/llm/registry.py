@@ -6,10 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import ann, bpe, mixing, neardup, pii, quality, search, secrets, simhash, suffixdedup, trie, warc
+from tidemark.llm import ann, bpe, mixing, neardup, pii, quality, repair, search, secrets, simhash, suffixdedup, trie, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_search": search.query,
+    "op11_repair": repair.query,
     "op12_simhash": simhash.query,
     "op13_prefix_trie": trie.query,
     "op1_suffix_dedup": suffixdedup.query,
@@ -24,6 +25,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLE: dict[str, str] = {
+    "op11_repair": repair.ORACLE,
     "op13_prefix_trie": trie.ORACLE,
     "op2_warc": warc.ORACLE,
 }
