@@ -159,24 +159,29 @@ def _lineitem_quality() -> str:
             f"{srnd(f'coalesce({ok} / nullif(COUNT(*), 0) * 100, 0.0)', 6)} AS quality_score FROM f")
 
 
-FIRED_RULES = """
-WITH f AS (
+FIRED = [("large_orders", "warn"), ("large_customers", "warn"), ("minimum_row_count", "error"), ("max_orders_per_customer", "warn"),
+         ("max_total_price", "error"), ("unique_customer", "warn"), ("orders_a_day", "error")]
+FIRED_RULES = f"""
+WITH days AS (
+  SELECT d.day, (SELECT COUNT(*) FROM orders WHERE date_trunc('day', o_orderdate) = d.day) AS records
+  FROM (SELECT unnest(generate_series(date_trunc('day', max(o_orderdate)) - INTERVAL '23 days', date_trunc('day', max(o_orderdate)),
+                                      INTERVAL '1 day')) AS day FROM orders) d),
+f AS (
   SELECT o_totalprice > 300000 AS large_orders,
          sum(CAST(o_totalprice AS DECIMAL(18, 2))) OVER (PARTITION BY o_custkey) > 2500000 AS large_customers,
          COUNT(*) OVER () < 1000000000000 AS minimum_row_count,
          COUNT(o_orderkey) OVER (PARTITION BY o_custkey) > 12 AS max_orders_per_customer,
-         max(o_totalprice) OVER () > 1000 AS max_total_price
+         max(o_totalprice) OVER () > 1000 AS max_total_price,
+         o_custkey IS NOT NULL AND COUNT(*) OVER (PARTITION BY o_custkey) > 1 AS unique_customer,
+         coalesce(date_trunc('day', o_orderdate) IN (SELECT day FROM days WHERE records < 7), false) AS orders_a_day
   FROM orders),
 n AS (
-  SELECT unnest(['large_orders', 'large_customers', 'minimum_row_count', 'max_orders_per_customer', 'max_total_price'])
-           AS rule_name,
-         unnest(['warn', 'warn', 'error', 'warn', 'error']) AS criticality,
-         unnest([COUNT(*) FILTER (WHERE large_orders), COUNT(*) FILTER (WHERE large_customers),
-                 COUNT(*) FILTER (WHERE minimum_row_count), COUNT(*) FILTER (WHERE max_orders_per_customer),
-                 COUNT(*) FILTER (WHERE max_total_price)]) AS failed
+  SELECT unnest([{", ".join(f"'{n}'" for n, _ in FIRED)}]) AS rule_name, unnest([{", ".join(f"'{c}'" for _, c in FIRED)}]) AS criticality,
+         unnest([{", ".join(f"COUNT(*) FILTER (WHERE {n})" for n, _ in FIRED)}]) AS failed
   FROM f)
 SELECT rule_name, criticality, CAST(failed AS BIGINT) AS failed_records_count,
-       CASE WHEN failed > 0 THEN 'failed' ELSE 'passed' END AS check_status
+       CASE WHEN failed > 0 OR (rule_name = 'orders_a_day' AND (SELECT COUNT(*) FROM days WHERE records < 7) > 0)
+            THEN 'failed' ELSE 'passed' END AS check_status
 FROM n
 """
 
@@ -340,11 +345,43 @@ FROM (SELECT payment_method, CAST(COUNT(*) AS BIGINT) AS order_count,
         q[f"preview_final_{t}"] = build(
             f"SELECT {picked} FROM (SELECT * FROM valid_{t} ORDER BY {order} LIMIT 5)", (f"valid_{t}",))
 
-    q["incremental_kpi_summary"] = q["kpi_summary"]
-    q["incremental_final_orders"] = build(
-        f"SELECT {_select(CLEAN_COLUMNS['orders'], DOUBLE_COLUMNS['orders'])}, "
-        "array_to_string(list_filter(string_split(warnings, ','), lambda w: w <> 'order_data_freshness'), ',') "
-        "AS warnings FROM valid_orders", ("valid_orders",))
+    for name in ("segment_analysis", "monthly_performance", "delivery_analysis", "customer_ranking", "payment_analysis",
+                 "kpi_summary"):
+        q[f"incremental_{name}"] = q[name]
+    q["incremental_final_orders"] = q["valid_orders"]
+    q["analytics_main_bucketed"] = q["analytics_main"]
+    q["incremental_duplicates"] = build("""
+SELECT order_id, customer_id, order_date, order_month, errors
+FROM (SELECT *, concat_ws(',',
+        CASE WHEN order_id IS NOT NULL AND customer_id IS NOT NULL AND same_pair > 1 THEN 'composite_key_order_customer_is_unique' END,
+        CASE WHEN customer_id IS NULL THEN 'customer_id_not_null' END,
+        CASE WHEN order_id IS NULL THEN 'order_id_not_null' END,
+        CASE WHEN order_id IS NOT NULL AND same_order > 1 THEN 'unique_order_id' END) AS errors
+      FROM (SELECT *, COUNT(*) OVER (PARTITION BY order_id) AS same_order, COUNT(*) OVER (PARTITION BY order_id, customer_id) AS same_pair
+            FROM (SELECT order_id, customer_id, order_date, order_month FROM clean_orders
+                  UNION ALL
+                  SELECT order_id, customer_id, TIMESTAMP '1997-01-15 10:30:00', '1997-01' FROM clean_orders
+                  WHERE CAST(order_id AS BIGINT) % 41 = 3 AND order_month <> '1997-01')))
+WHERE order_month = '1997-01' AND errors <> ''""", ("clean_orders",))
+    sums = ", ".join(f"{srnd(f'CAST(sum(CAST({m} AS DECIMAL(18, 2))) AS DOUBLE)', 4)} AS {m}_sum, CAST(COUNT({m}) AS BIGINT) AS {m}_count"
+                     for m in ("order_total", "delivery_time_minutes", "distance_km", "delivery_efficiency"))
+    groups = "order_month, order_year, customer_segment, delay_category, delivery_status, payment_method"
+    q["mart_cube"] = build(f"SELECT {groups}, CAST(COUNT(*) AS BIGINT) AS orders, {sums}, {_count('is_delayed')} AS delayed, "
+                           f"{_count('NOT is_delayed')} AS on_time FROM joined GROUP BY {groups}", ("joined",))
+    fault = "coalesce(CAST(order_id AS BIGINT), 0) % 13"
+    q["ingest_rejects"] = build(f"""
+SELECT coalesce(order_id, '') AS order_id, CASE {fault} WHEN 1 THEN 'short' WHEN 2 THEN 'long' ELSE 'type' END AS reason,
+       CASE {fault} WHEN 3 THEN 'order_total' END AS columns
+FROM raw_orders WHERE {fault} IN (1, 2, 3)""", ("raw_orders",))
+    q["ingest_reject_status"] = build(f"""
+SELECT 'orders.csv' AS source_file, {_count(f'{fault} NOT IN (1, 2, 3)')} AS row_count, {_count(f'{fault} IN (1, 2, 3)')} AS rejected_count,
+       {_count(f'{fault} NOT IN (1, 2, 3)')} AS loaded_rows, {_count(f'{fault} IN (1, 2, 3)')} AS reject_rows
+FROM raw_orders""", ("raw_orders",))
+    number = "coalesce(CAST(order_id AS BIGINT), 0) % 3"
+    q["ledger_loads"] = build(f"""
+SELECT order_id, customer_id, {_r4('order_total')}, 'orders_' || CAST({number} AS VARCHAR) || '.csv' AS source_file,
+       CASE WHEN {number} = 1 THEN 'b3' ELSE 'b1' END AS _batch_id, '3,0,1' AS files_loaded
+FROM raw_orders WHERE {number} <> 1 OR CAST(order_id AS BIGINT) % 2 = 0""", ("raw_orders",))
     q["ingested_orders"] = build(
         f"SELECT {_select(RAW_COLUMNS['orders'], RAW_DOUBLES['orders'])}, 'b1' AS _batch_id, true AS from_csv, "
         "true AS has_load_time FROM raw_orders", ("raw_orders",))

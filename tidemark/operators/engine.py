@@ -16,8 +16,15 @@ Plan shape for one table (``annotate``):
 5. Row checks and the joined flags become two arrays in one projection: ``_errors`` and ``_warnings``
    (rule names). Without a shared folder the frames stay lazy and AQE picks the join strategy at run time.
 
-So the full rows are scanned once, and shuffled only when a violating-key set is large. Optional
-``history`` rows (already published) join every dataset-level aggregation without being annotated.
+So the full rows are scanned once, and shuffled only when a violating-key set is large.
+
+Key lattice: where one key set holds all columns of others (order and customer, order, customer), its partial
+aggregates are written once and the coarser keys and table-wide limits are rolled up from them, so the rules of
+that table scan the rows once.
+
+Rows already published take part in dataset-level rules in one of two ways. ``state`` holds their partial
+aggregates (``RuleState``): only those of keys that the new rows touch are read into the aggregation. ``history``
+holds the rows themselves, for rules whose measures cannot be merged, or where no state is there yet.
 """
 
 from __future__ import annotations
@@ -25,8 +32,9 @@ from __future__ import annotations
 import datetime as _dt
 import re
 import uuid
+import zlib
 from collections.abc import Callable, Iterable
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -75,17 +83,32 @@ class Gate:
         return F.broadcast(frame) if small else frame
 
 
+@dataclass
+class RuleState:
+    """Partial aggregates of rows, mergeable with those of other rows under the same rules.
+
+    ``keyed``: (part, key columns of the rules, partials), ``windows[rule name]``: (part, wstart, records). ``part``
+    is the column by which a table of state is replaced (its month).
+    """
+
+    part: str
+    keyed: DataFrame | None = None
+    windows: dict[str, DataFrame] = field(default_factory=dict)
+
+
 @dataclass
 class Checked:
     """Annotated rows plus dataset-level outcomes of one rule run.
 
-    ``stats`` (rows, error_rows, warning_rows) is filled when the annotated rows are materialised.
+    ``stats`` (rows, error_rows, warning_rows) is filled when the annotated rows are materialised; ``state`` (the
+    partial aggregates of the annotated rows) if it was asked for.
     """
 
     annotated: DataFrame
     rules: tuple[Rule, ...]
     outcomes: DataFrame
     stats: dict | None = None
+    state: RuleState | None = None
 
     def materialized(self, name: str = "annotated", **extra: Column) -> "Checked":
         """Write the annotated rows once so split, log and scores share one execution; row counts (and
@@ -93,7 +116,7 @@ class Checked:
         df, stats = materialize_observed(self.annotated, name, rows=F.count(F.lit(1)),
                                          error_rows=F.count_if(F.size(ERRORS) > 0),
                                          warning_rows=F.count_if(F.size(WARNINGS) > 0), **extra)
-        return Checked(df, self.rules, self.outcomes, stats)
+        return Checked(df, self.rules, self.outcomes, stats, self.state)
 
     def valid(self, quarantine_on: str = "error") -> DataFrame:
         return split(self.annotated, quarantine_on)[0]
@@ -141,16 +164,111 @@ def _group_key(r: Rule) -> tuple[str, ...] | None:
     return None
 
 
-def _key_frame(df: DataFrame, key: tuple[str, ...], members: list[Rule], tag: str) -> DataFrame:
+def _tag(r: Rule) -> str:
+    """Prefix of a rule's measures: the same in every run, so that stored partials are found again."""
+    return "__" + re.sub(r"\W", "_", r.name) + f"_{zlib.crc32(r.name.encode()):08x}"
+
+
+def _is_mergeable(r: Rule) -> bool:
+    return isinstance(r.check, (KeyedCheck, Condition)) and not r.is_row_rule and r.check.mergeable
+
+
+def state_columns(rules: Iterable[Rule]) -> tuple[str, ...]:
+    """The columns that key the partials of all mergeable rules, in order of first use."""
+    return tuple(dict.fromkeys(k for r in rules if _is_mergeable(r) for k in r.check.keys))
+
+
+def state_name(rules: Iterable[Rule]) -> str:
+    """A name for the state of these rules: other rules, or other limits of windows, have another state."""
+    text = "|".join(sorted(r.definition() for r in rules if _is_mergeable(r)))
+    windows = "|".join(f"{r.name}:{r.check.column}:{r.check.window_minutes}" for r in rules if isinstance(r.check, Freshness))
+    return f"{zlib.crc32(f'{text}#{windows}'.encode()):08x}"
+
+
+@dataclass
+class _Partials:
+    """Written partials of the rows at the finest key, with the bounds of their keys, and those of published rows."""
+
+    frame: DataFrame
+    keys: tuple[str, ...]
+    metrics: dict
+    gate: Gate
+    published: DataFrame | None = None
+
+    def of(self, key: tuple[str, ...], rules: list[Rule]) -> DataFrame:
+        """The measures of ``rules`` by ``key``, over these rows and the published ones of the same keys."""
+        columns = [*key, *[c for r in rules for c in _partial_names(r)]]
+        rows = self.frame.select(*columns)
+        if self.published is not None:
+            rows = rows.unionByName(self._touched(key).select(*columns))
+        combine = [c for r in rules for c in r.check.combined(_tag(r))]
+        combined = rows.groupBy(*key).agg(*combine) if key else rows.agg(*combine)
+        return combined.select(*key, *[c for r in rules for c in r.check.finished(_tag(r))])
+
+    def _touched(self, key: tuple[str, ...]) -> DataFrame:
+        """Published partials of the keys that these rows hold. Bounds of the keys are pushed to the scan; the keys
+        themselves filter it in a semi-join, broadcast if their measured size allows, before anything is shuffled."""
+        published = self.published
+        for k in key:
+            low, high = self.metrics[f"low_{k}"], self.metrics[f"high_{k}"]
+            if low is not None:
+                published = published.filter(F.col(k).isNull() | F.col(k).between(F.lit(low), F.lit(high)))
+        if not key:
+            return published
+        touched = self.frame.select(*[F.col(k).alias(f"__touched_{k}") for k in key]).distinct()
+        if fits_broadcast(self.frame.sparkSession, self.metrics["rows"], self.metrics["bytes"], self.gate.max_rows, self.gate.max_bytes):
+            touched = F.broadcast(touched)
+        cond = None
+        for k in key:
+            c = F.col(k).eqNullSafe(F.col(f"__touched_{k}"))
+            cond = c if cond is None else cond & c
+        return published.join(touched, cond, "left_semi")
+
+
+def _partial_names(r: Rule) -> list[str]:
+    check = r.check
+    if isinstance(check, AggrLimit) and check.aggr_type == "avg":
+        return [f"{_tag(r)}_s", f"{_tag(r)}_c"]
+    suffix = {"Condition": "any", "Unique": "n"}.get(type(check).__name__, "v")
+    return [f"{_tag(r)}_{suffix}"]
+
+
+def _write_partials(df: DataFrame, rules: tuple[Rule, ...], gate: Gate, state: RuleState | None, part: str | None,
+                    name: str) -> _Partials | None:
+    """The partials of all mergeable rules at their finest key, written once: where a state is kept or merged, or where
+    one rule's key holds those of others."""
+    merged = [r for r in rules if _is_mergeable(r)]
+    keys = state_columns(rules)
+    sets = {r.check.keys for r in merged}
+    lattice = len(sets - {()}) > 1 and any(set(keys) == set(k) for k in sets)
+    if not merged or not (lattice or part or (state is not None and state.keyed is not None)):
+        return None
+    by = list(dict.fromkeys([*([part] if part else []), *keys]))
+    aggregates = [p for r in merged for p in r.check.partials(_tag(r))]
+    frame = df.groupBy(*by).agg(*aggregates) if by else df.agg(*aggregates)
+    bounds = {f"{end}_{k}": fn(k) for k in keys for end, fn in (("low", F.min), ("high", F.max))}
+    frame, metrics = materialize_observed(frame, f"partials-{name}", rows=F.count(F.lit(1)),
+                                          bytes=F.coalesce(F.sum(estimated_row_bytes(frame, keys)), F.lit(0)), **bounds)
+    return _Partials(frame, keys, metrics, gate, state.keyed if state is not None else None)
+
+
+def _key_frame(df: DataFrame, key: tuple[str, ...], members: list[Rule], tag: str, partials: _Partials | None = None) -> DataFrame:
     """(tag_k0.., tag_e, tag_w): one row per violating key (or exactly one row for ``key == ()``)."""
     key_names = [f"{tag}_k{j}" for j in range(len(key))]
     pieces: list[DataFrame] = []
 
     fused = [r for r in members if not isinstance(r.check, SqlQuery)]
-    if fused:
-        measures = [m for i, r in enumerate(fused) for m in r.check.measures(f"{tag}_m{i}")]
-        agg = df.groupBy(*key).agg(*measures) if key else df.agg(*measures)
-        flags = [(r.check.violated(f"{tag}_m{i}"), r) for i, r in enumerate(fused)]
+    rolled = [r for r in fused if partials is not None and _is_mergeable(r)]
+    direct = [r for r in fused if r not in rolled]
+    for rules in (rolled, direct):
+        if not rules:
+            continue
+        if rules is rolled:
+            agg = partials.of(key, rules)
+        else:
+            measures = [m for r in rules for m in r.check.measures(_tag(r))]
+            agg = df.groupBy(*key).agg(*measures) if key else df.agg(*measures)
+        flags = [(r.check.violated(_tag(r)), r) for r in rules]
         pieces.append(agg.select(
             *[F.col(k).alias(n) for k, n in zip(key, key_names)],
             _names_array([(c, r.name) for c, r in flags if r.criticality == "error"]).alias(f"{tag}_e"),
@@ -212,9 +330,20 @@ def _floor_to_window(text: str, minutes: int) -> _dt.datetime:
     return _dt.datetime(1970, 1, 1) + _dt.timedelta(seconds=seconds - seconds % (60 * minutes))
 
 
-def _freshness(df: DataFrame, check: Freshness) -> tuple[Column, DataFrame, Callable[[DataFrame], DataFrame]]:
+def _window_counts(df: DataFrame, check: Freshness, part: str) -> DataFrame:
+    """(part, wstart, records) of every window with rows: the state of a freshness rule."""
+    wstart = window_start(F.col(check.column), check.window_minutes, df.schema[check.column].dataType.simpleString())
+    return df.select(F.col(part), wstart.alias("wstart")).filter(F.col("wstart").isNotNull()).groupBy(part, "wstart").agg(
+        F.count(F.lit(1)).alias("records"))
+
+
+def _freshness(df: DataFrame, check: Freshness, counted: list[DataFrame] | None = None
+               ) -> tuple[Column, DataFrame, Callable[[DataFrame], DataFrame]]:
     """(window-start expression, per-window counts, function: counts -> lookback windows).
 
+    ``counted``: window counts that are there already (of these rows, and of published ones) and are summed instead
+    of counting rows.
+
     Counts are one aggregation of the data: with ``curr_timestamp`` the lookback bounds are literals and
     the row filter is pushed to the scan (only the lookback span is read); otherwise every window is
     counted (bounded by the time span, not by the rows) and the lookback ends with the last window
@@ -232,20 +361,25 @@ def _freshness(df: DataFrame, check: Freshness) -> tuple[Column, DataFrame, Call
     if check.curr_timestamp:
         end = _floor_to_window(check.curr_timestamp, check.window_minutes)
         start = end - _dt.timedelta(minutes=check.window_minutes * check.lookback_windows)
-        c = F.col(check.column)
-        rows = df.filter((c >= F.lit(start.isoformat(sep=" ")).cast(ts_type))
+        c = F.col(check.column) if counted is None else F.col("wstart")
+        rows = (df if counted is None else _summed(counted)).filter((c >= F.lit(start.isoformat(sep=" ")).cast(ts_type))
                          & (c < F.lit(end.isoformat(sep=" ")).cast(ts_type)))
         fixed_spine = spine_from(df.sparkSession.range(1).select(
             F.lit(end.isoformat(sep=" ")).cast(ts_type).alias("_end")))
-        counts = (rows.select(wstart.alias("wstart")).join(fixed_spine, "wstart")
-                  .groupBy("wstart").agg(F.count(F.lit(1)).alias("records")))
+        if counted is None:
+            rows = rows.select(wstart.alias("wstart"), F.lit(1).alias("records"))
+        counts = (rows.select("wstart", "records").join(fixed_spine, "wstart")
+                  .groupBy("wstart").agg(F.sum("records").alias("records")))
 
         def windows_of(counts: DataFrame) -> DataFrame:
             return fixed_spine.join(counts, "wstart", "left").select(
                 "wstart", F.coalesce("records", F.lit(0)).alias("records"))
     else:
-        counts = (df.select(wstart.alias("wstart")).filter(F.col("wstart").isNotNull())
-                  .groupBy("wstart").agg(F.count(F.lit(1)).alias("records")))
+        if counted is None:
+            counts = (df.select(wstart.alias("wstart")).filter(F.col("wstart").isNotNull())
+                      .groupBy("wstart").agg(F.count(F.lit(1)).alias("records")))
+        else:
+            counts = _summed(counted).groupBy("wstart").agg(F.sum("records").alias("records"))
 
         def windows_of(counts: DataFrame) -> DataFrame:
             spine = spine_from(counts.agg((F.max("wstart") + width).alias("_end")))
@@ -254,6 +388,13 @@ def _freshness(df: DataFrame, check: Freshness) -> tuple[Column, DataFrame, Call
     return wstart, counts, windows_of
 
 
+def _summed(counted: list[DataFrame]) -> DataFrame:
+    out = counted[0].select("wstart", "records")
+    for more in counted[1:]:
+        out = out.unionByName(more.select("wstart", "records"))
+    return out
+
+
 def _window_outcome(windows: DataFrame, check: Freshness) -> tuple[DataFrame, DataFrame]:
     """(under-filled windows, 1-row outcome (observed, dataset_violated))."""
     low = F.col("records") < check.min_records_per_window
@@ -279,7 +420,7 @@ def freshness_report(df: DataFrame, column: str, window_minutes: int, min_record
         (F.col("records") < min_records_per_window).alias("below_min"))
 
 
-def _global_frame(df: DataFrame, members: list[Rule], tag: str) -> DataFrame:
+def _global_frame(df: DataFrame, members: list[Rule], tag: str, partials: _Partials | None = None) -> DataFrame:
     """Exactly one row: the measures of all table-wide checks plus ``tag_e`` / ``tag_w`` name arrays.
 
     Every piece is a 1-row aggregate, so the pieces are combined by cross join (1 x 1 rows).
@@ -288,15 +429,19 @@ def _global_frame(df: DataFrame, members: list[Rule], tag: str) -> DataFrame:
     errs: list[Column] = []
     warns: list[Column] = []
     fused = [r for r in members if not isinstance(r.check, SqlQuery)]
-    if fused:
-        measures = [m for i, r in enumerate(fused) for m in r.check.measures(f"{tag}_m{i}")]
-        flags = [(r.check.violated(f"{tag}_m{i}"), r) for i, r in enumerate(fused)]
-        pieces.append(df.agg(*measures).select(
+    rolled = [r for r in fused if partials is not None and _is_mergeable(r)]
+    direct = [r for r in fused if r not in rolled]
+    for n, rules in enumerate((rolled, direct)):
+        if not rules:
+            continue
+        agg = partials.of((), rules) if rules is rolled else df.agg(*[m for r in rules for m in r.check.measures(_tag(r))])
+        flags = [(r.check.violated(_tag(r)), r) for r in rules]
+        pieces.append(agg.select(
             "*",
-            _names_array([(c, r.name) for c, r in flags if r.criticality == "error"]).alias(f"{tag}_fe"),
-            _names_array([(c, r.name) for c, r in flags if r.criticality == "warn"]).alias(f"{tag}_fw")))
-        errs.append(F.col(f"{tag}_fe"))
-        warns.append(F.col(f"{tag}_fw"))
+            _names_array([(c, r.name) for c, r in flags if r.criticality == "error"]).alias(f"{tag}_fe{n}"),
+            _names_array([(c, r.name) for c, r in flags if r.criticality == "warn"]).alias(f"{tag}_fw{n}")))
+        errs.append(F.col(f"{tag}_fe{n}"))
+        warns.append(F.col(f"{tag}_fw{n}"))
     for i, r in enumerate(m for m in members if isinstance(m.check, SqlQuery)):
         result = _run_sql(df, r.check)
         hit = F.coalesce(F.bool_or(F.coalesce(F.col(r.check.condition_column).cast("boolean"), F.lit(False))),
@@ -311,8 +456,8 @@ def _global_frame(df: DataFrame, members: list[Rule], tag: str) -> DataFrame:
     return frame.select("*", concat(errs).alias(f"{tag}_e"), concat(warns).alias(f"{tag}_w"))
 
 
-def annotate(df: DataFrame, rules: Iterable[Rule], gate: Gate | None = None,
-             history: DataFrame | None = None) -> Checked:
+def annotate(df: DataFrame, rules: Iterable[Rule], gate: Gate | None = None, history: DataFrame | None = None,
+             state: RuleState | None = None, state_part: str | None = None) -> Checked:
     """Evaluate ``rules`` on ``df``: adds ``_errors``, ``_warnings`` (arrays of rule names) and
     ``_data_quality_score`` (1 - violated rules / rules).
 
@@ -324,6 +469,9 @@ def annotate(df: DataFrame, rules: Iterable[Rule], gate: Gate | None = None,
     every dataset-level check (uniqueness, per-key limits and conditions, table-wide aggregates,
     freshness) but are not annotated or returned, so an incremental run judges new rows against the
     whole dataset.
+
+    ``state``: the partial aggregates of such rows, instead of the rows. ``state_part``: also return the partial
+    aggregates of ``df`` by this column, for later runs (``Checked.state``).
     """
     rules = tuple(rules)
     _check_names(rules)
@@ -341,16 +489,23 @@ def annotate(df: DataFrame, rules: Iterable[Rule], gate: Gate | None = None,
             groups.setdefault(key, []).append(r)
     tags = {key: f"__g{gi}" for gi, key in enumerate(groups)}
     fresh = [r for r in rules if isinstance(r.check, Freshness)]
-    fresh_parts = [_freshness(source, r.check) for r in fresh]
+    partials = _write_partials(source, rules, gate, state, state_part, run)
+    part = state_part or (state.part if state is not None else None)
+    own = {r.name: materialize(_window_counts(source, r.check, part), f"window-state-{run}") for r in fresh} if part else {}
+    fresh_parts = []
+    for r in fresh:
+        published = [state.windows[r.name]] if state is not None and r.name in state.windows else []
+        fresh_parts.append(_freshness(source, r.check, [own[r.name], *published] if part else None))
+    kept = RuleState(state_part, partials.frame if partials else None, own) if state_part else None
 
     # side frames, materialised concurrently (small by construction, or gated by their measured size)
     tasks = []
     for key, members in groups.items():
         if key:
-            frame = _key_frame(source, key, members, tags[key])
+            frame = _key_frame(source, key, members, tags[key], partials)
             tasks.append(lambda frame=frame, key=key: gate.prepare(frame, f"violations-{run}-{tags[key][3:]}"))
         else:  # one row
-            frame = _global_frame(source, members, tags[key])
+            frame = _global_frame(source, members, tags[key], partials)
             tasks.append(lambda frame=frame: materialize(frame, f"global-{run}"))
     for i, (_, counts, windows_of) in enumerate(fresh_parts):
         # counts: one row per window of the data's time span, written once; then the lookback windows
@@ -374,12 +529,12 @@ def annotate(df: DataFrame, rules: Iterable[Rule], gate: Gate | None = None,
         if not key:
             base = base.crossJoin(F.broadcast(frame))
             fused = [r for r in members if not isinstance(r.check, SqlQuery)]
-            for i, r in enumerate(fused):
+            for r in fused:
                 if isinstance(r.check, AggrLimit):
                     outcome_rows.append(frame.select(
                         F.lit(r.name).alias("rule_name"),
-                        F.col(f"{tag}_m{i}_v").cast("string").alias("observed"),
-                        r.check.violated(f"{tag}_m{i}").alias("dataset_violated")))
+                        F.col(f"{_tag(r)}_v").cast("string").alias("observed"),
+                        r.check.violated(_tag(r)).alias("dataset_violated")))
         else:
             cond = None
             for j, k in enumerate(key):
@@ -416,7 +571,7 @@ def annotate(df: DataFrame, rules: Iterable[Rule], gate: Gate | None = None,
     outcomes = df.sparkSession.createDataFrame([], "rule_name string, observed string, dataset_violated boolean")
     for o in outcome_rows:
         outcomes = outcomes.unionByName(o)
-    return Checked(annotated, rules, outcomes)
+    return Checked(annotated, rules, outcomes, state=kept)
 
 
 def split(annotated: DataFrame, quarantine_on: str = "error") -> tuple[DataFrame, DataFrame]:

@@ -111,10 +111,26 @@ def _share_of_total(grouped: DataFrame, count_col: str) -> DataFrame:
             .drop("_grand_total"))
 
 
+def with_distinct(grouped: DataFrame, rows: DataFrame, keys: list[str], counted: str, name: str) -> DataFrame:
+    """``grouped`` with the exact number of distinct values of a column in each group of ``rows``.
+
+    Values are made distinct before they are counted, in an aggregation of their own over two or three columns.
+    Several distinct counts in one aggregation would copy every row once for each of them.
+    """
+    values = rows.where(F.col(counted).isNotNull()).select(*keys, counted).distinct()
+    counts = values.groupBy(*[F.col(k).alias(f"_of_{k}") for k in keys]).agg(F.count(F.lit(1)).alias(name))
+    cond = None
+    for k in keys:
+        c = F.col(k).eqNullSafe(F.col(f"_of_{k}"))
+        cond = c if cond is None else cond & c
+    return (grouped.join(counts, cond, "left").withColumn(name, F.coalesce(name, F.lit(0).cast("long")))
+            .drop(*[f"_of_{k}" for k in keys]))
+
+
 def segment_analysis(joined: DataFrame) -> DataFrame:
     """A1: by customer_segment."""
     delayed, on_time = _delayed()
-    return (joined.groupBy("customer_segment").agg(
+    grouped = (joined.groupBy("customer_segment").agg(
         F.count(F.lit(1)).alias("total_orders"),
         F.count_distinct("customer_id").alias("unique_customers"),
         money_avg("order_total").alias("avg_order_value"),
@@ -122,18 +138,18 @@ def segment_analysis(joined: DataFrame) -> DataFrame:
         money_avg("delivery_time_minutes").alias("avg_delivery_time"),
         delayed, on_time,
         money_avg("distance_km").alias("avg_delivery_distance"),
-        F.count_distinct("payment_method").alias("payment_methods_used"),
-    ).withColumns({
+    ))
+    return with_distinct(grouped, joined, ["customer_segment"], "payment_method", "payment_methods_used").withColumns({
         "delivery_success_rate": _pct("on_time_orders", "total_orders"),
         "avg_orders_per_customer": F.round(F.try_divide(F.col("total_orders"), F.col("unique_customers")), 2),
-    }))
+    })
 
 
 def monthly_performance(joined: DataFrame) -> DataFrame:
     """A2: by (order_year, order_month), sorted. ``monthly_growth_rate`` is kept as a typed null column;
     ``monthly_growth`` computes the real month-over-month figure."""
     delayed, on_time = _delayed()
-    return (joined.groupBy("order_year", "order_month").agg(
+    grouped = (joined.groupBy("order_year", "order_month").agg(
         F.count(F.lit(1)).alias("total_orders"),
         F.count_distinct("customer_id").alias("unique_customers"),
         money_sum("order_total").alias("total_revenue"),
@@ -141,11 +157,12 @@ def monthly_performance(joined: DataFrame) -> DataFrame:
         money_avg("delivery_time_minutes").alias("avg_delivery_time"),
         delayed, on_time,
         money_avg("distance_km").alias("avg_delivery_distance"),
-        F.count_distinct("customer_segment").alias("segments_served"),
-    ).withColumns({
+    ))
+    keys = ["order_year", "order_month"]
+    return with_distinct(grouped, joined, keys, "customer_segment", "segments_served").withColumns({
         "delivery_success_rate": _pct("on_time_orders", "total_orders"),
         "monthly_growth_rate": F.lit(None).cast("double"),
-    }).orderBy("order_year", "order_month"))
+    }).orderBy(*keys)
 
 
 def monthly_growth(monthly: DataFrame) -> DataFrame:
@@ -238,6 +255,11 @@ def customer_ranking(joined: DataFrame, partitions: int | None = None) -> DataFr
         money_avg("delivery_time_minutes").alias("avg_delivery_time"),
         delayed, on_time,
     ).withColumn("delivery_success_rate", _pct("on_time_orders", "order_count"))
+    return ranked_customers(per_customer, partitions)
+
+
+def ranked_customers(per_customer: DataFrame, partitions: int | None = None) -> DataFrame:
+    """Rank and percentile of each customer's revenue within the segment."""
     ranked = rank_within(per_customer, "customer_segment", F.round("total_revenue", 2),
                          "customer_rank_in_segment", "_max_rank", partitions)
     return (ranked.withColumn("customer_percentile", _pct("customer_rank_in_segment", "_max_rank"))
@@ -277,6 +299,11 @@ def kpi_summary(joined: DataFrame) -> DataFrame:
         (F.count_distinct(premium_customer) + F.coalesce(F.max(premium_null_id), F.lit(0))).alias("m6"),
         _distinct_with_null(F.col("customer_segment")).alias("m7"),
     )
+    return kpi_rows(values)
+
+
+def kpi_rows(values: DataFrame) -> DataFrame:
+    """The (metric, value) rows of one row of measures m0, m1, ..."""
     rows = F.array(*[F.struct(F.lit(label).alias("metric"),
                               F.col(f"m{i}").cast("double").alias("value"))
                      for i, label in enumerate(KPI_METRICS)])

@@ -77,6 +77,21 @@ class KeyedCheck(Check):
         """Boolean over the aggregated row (never null)."""
         raise NotImplementedError
 
+    # mergeable form: rows -> partials at any finer key -> combined partials -> the measures
+    mergeable = True
+
+    def partials(self, tag: str) -> list[Column]:
+        """Aggregates of rows that can be combined further."""
+        return self.measures(tag)
+
+    def combined(self, tag: str) -> list[Column]:
+        """Aggregates of partials, named as they are."""
+        raise NotImplementedError
+
+    def finished(self, tag: str) -> list[Column]:
+        """The measures as expressions over one row of combined partials."""
+        raise NotImplementedError
+
 
 @dataclass(frozen=True)
 class NotNull(RowCheck):
@@ -139,6 +154,17 @@ class Condition(Check):
     def violated(self, tag: str) -> Column:
         return F.coalesce(F.col(f"{tag}_any"), F.lit(False))
 
+    mergeable = True
+
+    def partials(self, tag: str) -> list[Column]:
+        return self.measures(tag)
+
+    def combined(self, tag: str) -> list[Column]:
+        return [F.bool_or(f"{tag}_any").alias(f"{tag}_any")]
+
+    def finished(self, tag: str) -> list[Column]:
+        return [F.col(f"{tag}_any")]
+
     @property
     def is_row_check(self) -> bool:
         return not self.merge_columns
@@ -162,6 +188,12 @@ class Unique(KeyedCheck):
             complete = complete & F.col(c).isNotNull()
         return complete & (F.col(f"{tag}_n") > 1)
 
+    def combined(self, tag: str) -> list[Column]:
+        return [F.sum(f"{tag}_n").alias(f"{tag}_n")]
+
+    def finished(self, tag: str) -> list[Column]:
+        return [F.col(f"{tag}_n")]
+
 
 @dataclass(frozen=True)
 class AggrLimit(KeyedCheck):
@@ -207,6 +239,27 @@ class AggrLimit(KeyedCheck):
         breach = v > F.lit(self.limit) if self.bound == "max" else v < F.lit(self.limit)
         return F.coalesce(breach, F.lit(False))
 
+    @property
+    def mergeable(self) -> bool:  # type: ignore[override]
+        return self.aggr_type != "count_distinct"
+
+    def partials(self, tag: str) -> list[Column]:
+        if self.aggr_type == "avg":
+            return [F.sum(self.column).alias(f"{tag}_s"), F.count(self.column).alias(f"{tag}_c")]
+        return self.measures(tag)
+
+    def combined(self, tag: str) -> list[Column]:
+        if self.aggr_type == "avg":
+            return [F.sum(f"{tag}_s").alias(f"{tag}_s"), F.sum(f"{tag}_c").alias(f"{tag}_c")]
+        if self.aggr_type == "count":  # over no row at all: 0, not null
+            return [F.coalesce(F.sum(f"{tag}_v"), F.lit(0).cast("long")).alias(f"{tag}_v")]
+        return [{"sum": F.sum, "min": F.min, "max": F.max}[self.aggr_type](f"{tag}_v").alias(f"{tag}_v")]
+
+    def finished(self, tag: str) -> list[Column]:
+        if self.aggr_type == "avg":
+            return [F.try_divide(F.col(f"{tag}_s"), F.col(f"{tag}_c")).alias(f"{tag}_v")]
+        return [F.col(f"{tag}_v")]
+
     def describe(self) -> dict:
         return {"function": self.function, "arguments": asdict(self)}
 

@@ -29,6 +29,7 @@ FRESHNESS = {"window_minutes": 60, "min_records_per_window": 1, "lookback_window
 EMAIL_PATTERN = "^[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+[.][A-Za-z]{2,}$"
 MIN_PHONE_LENGTH = 10
 ALLOWED_SEGMENTS = ("Premium", "Regular", "New", "Inactive", "Unknown")
+MIN_ORDERS_A_DAY = 7
 DELIVERY_MINUTES_LIMITS = (60, 300)
 DISTANCE_KM_LIMITS = (0, 50)
 ALLOWED_DELIVERY_STATUSES = ("On Time", "Delayed", "Unknown")
@@ -102,7 +103,7 @@ def rule_sets() -> dict[str, list[Rule]]:
 
 def firing_rules() -> list[Rule]:
     """Dataset-level rules that the base orders table violates: SQL queries of both shapes (one row a key,
-    one row a group), a table-wide minimum and a limit per customer."""
+    one row a group), a table-wide minimum, a limit per customer, a key that is not unique and days with few orders."""
     return [
         rule("large_orders", "warn", sql_query(
             "SELECT o_orderkey, o_totalprice > 300000 AS condition FROM {{ input_view }}", ["o_orderkey"])),
@@ -113,6 +114,8 @@ def firing_rules() -> list[Rule]:
         rule("max_orders_per_customer", "warn",
              is_aggr_not_greater_than("o_orderkey", "count", 12, group_by=["o_custkey"])),
         rule("max_total_price", "error", is_aggr_not_greater_than("o_totalprice", "max", 1_000)),
+        rule("unique_customer", "warn", is_unique(["o_custkey"])),
+        rule("orders_a_day", "error", is_data_fresh_per_time_window("o_orderdate", 24 * 60, MIN_ORDERS_A_DAY, 24)),
     ]
 
 

@@ -15,9 +15,10 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.operators import engine, marts, reporting
+from tidemark.operators import engine, mart_state, marts, reporting
 from tidemark.operators import transforms as T
-from tidemark.operators.engine import Checked, Gate
+from tidemark.operators.engine import Checked, Gate, RuleState
+from tidemark.operators.rules import Freshness
 from tidemark.plans import checks
 from tidemark.plans.incremental import in_window, touched_months
 from tidemark.session import (
@@ -40,7 +41,8 @@ class RunConfig:
     ``as_of``: reference date for ages (default: today). ``run_mode``: ``full`` or ``incremental``
     (orders of [start_date, end_date] by order_date and undated ones; the months of the window are rebuilt
     whole). ``freshness_curr_timestamp``: end of the freshness lookback (``run``: its own time).
-    ``quality_checks=False`` publishes processed rows as valid without running rules.
+    ``quality_checks=False`` publishes processed rows as valid without running rules. ``buckets``: catalog tables
+    of orders and delivery are bucketed by order id in so many files a partition, and joined as they lie.
     """
 
     as_of: str | None = None
@@ -52,6 +54,7 @@ class RunConfig:
     quarantine_on: str = "error"
     freshness_curr_timestamp: str | None = None
     customers_broadcast_rows: int = 2_000_000
+    buckets: int | None = None
     gate: Gate = field(default_factory=Gate)
 
     def __post_init__(self):
@@ -64,18 +67,20 @@ class Flow:
 
     def __init__(self, spark: SparkSession, raw: dict[str, DataFrame], config: RunConfig | None = None,
                  processed_target=None, history: dict[str, DataFrame] | None = None,
-                 kept_orders: DataFrame | None = None, stamped: bool = False):
+                 kept_orders: DataFrame | None = None, stamped: bool = False, state: dict[str, RuleState] | None = None):
         """``processed_target(table) -> target`` publishes each processed table where the run wants it
         and reuses that copy for the rule passes (one write instead of two). ``history[table]`` holds
         already published rows that dataset-level rules must also see (incremental runs).
         ``kept_orders`` are published processed orders of the run's months outside its window: they are
         checked and published again with the window's rows. ``stamped`` adds the processing time before
-        the checks, so that every published table of a row has it."""
+        the checks, so that every published table of a row has it, and keeps the orders' rule state by month.
+        ``state[table]`` is the rule state of published rows, which takes the place of ``history``."""
         self.spark = spark
         self.raw = raw
         self.config = config or RunConfig()
         self.processed_target = processed_target
         self.history = history or {}
+        self.state = state or {}
         self.kept_orders = kept_orders
         self.stamped = stamped
         #: a publishing run quarantines undated rows; the plain run window leaves them out
@@ -124,7 +129,8 @@ class Flow:
     def _build_checked(self, table: str) -> Checked:
         df = self.processed(table)
         rules = self.rules(table) if self.config.quality_checks else []
-        checked = engine.annotate(df, rules, self.config.gate, history=self.history.get(table))
+        checked = engine.annotate(df, rules, self.config.gate, history=self.history.get(table), state=self.state.get(table),
+                                  state_part="order_month" if self.stamped and rules and table == "orders" else None)
         if not rules:
             return checked
         extra = {}
@@ -182,18 +188,6 @@ class Flow:
         return reporting.quality_summary({t: self.checked(t).annotated for t in TABLES}, self.config.quarantine_on)
 
 
-def all_marts(joined: DataFrame) -> dict[str, DataFrame]:
-    """The six marts over a joined table."""
-    return {
-        "customer_segment_analysis": marts.segment_analysis(joined),
-        "monthly_performance": marts.monthly_performance(joined),
-        "delivery_analysis": marts.delivery_analysis(joined),
-        "customer_ranking": marts.customer_ranking(joined),
-        "payment_analysis": marts.payment_analysis(joined),
-        "kpi_summary": marts.kpi_summary(joined),
-    }
-
-
 def _published_score(valid: DataFrame, quarantine: DataFrame, table: str) -> DataFrame:
     """Q12 over published tables: rows of ``valid`` are valid, rows of ``quarantine`` are not."""
     none = F.array().cast("array<string>")
@@ -213,8 +207,9 @@ def run(spark: SparkSession, raw: dict[str, DataFrame], out_prefix: str,
 
     Incremental runs read the window's rows and the undated ones, join them with the published rows of the
     window's months outside the window, and replace these months whole in the processed, final, quarantine
-    and joined tables (months left without rows are removed). Rows of other months take part in
-    dataset-level rules. Marts, scores and the summary are computed over the whole published tables.
+    and joined tables and in the state of rules and marts (months left without rows are removed). Rows of other
+    months take part in dataset-level rules through their state, and in marts through theirs: neither these
+    rows nor the joined table outside the window's months are read again. Scores count whole published tables.
     """
     with run_folder(spark):
         return _run(spark, raw, out_prefix, config or RunConfig())
@@ -227,21 +222,34 @@ def _run(spark: SparkSession, raw: dict[str, DataFrame], out_prefix: str, cfg: R
     sep = "/" if "/" in out_prefix else "."
     target = lambda name: f"{out_prefix.rstrip(sep)}{sep}{name}"
     months = None
-    history, kept = {}, None
+    history, state, kept = {}, {}, None
+    rules = checks.orders_rules(curr_timestamp=cfg.freshness_curr_timestamp)
+    suffix = engine.state_name(rules)
+    windows = {r.name: f"rule_windows_orders_{suffix}_{n}" for n, r in enumerate(r for r in rules if isinstance(r.check, Freshness))}
+    keyed = f"rule_state_orders_{suffix}"
     if cfg.run_mode == "incremental":
         inside = F.coalesce(in_window(F.col("order_date"), cfg.start_date, cfg.end_date), F.lit(False))
         months = touched_months(cfg.start_date, cfg.end_date)
         if sinks.exists(spark, target("processed_orders")):
             published = sinks.read_table(spark, target("processed_orders"))
             kept = published.filter(months(F.col("order_month")) & ~inside & F.col("order_date").isNotNull())
-            history["orders"] = published.filter(~months(F.col("order_month")))
+            elsewhere = lambda df: df.filter(~months(F.col("order_month")))
+            if all(sinks.exists(spark, target(t)) for t in (keyed, *windows.values())):
+                state["orders"] = RuleState("order_month", elsewhere(sinks.read_table(spark, target(keyed))),
+                                            {r: elsewhere(sinks.read_table(spark, target(t))) for r, t in windows.items()})
+            else:  # published under other rules: the rows themselves
+                history["orders"] = elsewhere(published)
         else:
             months = None  # nothing published yet: the window's rows are the first tables
     flow = Flow(spark, raw, cfg, processed_target=(lambda t: target(f"processed_{t}")) if months is None else None,
-                history=history, kept_orders=kept, stamped=True)
+                history=history, kept_orders=kept, stamped=True, state=state)
+
+    co_located = ("final_orders", "final_delivery_performance") if cfg.buckets and sep == "." else ()
 
     def publish(name: str, df: DataFrame, by_month: bool = False) -> None:
-        if by_month and months is not None:
+        if name in co_located and not (by_month and months is not None and sinks.exists(spark, target(name))):
+            sinks.write_bucketed(df, target(name), ["order_id"], cfg.buckets, ["order_month"] if by_month else None)
+        elif by_month and months is not None:
             sinks.replace_partitions(df, target(name), "order_month", months)
         else:
             sinks.write_table(df, target(name), partition_by=["order_month"] if by_month else None)
@@ -254,24 +262,54 @@ def _run(spark: SparkSession, raw: dict[str, DataFrame], out_prefix: str, cfg: R
             outputs.append((f"processed_{table}", flow.processed(table), by_month))
         outputs.append((f"final_{table}", flow.valid(table), by_month))
         outputs.append((f"quarantine_{table}", flow.quarantine(table), by_month))
-    analytics = flow.joined_plan().withColumns({"_created_timestamp": F.current_timestamp(),
+    def joined_plan() -> DataFrame:
+        if not co_located:
+            return flow.joined_plan()
+        sides = [sinks.read_table(spark, target(t)) for t in co_located]
+        orders = sides[0] if months is None else sides[0].filter(months(F.col("order_month")))
+        return marts.join_orders(orders, flow.valid("customers"), sides[1], broadcast_customers=flow._broadcast_customers())
+
+    if co_located:  # the join reads them as published
+        run_concurrently([lambda o=o: publish(*o) for o in outputs if o[0] in co_located])
+    analytics = joined_plan().withColumns({"_created_timestamp": F.current_timestamp(),
                                                 "_batch_id": F.lit(f"batch_{batch}")})
     outputs.append(("analytics_main", analytics, True))
     outputs.append(("table_metadata", catalog.table_metadata(spark)))
-    run_concurrently([lambda o=o: publish(*o) for o in outputs])
+    run_concurrently([lambda o=o: publish(*o) for o in outputs if o[0] not in co_located])
+
+    def own_months(df: DataFrame) -> DataFrame:
+        return df if months is None else df.filter(months(F.col("order_month")))
+
+    read = lambda name: sinks.read_table(spark, target(name))
+    states = []
+    kept_state = flow.checked("orders").state
+    if kept_state is not None and not history:
+        states.append((keyed, kept_state.keyed, True))
+        states += [(name, kept_state.windows[r], True) for r, name in windows.items()]
+    for name, fn in mart_state.STATES.items():  # from the months just written, or all where there is no state yet
+        fresh = months is not None and sinks.exists(spark, target(name))
+        part = own_months(read("analytics_main")) if fresh else read("analytics_main")
+        states.append((name, fn(part), fresh))
+
+    def publish_state(name: str, df: DataFrame, by_part: bool) -> None:
+        if by_part and months is not None:
+            sinks.replace_partitions(df, target(name), "order_month", months)
+        else:
+            sinks.write_table(df, target(name), partition_by=["order_month"])
+
+    run_concurrently([lambda o=o: publish_state(*o) for o in states])
 
     logs = None
     for table in TABLES:
         log = reporting.rule_log(flow.checked(table), run_id=batch, valid_table=target(f"final_{table}"),
                                  quarantine_table=target(f"quarantine_{table}"))
         logs = log if logs is None else logs.unionByName(log)
-    sinks.append_table(logs, target("dq_test_logs"))
+    sinks.replace_run(logs, target("dq_test_logs"), batch)  # a retried run does not double its rows
 
-    read = lambda name: sinks.read_table(spark, target(name))
     scores = [_published_score(read(f"final_{t}"), read(f"quarantine_{t}"), t) for t in TABLES]
     summaries = [("data_quality_summary", scores[0].unionByName(scores[1]).unionByName(scores[2]))]
-    joined = read("analytics_main").drop("_created_timestamp", "_batch_id")
-    summaries += [(name, df.withColumn("_created_timestamp", F.current_timestamp())) for name, df in all_marts(joined).items()]
+    marts_now = mart_state.all_marts(*[read(name) for name in mart_state.STATES])
+    summaries += [(name, df.withColumn("_created_timestamp", F.current_timestamp())) for name, df in marts_now.items()]
     run_concurrently([lambda o=o: publish(*o) for o in summaries])
 
     names = [o[0] for o in (*outputs, *summaries)] + ["dq_test_logs"]

@@ -16,15 +16,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType
+from pyspark.sql.types import DecimalType, DoubleType
 
-from tidemark.operators import engine, marts, reporting
+from tidemark.operators import engine, mart_state, marts, reporting
 from tidemark.operators import transforms as T
 from tidemark.operators.engine import ERRORS, WARNINGS
 from tidemark.plans import checks
 from tidemark.plans.pipeline import Flow, RunConfig, run
 from tidemark.session import shared_folder
-from tidemark.sources import catalog, csv, fixtures, sinks
+from tidemark.sources import catalog, csv, fixtures, schemas, sinks
 
 AS_OF = "2025-01-01"
 INCREMENTAL_WINDOW = ("1997-01-01", "1997-12-31")
@@ -33,13 +33,22 @@ SAMPLE_COLUMNS = {
     "customers": ["customer_id", "customer_name", "email", "customer_segment"],
     "delivery": ["order_id", "delivery_partner_id", "delivery_time_minutes", "distance_km", "delivery_status"],
 }
+BUCKETS = 8
 SHORT = {"orders": "orders", "customers": "customers", "delivery": "delivery_performance"}
 
+#: the incremental runs judge freshness at this time
+CURRENT_TIME = "1997-01-20 12:00:00"
+#: orders that come again in the window's month, under ids of orders of other months
+REPEATED = F.col("order_id").cast("long") % 41 == 3
+REPEATED_TIME = "1997-01-15 10:30:00"
+
 _FLOWS: dict[tuple, Flow] = {}
+_PUBLISHED: dict[tuple, str] = {}
 
 
 def clear_flows() -> None:
     _FLOWS.clear()
+    _PUBLISHED.clear()
 
 
 def flow(spark: SparkSession, sf_dir: str, **config) -> Flow:
@@ -206,23 +215,69 @@ def _scratch(spark, name: str) -> str:
     return f"{shared_folder(spark).rstrip('/')}/tidemark/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def _config(**more) -> RunConfig:
+    return RunConfig(as_of=AS_OF, freshness_curr_timestamp=CURRENT_TIME, **more)
+
+
 def _incremental(spark, sf) -> str:
-    """Folder of the tables after a full run and a run for part of a month."""
-    out, raw = _scratch(spark, "published"), fixtures.raw_tables(spark, sf)
-    run(spark, raw, out, RunConfig(as_of=AS_OF, batch_id="full"))
-    start, end = PART_OF_MONTH
-    run(spark, raw, out, RunConfig(as_of=AS_OF, batch_id="part", run_mode="incremental", start_date=start, end_date=end))
-    return out
+    """Folder of the tables after a full run and a run for part of a month; published once for several queries."""
+    key = (spark.sparkContext.applicationId, id(spark), sf.rstrip("/"))
+    if key not in _PUBLISHED:
+        out, raw = _scratch(spark, "published"), fixtures.raw_tables(spark, sf)
+        run(spark, raw, out, _config(batch_id="full"))
+        start, end = PART_OF_MONTH
+        run(spark, raw, out, _config(batch_id="part", run_mode="incremental", start_date=start, end_date=end))
+        _PUBLISHED[key] = out
+    return _PUBLISHED[key]
+
+
+def _published(spark, sf, name: str) -> DataFrame:
+    return spark.read.parquet(f"{_incremental(spark, sf)}/{name}")
 
 
 def incremental_final_orders(spark, sf):
-    final = spark.read.parquet(f"{_incremental(spark, sf)}/final_orders")
-    warnings = F.array_join(F.array_sort(F.filter(WARNINGS, lambda w: w != "order_data_freshness")), ",")
-    return stable(final.select(*CLEAN_COLUMNS["orders"], warnings.alias("warnings")))
+    final = _published(spark, sf, "final_orders")
+    return stable(final.select(*CLEAN_COLUMNS["orders"], _joined_names(WARNINGS).alias("warnings")))
+
+
+def _incremental_mart(name: str):
+    """A mart finished from merged state, after a run for part of a month."""
+    return lambda spark, sf: stable(_published(spark, sf, name).drop("_created_timestamp"))
 
 
-def incremental_kpi_summary(spark, sf):
-    return stable(spark.read.parquet(f"{_incremental(spark, sf)}/kpi_summary").select("metric", "value"))
+def incremental_duplicates(spark, sf):
+    """The quarantined orders of a month in which orders of other months come again: found through the state of
+    published keys, as the run reads no other row of these months."""
+    out, raw = _scratch(spark, "published"), fixtures.raw_tables(spark, sf)
+    start, end = PART_OF_MONTH
+    run(spark, raw, out, _config(batch_id="full"))
+    month = F.date_format("order_date", "yyyy-MM")
+    again = raw["orders"].where(REPEATED & (month != start[:7])).withColumn(
+        "order_date", F.lit(REPEATED_TIME).cast(raw["orders"].schema["order_date"].dataType))
+    more = raw | {"orders": raw["orders"].unionByName(again)}
+    run(spark, more, out, _config(batch_id="part", run_mode="incremental", start_date=start, end_date=end))
+    bad = spark.read.parquet(f"{out}/quarantine_orders").where(F.col("order_month") == start[:7])
+    return bad.select("order_id", "customer_id", "order_date", "order_month", _joined_names(ERRORS).alias("errors"))
+
+
+def analytics_main_bucketed(spark, sf):
+    """J1 over orders and delivery as published in bucketed tables."""
+    f = flow(spark, sf)
+    mark = uuid.uuid4().hex[:12]
+    tables = {}
+    for short, table in (("orders", "orders"), ("delivery", "delivery_performance")):
+        tables[short] = f"tidemark_{short}_{mark}"
+        sinks.write_bucketed(f.valid(table), tables[short], ["order_id"], BUCKETS, path=_scratch(spark, short))
+    joined = marts.join_orders(spark.table(tables["orders"]), f.valid("customers"), spark.table(tables["delivery"]))
+    return stable(joined)
+
+
+def mart_cube(spark, sf):
+    """The state that marts are merged from: counts and exact sums by month and group."""
+    cube = mart_state.cube(flow(spark, sf).joined)
+    sums = [F.col(f.name).cast("double").alias(f.name) if isinstance(f.dataType, DecimalType) else F.col(f.name)
+            for f in cube.schema.fields]
+    return stable(cube.select(*sums))
 
 
 def _loaded(spark, sf, tables=("orders", "customers", "delivery_performance")):
@@ -250,12 +305,71 @@ def ingest_status(spark, sf):
                          "row_count")
 
 
+def _faulty_csv(spark, sf):
+    """(status, rejects, loaded) of the raw orders written as CSV lines of which some are short, long or of a wrong type."""
+    folder = _scratch(spark, "csv")
+    orders = fixtures.raw_orders(spark, sf)
+    number = F.coalesce(F.col("order_id").cast("long"), F.lit(0)) % 13
+    cells = [F.coalesce(F.date_format(c, csv.TIMESTAMP_FORMAT) if kind.startswith("timestamp") else F.col(c).cast("string"), F.lit(""))
+             for c, kind in orders.dtypes]
+    at = orders.columns.index("order_total")
+    whole = F.concat_ws(",", *cells)
+    faulty = (F.when(number == 1, F.concat_ws(",", *cells[:-2])).when(number == 2, F.concat(whole, F.lit(",more")))
+              .when(number == 3, F.concat_ws(",", *cells[:at], F.lit("n/a"), *cells[at + 1:])).otherwise(whole))
+    orders.select(faulty.alias(",".join(orders.columns))).write.option("header", True).option("quote", "\u0000").option(
+        "sep", "\u0001").csv(f"{folder}/orders.csv")
+    loaded, rejects = _scratch(spark, "loaded"), _scratch(spark, "rejects")
+    status = csv.load_checked(spark, folder, "orders.csv", loaded, rejects, schemas.TABLE_SCHEMAS["orders"], "b1")
+    return status, spark.read.parquet(rejects), spark.read.parquet(loaded)
+
+
+def ingest_rejects(spark, sf):
+    _, rejects, _ = _faulty_csv(spark, sf)
+    return rejects.select(F.split("line", ",")[0].alias("order_id"), "reason", F.array_join("columns", ",").alias("columns"))
+
+
+def ingest_reject_status(spark, sf):
+    status, rejects, loaded = _faulty_csv(spark, sf)
+    return status.select("source_file", "row_count", "rejected_count").crossJoin(
+        loaded.agg(F.count("*").alias("loaded_rows"))).crossJoin(rejects.agg(F.count("*").alias("reject_rows")))
+
+
+def _csv_file(df: DataFrame, path: str) -> None:
+    """A single CSV file of the raw table at a fixed path, in place of an earlier one."""
+    spark, parts = df.sparkSession, f"{path}__parts"
+    (df.coalesce(1).write.mode("overwrite").option("header", True).option("timestampNTZFormat", csv.TIMESTAMP_FORMAT).csv(parts))
+    names = spark.read.format("binaryFile").option("pathGlobFilter", "*.csv").load(parts).select("path").collect()
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path
+    files = hadoop(path).getFileSystem(spark._jsc.hadoopConfiguration())
+    files.delete(hadoop(path), True)
+    files.rename(hadoop(names[0].path), hadoop(path))
+
+
+def ledger_loads(spark, sf):
+    """Raw orders of three files, loaded three times: all, none (nothing is new), and one changed file, whose rows
+    replace its earlier ones."""
+    folder, target, ledger = (_scratch(spark, n) for n in ("files", "loaded", "ledger"))
+    orders = fixtures.raw_orders(spark, sf)
+    number = F.coalesce(F.col("order_id").cast("long"), F.lit(0)) % 3
+    for n in range(3):
+        _csv_file(orders.where(number == n), f"{folder}/orders_{n}.csv")
+    schema = schemas.TABLE_SCHEMAS["orders"]
+    loads = [csv.load_new(spark, folder, target, ledger, schema, "b1", pattern="orders_?.csv").count(),
+             csv.load_new(spark, folder, target, ledger, schema, "b2", pattern="orders_?.csv").count()]
+    changed = orders.where((number == 1) & (F.col("order_id").cast("long") % 2 == 0))
+    _csv_file(changed, f"{folder}/orders_1.csv")
+    loads.append(csv.load_new(spark, folder, target, ledger, schema, "b3", pattern="orders_?.csv").count())
+    return stable(spark.read.parquet(target).select(
+        "order_id", "customer_id", "order_total", F.element_at(F.split("_source_file", "/"), -1).alias("source_file"), "_batch_id",
+        F.lit(",".join(str(n) for n in loads)).alias("files_loaded")))
+
+
 def logged_rule_results(spark, sf):
-    """The rule log of one run, appended to a table twice and read back."""
+    """The rule logs of two runs, the first of them tried twice, read back."""
     target = _scratch(spark, "log")
     checked = flow(spark, sf).checked("orders")
-    for run_id in ("first", "second"):
-        sinks.append_table(reporting.rule_log(checked, run_id=run_id), target)
+    for run_id in ("first", "second", "first"):
+        sinks.replace_run(reporting.rule_log(checked, run_id=run_id), target, run_id)
     return spark.read.parquet(target).select("run_id", "rule_name", "criticality", "failed_records_count", "check_status")
 
 
@@ -274,6 +388,13 @@ def _preview(name: str):
     return q
 
 
+INCREMENTAL_MARTS = {
+    "segment_analysis": "customer_segment_analysis", "monthly_performance": "monthly_performance",
+    "delivery_analysis": "delivery_analysis", "customer_ranking": "customer_ranking",
+    "payment_analysis": "payment_analysis", "kpi_summary": "kpi_summary",
+}
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     q: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
     for t in ("orders", "customers", "delivery"):
@@ -303,7 +424,13 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "preview_final_orders": preview_final_orders,
         "fired_rule_results": fired_rule_results,
         "incremental_final_orders": incremental_final_orders,
-        "incremental_kpi_summary": incremental_kpi_summary,
+        **{f"incremental_{short}": _incremental_mart(name) for short, name in INCREMENTAL_MARTS.items()},
+        "incremental_duplicates": incremental_duplicates,
+        "analytics_main_bucketed": analytics_main_bucketed,
+        "mart_cube": mart_cube,
+        "ingest_rejects": ingest_rejects,
+        "ingest_reject_status": ingest_reject_status,
+        "ledger_loads": ledger_loads,
         "ingested_orders": ingested_orders,
         "ingest_status": ingest_status,
         "logged_rule_results": logged_rule_results,

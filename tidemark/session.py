@@ -13,6 +13,7 @@ from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
 from typing import TypeVar
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -86,14 +87,29 @@ def shared_folder(spark: SparkSession) -> str:
     return checkpoint_dir(spark)
 
 
+#: text files that are compressed as a whole are read by one task each
+_UNSPLITTABLE = (".gz", ".zst", ".snappy", ".deflate", ".lz4")
+
+
+def scan_splits(df: DataFrame) -> int:
+    """About how many tasks read the input of ``df``: its size over ``spark.sql.files.maxPartitionBytes``, or its
+    files where these cannot be split. Known from the plan's statistics, without a job."""
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    size = sum(int(leaves.apply(i).stats().sizeInBytes()) for i in range(leaves.size()))
+    limit = max(1, _parse_bytes(df.sparkSession.conf.get("spark.sql.files.maxPartitionBytes", "128m")))
+    by_size = -(-size // limit)
+    files = df.inputFiles() if by_size > 1 else []  # a listing that the scan has made already
+    if files and files[0].endswith(_UNSPLITTABLE):
+        return min(by_size, len(files))
+    return by_size
+
+
 def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Round-robin ``df`` over ``min_partitions`` (default: the cluster's default parallelism) only when it
-    has fewer partitions than that, e.g. when it comes from a few unsplittable files. Inputs that are
-    already split widely pass through without a shuffle."""
+    """Round-robin ``df`` over ``min_partitions`` (default: the cluster's default parallelism) only when fewer
+    tasks than that would read it: a small table, or few unsplittable files. Large splittable files pass through
+    without a shuffle, however few they are."""
     target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if len(df.inputFiles()) < target:  # a listing on the driver, no job
-        return df.repartition(target)
-    return df
+    return df.repartition(target) if scan_splits(df) < target else df
 
 
 _run_folders: dict[str, str] = {}
@@ -144,8 +160,20 @@ def materialize_observed(df: DataFrame, name: str, **metrics: Column) -> tuple[D
     """
     observation = Observation(f"tidemark-{uuid.uuid4().hex[:8]}")
     path = _intermediate(df.sparkSession, name)
-    df.observe(observation, *[c.alias(k) for k, c in metrics.items()]).write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.parquet(path), dict(observation.get)
+    wanted = [c.alias(k) for k, c in metrics.items()]
+    df.observe(observation, *wanted).write.mode("overwrite").parquet(path)
+    written, taken = df.sparkSession.read.parquet(path), observed(observation)
+    return written, taken if taken is not None else written.agg(*wanted).first().asDict()
+
+
+def observed(observation: Observation) -> dict | None:
+    """The metrics of an observed write; None where Spark found at run time that there are no rows and took none."""
+    try:
+        return dict(observation.get)
+    except Py4JJavaError as exc:
+        if exc.java_exception.getClass().getName() != "java.lang.AssertionError":
+            raise
+        return None
 
 
 def estimated_row_bytes(frame: DataFrame, columns: Sequence[str] | None = None) -> Column:

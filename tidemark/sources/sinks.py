@@ -7,12 +7,13 @@ A target is either a path (contains ``/``) or a catalog table name. All writes a
 from __future__ import annotations
 
 import threading
+import uuid
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.session import delete_path
+from tidemark.session import delete_path, observed
 
 
 def _is_path(target: str) -> bool:
@@ -30,18 +31,70 @@ def _rebalanced(df: DataFrame, partition_by: list[str]) -> DataFrame:
     return df.hint("rebalance", *partition_by)
 
 
-def write_table(df: DataFrame, target: str, mode: str = "overwrite",
-                partition_by: list[str] | None = None) -> None:
-    """Full-refresh (S3) or append (S10) write, optionally partitioned."""
+def _rename(spark: SparkSession, source: str, target: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    files = path(source).getFileSystem(spark._jsc.hadoopConfiguration())
+    if not files.rename(path(source), path(target)):
+        raise OSError(f"cannot rename {source} to {target}")
+
+
+def write_table(df: DataFrame, target: str, mode: str = "overwrite", partition_by: list[str] | None = None) -> None:
+    """Full-refresh (S3) or append (S10) write, optionally partitioned.
+
+    A refresh writes beside the table and then takes its place, so a run that fails leaves the old table whole and
+    readers never see half of a new one. (Between the two renames of a folder there is a moment without a table;
+    a catalog renames its own entries.)"""
+    spark = df.sparkSession
     if partition_by:
         df = _rebalanced(df, partition_by)
     writer = df.write.mode(mode)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
+    if mode != "overwrite" or not exists(spark, target):
+        writer.parquet(target) if _is_path(target) else writer.format("parquet").saveAsTable(target)
+        return
+    mark = uuid.uuid4().hex[:12]
+    base = target.rstrip("/")
+    staged, old = f"{base}__new_{mark}", f"{base}__old_{mark}"
     if _is_path(target):
-        writer.parquet(target)
-    else:
-        writer.format("parquet").saveAsTable(target)
+        try:
+            writer.parquet(staged)
+        except Exception:
+            delete_path(spark, staged)
+            raise
+        _rename(spark, base, old)
+        _rename(spark, staged, base)
+        delete_path(spark, old)
+        return
+    try:
+        writer.format("parquet").saveAsTable(staged)
+    except Exception:
+        spark.sql(f"DROP TABLE IF EXISTS {staged}")
+        raise
+    spark.sql(f"ALTER TABLE {target} RENAME TO {old}")
+    spark.sql(f"ALTER TABLE {staged} RENAME TO {target}")
+    spark.sql(f"DROP TABLE {old}")
+
+
+def write_bucketed(df: DataFrame, table: str, columns: list[str], buckets: int, partition_by: list[str] | None = None,
+                   path: str | None = None) -> None:
+    """A catalog table whose files are split by the hash of ``columns``: joins on them need no shuffle of this side.
+
+    Rows are dealt by the same hash first, so that each task writes the files of one bucket."""
+    writer = df.repartition(buckets, *columns).write.mode("overwrite").bucketBy(buckets, *columns).sortBy(*columns)
+    if partition_by:
+        writer = writer.partitionBy(*partition_by)
+    if path:
+        writer = writer.option("path", path)
+    writer.format("parquet").saveAsTable(table)
+
+
+RUN_PARTITION = "_run"
+
+
+def replace_run(df: DataFrame, target: str, run_id: str) -> None:
+    """Rows of one run (Q11, S10): appended to those of other runs, replacing those of an earlier try of this run."""
+    overwrite_partitions(df.withColumn(RUN_PARTITION, F.lit(f"run={run_id}")), target, [RUN_PARTITION])
 
 
 def append_table(df: DataFrame, target: str) -> None:
@@ -60,37 +113,42 @@ def exists(spark: SparkSession, target: str) -> bool:
     return path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
 
 
-def location(spark: SparkSession, target: str) -> str:
-    """Folder that holds a table's files."""
-    if _is_path(target):
-        return target
-    described = spark.sql(f"DESCRIBE FORMATTED {target}").where("col_name = 'Location'").collect()
-    return described[0].data_type
+def partition_values(spark: SparkSession, target: str, column: str) -> list[str | None]:
+    """The values of a table's partition column, from its folders or its catalog entries."""
+    if not _is_path(target):
+        listed = [r[0].rpartition("=")[2] for r in spark.sql(f"SHOW PARTITIONS {target}").collect()]
+    else:
+        base = spark._jvm.org.apache.hadoop.fs.Path(target)
+        names = [s.getPath().getName() for s in base.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(base)]
+        listed = [n.rpartition("=")[2] for n in names if n.startswith(f"{column}=")]
+    return [None if v in ("__HIVE_DEFAULT_PARTITION__", "null") else v for v in listed]
 
 
-def _partition_folders(spark: SparkSession, target: str, column: str) -> list[str]:
-    base = spark._jvm.org.apache.hadoop.fs.Path(location(spark, target))
-    listed = base.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(base)
-    return [str(s.getPath().toString()) for s in listed if s.getPath().getName().startswith(f"{column}=")]
+def _drop_partition(spark: SparkSession, target: str, column: str, value: str | None) -> None:
+    if _is_path(target):
+        delete_path(spark, f"{target.rstrip('/')}/{column}={'__HIVE_DEFAULT_PARTITION__' if value is None else value}")
+    else:
+        shown = "null" if value is None else "'" + value.replace("'", "''") + "'"
+        spark.sql(f"ALTER TABLE {target} DROP IF EXISTS PARTITION ({column} = {shown})")
 
 
 def replace_partitions(df: DataFrame, target: str, column: str, touched: Callable[[Column], Column]) -> None:
     """Replace the partitions of ``column`` for which ``touched`` holds by the rows of ``df`` (which are of
-    such partitions only); touched partitions that ``df`` has no rows for are removed."""
+    such partitions only); touched partitions that ``df`` has no rows for are removed.
+
+    The values that ``df`` holds (one a partition) are observed while it is written, so it runs once."""
     spark = df.sparkSession
     if not exists(spark, target):
         write_table(df, target, partition_by=[column])
         return
-    overwrite_partitions(df, target, [column])
-    present = {r[0] for r in df.select(column).distinct().collect()}  # one row a partition
-    names = {None if f.endswith("=__HIVE_DEFAULT_PARTITION__") else f.rpartition("=")[2]: f
-             for f in _partition_folders(spark, target, column)}
-    stale = spark.createDataFrame([(n,) for n in names if n not in present], f"{column} string").where(touched(F.col(column)))
-    gone = [r[0] for r in stale.collect()]
-    for name in gone:
-        delete_path(spark, names[name])
-    if gone and not _is_path(target):
-        spark.catalog.refreshTable(target)
+    seen = Observation()
+    metrics = [F.collect_set(column).alias("values"), F.count_if(F.col(column).isNull()).alias("nulls")]
+    overwrite_partitions(df.observe(seen, *metrics), target, [column])
+    written = observed(seen) or {"values": [], "nulls": 0}
+    present = set(written["values"] or []) | ({None} if written["nulls"] else set())
+    stale = [(v,) for v in partition_values(spark, target, column) if v not in present]
+    for row in spark.createDataFrame(stale, f"{column} string").where(touched(F.col(column))).collect():
+        _drop_partition(spark, target, column, row[0])
 
 
 def overwrite_partitions(df: DataFrame, target: str, partition_by: list[str]) -> None:
@@ -106,7 +164,7 @@ def overwrite_partitions(df: DataFrame, target: str, partition_by: list[str]) ->
          .partitionBy(*partition_by).parquet(target))
         return
     if not spark.catalog.tableExists(target):
-        df.write.mode("overwrite").partitionBy(*partition_by).format("parquet").saveAsTable(target)
+        df.write.partitionBy(*partition_by).format("parquet").saveAsTable(target)
         return
     # insertInto matches by position and takes the mode from the session: set it under a lock.
     columns = spark.table(target).columns
