@@ -1,17 +1,20 @@
 """PII surrogates with DataFrame functions alone (operator 6).
 
-Detected: e-mail addresses, phone numbers, IPv4 addresses, numbers of 13 to 19 digits (cards, accounts),
-numbers like 123-45-6789, and names after a title. A name's parts are entities of their own, so that a
+Detected: e-mail addresses, phone numbers (also international ones), IPv4 and IPv6 addresses, IBANs, numbers of 13 to
+19 digits (cards, accounts), numbers like 123-45-6789, and names after a title, also in capitals. A name's parts are entities of their own, so that a
 surname alone and in a full name get one surrogate (coreference).
 
 Surrogates: a keyed digest of kind and normalized value fills a pattern of the same type: digits stay
 digits in the mention's format (a valid check digit stays valid), an address keeps its number of labels and
-ends in the reserved ``example``, an IPv4 address goes to 10.0.0.0/8, a name is built from syllables of its
+ends in the reserved ``example``, an IPv4 address goes to 10.0.0.0/8, an IPv6 address to 2001:db8::/32, an IBAN keeps its
+country and stays valid, a name is built from syllables of its
 script with an ending of its gender, in the mention's case.
 
 Collision checks: over the distinct entities of the whole corpus, two entities with one surrogate, or a
 surrogate that is itself an entity of its kind, make all but the least entity take the next digest, until
-there is none. Mentions then join the entity table; only texts with mentions are shuffled.
+there is none. From the fourth digest on, a surrogate grows with each further one (letters before an address,
+syllables of a name, a port or an extension behind numbers), so there are always more surrogates than
+entities and the rounds end. Mentions then join the entity table; only texts with mentions are shuffled.
 
 Nulls and edge cases: a null text stays null with 0 entities; repeated rows and null ids each get a result;
 texts are scanned whole. Other columns are ignored; an empty table gives an empty result.
@@ -25,7 +28,8 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import Scratch, table
 
 KEY = "surrogates"
-MAX_ROUNDS = 40
+#: from this attempt on, each further one makes the surrogate longer
+WIDER = 4
 
 # fixed values: titles and the gender they tell
 TITLES = {
@@ -47,12 +51,16 @@ ENDINGS = {
 
 _EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+"
 _IP = r"(?<![\w.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?!\w|\.\d)"
+_IP6 = (r"(?<![\w:.])(?:(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}|(?=(?:[0-9A-Fa-f]{0,4}:){3,7}[0-9A-Fa-f]{0,4}(?![\w:]))"
+        r"(?:[0-9A-Fa-f]{1,4}:){1,6}(?::[0-9A-Fa-f]{1,4}){1,6})(?![\w:])")
+_IBAN = r"(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?:(?: \d{4}){3,7}(?: \d{1,3})?|\d{11,30})(?![A-Za-z0-9])"
+_ABROAD = r"(?<![\w+])\+\d{1,3}(?:[ .-]\(?\d{1,12}\)?){1,5}(?![\w])"
 _PHONE = r"(?<![\w+])(?:\+\d{1,3}[ .-]?)?(?:\(\d{3}\)[ .-]?|\d{3}[ .-])\d{3}[ .-]\d{4}(?![\w])"
 _NUMBER = r"(?<![\w.-])\d(?:[ -]?\d){12,18}(?![\w-]|\.\d)"
 _ID = r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])"
 _NAME = r"\p{Lu}[\p{L}'’-]*\p{L}"
-_PERSON = r"(?<!\p{L})(?:%s)\.? %s(?: %s)?(?!\p{L})" % ("|".join(t for ts in TITLES.values() for t in ts), _NAME, _NAME)
-MENTION = "|".join((_EMAIL, _IP, _PHONE, _NUMBER, _ID, _PERSON))
+_PERSON = r"(?<!\p{L})(?:%s)\.? %s(?: %s)?(?!\p{L})" % ("|".join(f"{t}|{t.upper()}" for ts in TITLES.values() for t in ts), _NAME, _NAME)
+MENTION = "|".join((_EMAIL, _IP6, _IP, _PHONE, _IBAN, _NUMBER, _ID, _ABROAD, _PERSON))
 _PART = "struct<text:string,kind:string>"
 
 
@@ -64,8 +72,8 @@ def _parts(m: Column) -> Column:
     digits = F.length(F.regexp_replace(m, r"\D", ""))
     name = F.regexp_extract(m, rf"^(\p{{L}}+\.? )({_NAME})(?: ({_NAME}))?$", 0)
     title, one, two = (F.regexp_extract(name, rf"^(\p{{L}}+\.? )({_NAME})(?: ({_NAME}))?$", g) for g in (1, 2, 3))
-    gender = F.when(title.rlike(f"^({'|'.join(TITLES['m'])})\\b"), "m").when(
-        title.rlike(f"^({'|'.join(TITLES['n'])})\\b"), "n").otherwise("f")
+    gender = F.when(title.rlike(f"^(?iu:{'|'.join(TITLES['m'])})(?!\\p{{L}})"), "m").when(
+        title.rlike(f"^(?iu:{'|'.join(TITLES['n'])})(?!\\p{{L}})"), "n").otherwise("f")
 
     def of(text: Column, kind: str) -> Column:
         script = F.when(text.rlike(r"\p{IsCyrillic}"), "cyrillic").when(text.rlike(r"\p{IsGreek}"), "greek").otherwise("latin")
@@ -73,18 +81,23 @@ def _parts(m: Column) -> Column:
         told = F.when(script == "latin", "n").otherwise(gender) if kind == "surname" else gender
         return part(text, F.concat_ws(".", F.lit(kind), told, script))
 
-    plain = (F.when(m.contains("@"), "email").when(m.rlike(r"^\d{1,3}(\.\d{1,3}){3}$"), "ip")
+    plain = (F.when(m.contains("@"), "email").when(m.rlike(r"^[0-9A-Fa-f]*:[0-9A-Fa-f:]*$"), "ip6")
+             .when(m.rlike(r"^[A-Z]{2}\d{2}"), "iban").when(m.rlike(r"^\d{1,3}(\.\d{1,3}){3}$"), "ip")
              .when(m.rlike(r"^\d{3}-\d{2}-\d{4}$"), "id").when(digits >= 13, F.when(m.startswith("+"), "phone").otherwise("number"))
              .otherwise("phone"))
     literal = F.lit(None)
-    return F.when(~m.rlike(r"^\p{Lu}") | m.contains("@"), F.array(part(m, plain))).when(
+    # other international numbers: 8 digits at least, two of them the country's
+    usual = m.rlike(r"^(?:\+\d{1,3}[ .-]?)?(?:\(\d{3}\)[ .-]?|\d{3}[ .-])\d{3}[ .-]\d{4}$")
+    plain = F.when(m.startswith("+") & ~usual, F.when(digits >= 8, "phone+")).otherwise(plain)
+    return F.when((name == "") | m.contains("@"), F.array(part(m, plain))).when(
         two == "", F.array(part(title, literal), of(one, "surname"))).otherwise(
         F.array(part(title, literal), of(one, "given"), part(F.lit(" "), literal), of(two, "surname")))
 
 
 def _normal(text: Column, kind: Column) -> Column:
     """What makes two mentions one entity: digits alone, or lower case."""
-    return F.when(kind.isin("phone", "number", "id"), F.regexp_replace(text, r"\D", "")).otherwise(F.lower(text))
+    return F.when(kind.isin("phone", "phone+", "number", "id"), F.regexp_replace(text, r"\D", "")).when(
+        kind == "iban", F.replace(text, F.lit(" "), F.lit(""))).otherwise(F.lower(text))
 
 
 def _byte(digest: Column, i: Column) -> Column:
@@ -116,21 +129,37 @@ def surrogate(kind: Column, value: Column, attempt: Column, key: str = KEY) -> C
     body = F.concat(F.substr(value, F.lit(1), F.lit(1)), F.substr(numbers, F.lit(2), F.length(value) - 2))
     valid = _check_digit(F.substr(value, F.lit(1), F.length(value) - 1)) == F.substr(value, F.length(value), F.lit(1))
     card = F.when(valid, F.concat(body, _check_digit(body))).otherwise(F.concat(body, F.substr(numbers, F.length(value), F.lit(1))))
+    wider = F.greatest(attempt - (WIDER - 1), F.lit(0))
+    more_digits = F.array_join(F.transform(F.sequence(F.lit(1), F.greatest(wider, F.lit(1))), lambda i: (
+        _byte(digest, F.lit(40) + i) % 9 + 1).cast("string")), "")
+    card, numbers = (F.when(wider > 0, F.concat(x, more_digits)).otherwise(x) for x in (card, numbers))
     ip = F.concat_ws(".", F.lit("10"), *[_byte(digest, F.lit(i)).cast("string") for i in range(3)])
+    ip = F.when(wider > 0, F.concat(ip, F.lit(":"), more_digits)).otherwise(ip)
+    groups = [F.lower(F.lpad(F.hex(_byte(digest, F.lit(2 * i)) * 256 + _byte(digest, F.lit(2 * i + 1))), 4, "0")) for i in range(6)]
+    ip6 = F.concat_ws(":", F.lit("2001:db8"), *groups)
+    # country and length stay; two check digits make the rest valid (remainders digit by digit, letters as two digits)
+    country = F.substr(value, F.lit(1), F.lit(2))
+    account = F.substr(numbers, F.lit(5), F.length(value) - 4)
+    told = F.concat(*[(F.ascii(F.substr(country, F.lit(i), F.lit(1))) - 55).cast("string") for i in (1, 2)])
+    rest = F.aggregate(F.split(F.concat(account, told, F.lit("00")), ""), F.lit(0), lambda a, c: F.pmod(a * 10 + c.cast("int"), F.lit(97)))
+    iban = F.concat(country, F.lpad((F.lit(98) - rest).cast("string"), 2, "0"), account)
 
     def letter(c: Column, i: Column) -> Column:
         return (F.when(c.rlike("[a-z]"), F.char(_byte(digest, i) % 26 + 97))
                 .when(c.rlike("[0-9]"), (_byte(digest, i) % 10).cast("string")).otherwise(c))
 
     stem = F.regexp_extract(value, r"^(.*\.)[^.]*$", 1)
-    email = F.concat(F.array_join(F.transform(F.split(stem, ""), letter), ""), F.lit("example"))
-    area = F.greatest(F.length(value) - 10, F.lit(0))  # the country's digits stay
-    phone = F.concat(F.substr(value, F.lit(1), area), F.substr(numbers, area + 1, F.lit(10)))
+    more_letters = F.when(wider > 0, F.array_join(F.transform(F.sequence(F.lit(1), F.greatest(wider, F.lit(1))), lambda i: F.char(
+        _byte(digest, F.lit(20) + i) % 26 + 97)), "")).otherwise("")
+    email = F.concat(more_letters, F.array_join(F.transform(F.split(stem, ""), letter), ""), F.lit("example"))
+    area = F.when(kind == "phone+", 2).otherwise(F.greatest(F.length(value) - 10, F.lit(0)))  # the country's digits stay
+    phone = F.concat(F.substr(value, F.lit(1), area), F.substr(numbers, area + 1))
     out = F.when(kind == "email", email).when(kind == "ip", ip).when(kind == "number", card).when(
-        kind == "phone", phone).when(kind == "id", numbers)
+        kind.isin("phone", "phone+"), phone).when(kind == "id", numbers).when(kind == "ip6", ip6).when(kind == "iban", iban)
     for script, syllables in SYLLABLES.items():
         stem = F.initcap(F.concat(*[_pick(syllables, _byte(digest, F.lit(i))) for i in range(4)]))
-        more = F.when(attempt > 8, _pick(syllables, _byte(digest, F.lit(4)))).otherwise("")
+        more = F.when(wider > 0, F.array_join(F.transform(F.sequence(F.lit(1), F.greatest(wider, F.lit(1))), lambda i: _pick(
+            syllables, _byte(digest, F.lit(4) + i))), "")).otherwise("")
         for part in ("given", "surname"):
             for gender, ending in ENDINGS[script, part].items():
                 out = out.when(kind == f"{part}.{gender}.{script}", F.lower(F.concat(stem, more, F.lit(ending))))
@@ -145,7 +174,7 @@ def _digests(entities: DataFrame, key: str) -> DataFrame:
 def entity_table(mentions: DataFrame, scratch: Scratch, key: str = KEY) -> DataFrame:
     """(kind, value, surrogate) of the distinct entities of ``mentions`` (kind, value), without collisions."""
     entities = mentions.distinct().withColumn("attempt", F.lit(0))
-    for _ in range(MAX_ROUNDS):
+    while True:  # surrogates grow, see above
         made = _digests(entities, key).withColumn("surrogate", surrogate(F.col("kind"), F.col("value"), F.col("attempt"), key))
         made = scratch.write(made.drop("digest"), "entities")
         family = F.regexp_extract("kind", r"^([a-z]+)", 1)  # a surname never becomes another entity's surname
@@ -161,7 +190,6 @@ def entity_table(mentions: DataFrame, scratch: Scratch, key: str = KEY) -> DataF
         entities = scratch.write(made.select("kind", "value", "attempt").join(
             losers.withColumn("again", F.lit(1)), ["kind", "value"], "left").select(
             "kind", "value", (F.col("attempt") + F.coalesce("again", F.lit(0))).alias("attempt")), "attempts")
-    raise RuntimeError("surrogates still collide; give names more syllables")
 
 
 def _formatted(text: Column, kind: Column, new: Column) -> Column:
@@ -169,8 +197,11 @@ def _formatted(text: Column, kind: Column, new: Column) -> Column:
     filled = F.array_join(F.transform(F.split(text, ""), lambda c, i: F.when(
         c.rlike("[0-9]"), F.substr(new, F.length(F.regexp_replace(F.substr(text, F.lit(1), i + 1), r"\D", "")), F.lit(1))
     ).otherwise(c)), "")
+    held = F.length(F.regexp_replace(text, r"\D", ""))
+    filled = F.when(F.length(new) > held, F.concat(filled, F.lit("x"), F.substr(new, held + 1))).otherwise(filled)
     cased = F.when(text == F.upper(text), F.upper(new)).when(kind.contains("."), F.initcap(new)).otherwise(new)
-    return F.when(kind.isin("phone", "number", "id"), filled).when(kind == "ip", new).otherwise(cased)
+    spaced = F.when(text.contains(" "), F.rtrim(F.regexp_replace(new, "(.{4})", "$1 "))).otherwise(new)
+    return F.when(kind.isin("phone", "phone+", "number", "id"), filled).when(kind == "ip", new).when(kind == "iban", spaced).otherwise(cased)
 
 
 def pseudonymized(docs: DataFrame, key: str = KEY) -> DataFrame:

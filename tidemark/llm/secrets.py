@@ -4,10 +4,13 @@ Pattern findings ("base") are the leftmost non-overlapping matches of each kind
 method adds findings of kind ``random``: runs of token characters that touch no base finding and whose
 log-likelihood ratio under two first-order character models, one of random strings and one of ordinary
 identifiers, exceeds a threshold. Both models are counted from labelled samples by one aggregation; its
-result has at most 128 x 128 rows a label, which is all that reaches the driver.
+result has at most 128 x 128 rows a label, which is all that reaches the driver. A pair's probability is
+interpolated with that of its character classes (lower, upper, digit, other), so that a pair of letters that
+no sample holds does not count as a sign of randomness.
 
-The query labels samples itself: base values and digests of ids in base64 are random, plain runs of
-letters are ordinary. It takes them from at most ``max_docs`` documents, those with the smallest hashes of
+The query labels samples itself: base values, and digests of ids as base64 and as letters and digits, are
+random; words of the texts, and identifiers made of neighbouring words and numbers as programs name things
+(snake, kebab and camel case, constants, paths, numbered names), are ordinary. It takes them from at most ``max_docs`` documents, those with the smallest hashes of
 their ids. Every text is scanned whole.
 
 Positions come from the lengths of matches and of the gaps between them, as running sums in blocks, so that
@@ -15,7 +18,8 @@ a text with very many matches takes about linear time. They count code points, t
 
 Nulls and edge cases: a null text is empty and has no findings. Repeated rows and null ids each get a
 result. Without samples every ratio is 0 and nothing is added. Columns other than the named ones are
-ignored (``redact`` keeps them); an empty table gives an empty result.
+kept as they are, whatever their names (``findings`` replaces those named like its results); an empty table
+gives an empty result.
 """
 
 from __future__ import annotations
@@ -40,6 +44,8 @@ MAX_TRAIN_DOCS = 4096
 THRESHOLD = 12.0
 MASK = "[SECRET]"
 _CODES = 128
+#: share of the pair's own count in its probability; the rest goes to its character classes
+PAIR_SHARE = 0.7
 _BLOCK = 256
 _EMPTY = "array<struct<start:bigint,place:int,end:bigint,kind:string>>"
 
@@ -117,30 +123,72 @@ def train(samples: DataFrame) -> str:
         seen[1 if r.label else 0][r.pair] = r["count"]
     ratio = [0.0] * (_CODES * _CODES)
     if seen[0] and seen[1]:
-        out = [[0] * _CODES, [0] * _CODES]
-        for label in (0, 1):
-            for pair, c in seen[label].items():
-                out[label][pair // _CODES] += c
-        for pair in range(_CODES * _CODES):
-            a = pair // _CODES
-            logs = [math.log((seen[k].get(pair, 0) + 1) / (out[k][a] + 66)) for k in (0, 1)]
-            ratio[pair] = round(logs[1] - logs[0], 4)
+        odds = [_log_probabilities(counts) for counts in seen]
+        ratio = [round(one - zero, 4) for zero, one in zip(*odds)]
     return ",".join(map(str, ratio))
 
 
+def _class_of(code: int) -> int:
+    c = chr(code)
+    return 0 if c.islower() else 1 if c.isupper() else 2 if c.isdigit() else 3
+
+
+#: fixed values: the characters of a token, beside letters and digits
+_TOKEN = [ord(c) for c in "+/_=-."] + [c for c in range(_CODES) if chr(c).isalnum()]
+_CLASS_SIZE = [sum(_class_of(c) == k for c in _TOKEN) for k in range(4)]
+
+
+def _log_probabilities(counts: dict[int, int]) -> list[float]:
+    """Log-probability of the second character of each pair after the first, from counts of pairs."""
+    out, classes = [0] * _CODES, [[1.0] * 4 for _ in range(4)]
+    for pair, n in counts.items():
+        a, b = divmod(pair, _CODES)
+        out[a] += n
+        classes[_class_of(a)][_class_of(b)] += n
+    logs = []
+    for pair in range(_CODES * _CODES):
+        a, b = divmod(pair, _CODES)
+        row, kind = classes[_class_of(a)], _class_of(b)
+        by_class = row[kind] / sum(row) / _CLASS_SIZE[kind]
+        share = PAIR_SHARE if out[a] else 0.0
+        logs.append(math.log(share * counts.get(pair, 0) / max(1, out[a]) + (1 - share) * by_class))
+    return logs
+
+
 def labelled_samples(docs: DataFrame, max_docs: int = MAX_TRAIN_DOCS) -> DataFrame:
-    """Samples (token, label) from at most ``max_docs`` ids: base values and base64 digests are random, runs
-    of letters outside the findings are ordinary."""
+    """Samples (token, label) from at most ``max_docs`` ids: base values and digests are random, words and
+    identifiers made of them are ordinary."""
     ids = docs.where(F.col("doc_id").isNotNull()).select("doc_id").distinct().select(
         "doc_id", F.xxhash64(F.lit(4), F.col("doc_id")).alias("place")).orderBy("place", "doc_id").limit(max_docs)
     # max_docs rows of two numbers
     some = docs.select("doc_id", "text").join(F.broadcast(ids.select("doc_id")), "doc_id")
     plain = F.coalesce(F.col("text"), F.lit(""))
     values = F.concat(*[F.filter(_matches(plain, p, g), _at_least(least)) for _, p, g, least in KINDS])
-    digest = F.base64(F.unhex(F.sha2(F.col("doc_id").cast("string"), 256)))
+    base64 = F.base64(F.unhex(F.sha2(F.col("doc_id").cast("string"), 256)))
     words = F.regexp_extract_all(plain, F.lit(r"(?<![A-Za-z0-9+/_=-])[A-Za-z][A-Za-z_]{3,}(?![A-Za-z0-9+/=-])"), F.lit(0))
-    random = some.select(F.explode(F.concat(values, F.array(digest))).alias("token"), F.lit(1).alias("label"))
-    return random.unionByName(some.select(F.explode(words).alias("token"), F.lit(0).alias("label")))
+    some = some.select(F.col("doc_id"), F.concat(values, F.array(base64, F.regexp_replace(base64, "[^A-Za-z0-9]", ""))).alias("random"),
+                       words.alias("words"))
+    random = some.select(F.explode("random").alias("token"), F.lit(1).alias("label"))
+    return random.unionByName(some.select(F.explode(_identifiers(F.col("words"), F.col("doc_id"))).alias("token"), F.lit(0).alias("label")))
+
+
+def _identifiers(words: Column, seed: Column) -> Column:
+    """The words, and for each two that follow each other one identifier in a style that goes with its place."""
+    n = F.size(words) - 1
+
+    def joined(a: Column, i: Column) -> Column:
+        b = F.get(words, i + 1)
+        number = F.pmod(F.xxhash64(seed, i), F.lit(10 ** 9)).cast("string")
+        short = F.right(number, F.lit(4))
+        camel = F.concat(F.lower(a), F.initcap(b))
+        styles = [F.concat_ws("_", F.lower(a), F.lower(b), number), F.concat_ws("-", F.lower(a), F.lower(b), short),
+                  F.concat(camel, short), F.concat(camel, F.initcap(a)), F.upper(F.concat_ws("_", a, b)),
+                  F.concat(F.lit("/"), F.concat_ws("/", F.lower(a), F.concat(F.lower(b), F.right(number, F.lit(1))), F.concat_ws("-", F.lower(b), F.lower(a)))),
+                  F.concat(F.upper(F.left(a, F.lit(4))), number, short), F.concat(F.initcap(a), F.initcap(b), F.lit("="), short)]
+        return F.element_at(F.array(*styles), (F.pmod(F.xxhash64(i, seed), F.lit(len(styles))) + 1).cast("int"))
+
+    return F.concat(words, F.when(n > 0, F.transform(F.slice(words, F.lit(1), F.greatest(n, F.lit(1))), joined)).otherwise(
+        F.array().cast("array<string>")))
 
 
 def _model(ratios: str) -> Column:
@@ -171,7 +219,9 @@ def _blank(pattern: str, group: int, least: int) -> Callable[[Column], Column]:
 def findings(docs: DataFrame, ratios: str, threshold: float = THRESHOLD, text: str = "text") -> DataFrame:
     """``docs`` with ``_assign``, ``_access``, ``_hex`` and ``_random``, arrays of spans. Runs for ``_random``
     are looked for where the base findings are blanked out."""
-    docs = base_findings(docs, text)
+    columns = docs.columns
+    docs = base_findings(docs.select(F.struct(*columns).alias("_row"), F.col(text).alias("_text")), "_text")
+    text = "_text"
     any_base = F.size("_assign") + F.size("_access") + F.size("_hex") > 0
     docs = docs.withColumn("_rest", F.coalesce(F.col(text), F.lit("")))
     for _, pattern, group, least in KINDS:
@@ -180,7 +230,8 @@ def findings(docs: DataFrame, ratios: str, threshold: float = THRESHOLD, text: s
     docs = docs.withColumn("_m", _matches(F.col("_rest"), pattern))
     docs = docs.withColumn("_k", F.transform("_m", lambda m: _ratio(m, _model(ratios)) > threshold))
     spans = _spans(F.col("_rest"), pattern, F.col("_m"), F.col("_k"), kind, len(KINDS))
-    return docs.withColumn("_random", spans).drop("_m", "_k", "_rest")
+    results = [*[f"_{k}" for k, *_ in KINDS], "_random"]
+    return docs.withColumn("_random", spans).select(*[F.col("_row")[c].alias(c) for c in columns if c not in results], *results)
 
 
 def listed(spans: Column) -> Column:
@@ -203,13 +254,14 @@ def redact(docs: DataFrame, ratios: str, threshold: float = THRESHOLD) -> DataFr
     """``docs`` with every finding in ``text`` replaced by a mask (of an assignment, its value), and
     ``n_chars`` counted anew in changed texts if there is such a column. Null texts stay null."""
     columns = docs.columns
-    found = docs.withColumn("_text", F.col("text"))
+    found = docs.select(F.struct(*columns).alias("_row"), F.col("text").alias("_text"))
     for kind, pattern, group, least in [*KINDS, (*RANDOM, 0, 0)]:
         found = _replaced(found, "_text", pattern, _masked(kind, pattern, group, least, ratios, threshold))
+    row, text = F.col("_row"), F.col("_text")
+    new = {"text": text}
     if "n_chars" in columns:
-        found = found.withColumn("n_chars", F.when(F.col("_text") != F.col("text"), F.length("_text").cast(
-            docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
-    return found.withColumn("text", F.col("_text")).select(*columns)
+        new["n_chars"] = F.when(text != row["text"], F.length(text).cast(docs.schema["n_chars"].dataType)).otherwise(row["n_chars"])
+    return found.select(*[new.get(c, row[c]).alias(c) for c in columns])
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
