@@ -83,6 +83,16 @@ def test_near_duplicates_of_repeated_and_null_ids(spark):
     assert neardup.deduplicated(df, 2).columns == df.columns
 
 
+def test_many_rows_without_an_id(spark):
+    rng = random.Random(7)
+    base = [" ".join(f"{x}{rng.randrange(10 ** 6)}" for _ in range(40)) for x in range(100)]
+    rows = [(None, t) for t in base] + [(None, t + " one more") for t in base] + [(None, base[0])] * 30
+    df = spark.createDataFrame([(i, t, 1, "x") for i, t in rows], SCHEMA).repartition(3)
+    assert len(neardup.deduplicated(df, 2).collect()) == 100
+    sets = neardup._describe(df, 2)
+    assert sets.select("node").distinct().count() == 200
+
+
 def test_one_row_of_each_group_stays(spark):
     a, b, c, d = (" ".join(f"{x}{i}" for i in range(50)) for x in "abcd")
     rows = [(3, a), (5, a), (5, b), (7, c), (7, c), (None, c + " x"), (None, d), (None, d), (None, d + " x"), (None, None),

@@ -157,14 +157,15 @@ def _common(a: np.ndarray, b: np.ndarray) -> int:
 
 def _sets_of(nodes: DataFrame, docs: DataFrame, classes: DataFrame, words: int) -> DataFrame:
     """(node, items): the full set of each of ``nodes`` (node), from its class's text."""
-    chosen = classes.join(nodes.distinct(), "node").select("node", "doc")
-    texts = docs.join(chosen, "doc").select("node", "text")
+    chosen = classes.join(nodes.distinct(), "node").select("node", "doc", "mark")
+    # by id and text hash: rows without an id, or with one id, meet the class of their own text only
+    texts = docs.join(chosen, ["doc", "mark"]).dropDuplicates(["node"]).select("node", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for lo, hi, data, offs in doc_chunks(batch.column(1)):
                 nodes = batch.column(0).slice(lo, hi - lo).to_pylist()
-                # an id on several texts brings texts of other classes: the digest tells
+                # two texts may share a hash: the digest tells
                 kept = [(k, s) for k, s in zip(nodes, shingle_sets(data, offs, words)) if _digest(s) == k]
                 yield pa.RecordBatch.from_arrays([pa.array([k for k, _ in kept], pa.binary()),
                                                   pa.array([s.view(np.int64) for _, s in kept], pa.list_(pa.int64()))],
@@ -250,9 +251,9 @@ def _grouped(docs: DataFrame, words: int, percent: int) -> DataFrame:
     described = scratch.write(_describe(docs, words), "described")
     no_id = F.lit(-1 << 62)
     classes = scratch.write(described.where(F.col("node").isNotNull()).groupBy("node").agg(
-        F.min("doc_id").alias("least"), F.min(F.coalesce("doc_id", no_id)).alias("doc"),
-        F.first("signature").alias("signature")), "classes")
-    by_id = docs.select(F.coalesce("doc_id", no_id).alias("doc"), "text")
+        F.min("doc_id").alias("least"), F.min(F.struct(F.coalesce("doc_id", no_id).alias("doc"), "mark")).alias("one"),
+        F.first("signature").alias("signature")).select("node", "least", "one.doc", "one.mark", "signature"), "classes")
+    by_id = docs.select(F.coalesce("doc_id", no_id).alias("doc"), F.xxhash64("text").alias("mark"), "text")
 
     rows = _bucket_rows(classes)
     shared = rows.groupBy("bucket").agg(F.count("*").alias("n"), F.min("node").alias("head")).where("n > 1")
