@@ -50,16 +50,17 @@ ENDINGS = {
 }
 
 _EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+"
-_IP = r"(?<![\w.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?!\w|\.\d)"
-_IP6 = (r"(?<![\w:.])(?:(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}|(?=(?:[0-9A-Fa-f]{0,4}:){3,7}[0-9A-Fa-f]{0,4}(?![\w:]))"
+_IP = r"(?=\d)(?<![\w.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?!\w|\.\d)"
+# each alternative first looks at the next character, so that it fails at once almost everywhere
+_IP6 = (r"(?=[0-9A-Fa-f]{1,4}:)(?<![\w:.])(?:(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}|(?=(?:[0-9A-Fa-f]{0,4}:){3,7}[0-9A-Fa-f]{0,4}(?![\w:]))"
         r"(?:[0-9A-Fa-f]{1,4}:){1,6}(?::[0-9A-Fa-f]{1,4}){1,6})(?![\w:])")
-_IBAN = r"(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?:(?: \d{4}){3,7}(?: \d{1,3})?|\d{11,30})(?![A-Za-z0-9])"
-_ABROAD = r"(?<![\w+])\+\d{1,3}(?:[ .-]\(?\d{1,12}\)?){1,5}(?![\w])"
+_IBAN = r"(?=[A-Z]{2}\d)(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?:(?: \d{4}){3,7}(?: \d{1,3})?|\d{11,30})(?![A-Za-z0-9])"
+_ABROAD = r"\+(?<![\w+]\+)\d{1,3}(?:[ .-]\(?\d{1,12}\)?){1,5}(?![\w])"
 _PHONE = r"(?<![\w+])(?:\+\d{1,3}[ .-]?)?(?:\(\d{3}\)[ .-]?|\d{3}[ .-])\d{3}[ .-]\d{4}(?![\w])"
-_NUMBER = r"(?<![\w.-])\d(?:[ -]?\d){12,18}(?![\w-]|\.\d)"
-_ID = r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])"
+_NUMBER = r"(?=\d)(?<![\w.-])\d(?:[ -]?\d){12,18}(?![\w-]|\.\d)"
+_ID = r"(?=\d)(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])"
 _NAME = r"\p{Lu}[\p{L}'’-]*\p{L}"
-_PERSON = r"(?<!\p{L})(?:%s)\.? %s(?: %s)?(?!\p{L})" % ("|".join(f"{t}|{t.upper()}" for ts in TITLES.values() for t in ts), _NAME, _NAME)
+_PERSON = r"(?=\p{Lu})(?<!\p{L})(?:%s)\.? %s(?: %s)?(?!\p{L})" % ("|".join(f"{t}|{t.upper()}" for ts in TITLES.values() for t in ts), _NAME, _NAME)
 MENTION = "|".join((_EMAIL, _IP6, _IP, _PHONE, _IBAN, _NUMBER, _ID, _ABROAD, _PERSON))
 _PART = "struct<text:string,kind:string>"
 
