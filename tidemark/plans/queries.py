@@ -38,8 +38,7 @@ SHORT = {"orders": "orders", "customers": "customers", "delivery": "delivery_per
 
 #: the incremental runs judge freshness at this time
 CURRENT_TIME = "1997-01-20 12:00:00"
-#: orders that come again in the window's month, under ids of orders of other months
-REPEATED = F.col("order_id").cast("long") % 41 == 3
+#: when orders of other months come again
 REPEATED_TIME = "1997-01-15 10:30:00"
 
 _FLOWS: dict[tuple, Flow] = {}
@@ -252,7 +251,8 @@ def incremental_duplicates(spark, sf):
     start, end = PART_OF_MONTH
     run(spark, raw, out, _config(batch_id="full"))
     month = F.date_format("order_date", "yyyy-MM")
-    again = raw["orders"].where(REPEATED & (month != start[:7])).withColumn(
+    repeated = F.col("order_id").cast("long") % 41 == 3
+    again = raw["orders"].where(repeated & (month != start[:7])).withColumn(
         "order_date", F.lit(REPEATED_TIME).cast(raw["orders"].schema["order_date"].dataType))
     more = raw | {"orders": raw["orders"].unionByName(again)}
     run(spark, more, out, _config(batch_id="part", run_mode="incremental", start_date=start, end_date=end))
