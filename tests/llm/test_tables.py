@@ -9,6 +9,7 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -219,11 +220,10 @@ def test_search_matches_brute_force(spark, shard_bytes):
     assert search.search(empty, queries, 10, scratch).count() == 0
 
 
-@pytest.mark.parametrize("short,share", [(32, 12), (0, 12), (0, 0), (1 << 20, 12)])
-def test_registered_search_asks_documents(spark, monkeypatch, short, share):
-    monkeypatch.setattr(search, "SHORT_TERMS", short)  # 0: every query scores all documents; 1 << 20: all by WAND
-    monkeypatch.setattr(search, "DENSE_SHARE", share)
-    for name, value in {"QUERY_BLOCK": 3, "SPAN_QUERIES": 4, "GROUP_BYTES": 300_000, "SHARDS_AT_ONCE": 2}.items():
+@pytest.mark.parametrize("few,share,block", [(32, 40, 32), (0, 12, 4), (4, 0, 4), (1 << 20, 12, 4)])
+def test_registered_search_asks_documents(spark, monkeypatch, few, share, block):
+    for name, value in {"FEW": few, "DENSE_SHARE": share, "BLOCK": block, "QUERY_BLOCK": 3, "SPAN_QUERIES": 4,
+                        "GROUP_BYTES": 300_000, "STEP_QUERIES": 2, "STEP_POSTINGS": 64}.items():
         monkeypatch.setattr(search, name, value)
     monkeypatch.setattr(search.build_index, "__defaults__", (30_000,))
     docs = [(r.doc_id, r.text) for r in table(spark, SF_SMALL, "documents").collect()]
@@ -238,6 +238,33 @@ def test_registered_search_asks_documents(spark, monkeypatch, short, share):
         assert all(abs(f[2] - w[1]) < 1e-6 for f, w in zip(found, want))
 
 
+def test_search_over_long_texts_copies_and_empty_texts(spark, monkeypatch):
+    monkeypatch.setattr(search, "FEW", 3)
+    rng = random.Random(10)
+    words = [f"w{int(rng.paretovariate(0.7)) % 5000}" for _ in range(60_000)]
+    docs = [(0, " ".join(words)), (20, " ".join(words[:9000])), (40, "w1 w2 w3"), (41, ""), (42, None)]
+    docs += [(100 + i, "w1 w2 w3" if i % 3 else " ".join(words[i * 7:i * 9 + 5])) for i in range(150)]
+    asked = [(0, docs[0][1]), (20, docs[1][1]), (40, docs[2][1])]
+    scratch = Scratch(spark, "search-test")
+    index = scratch.write(search.build_index(spark.createDataFrame(docs, "doc_id long, text string").repartition(2), 100_000), "index")
+    got = collections.defaultdict(list)
+    for r in search.search(index, spark.createDataFrame(asked, "query_id long, text string"), 10, scratch).collect():
+        got[r.query_id].append((r["rank"], r.doc_id))
+    for q, text in asked:
+        assert [f[1] for f in sorted(got[q])] == [w[0] for w in brute_search(docs, text, 10)]
+
+
+def test_pruning_skips_documents_below_the_threshold(spark):
+    docs = [(i, f"the rare{i % 50} " + "of and " * 5) for i in range(1000)]
+    row = search.build_index(spark.createDataFrame(docs, "doc_id long, text string").coalesce(1)).collect()[0].asDict()
+    shard = search._Searched({c: pa.scalar(bytes(v) if isinstance(v, bytearray) else v) for c, v in row.items()}, 12.0)
+    query = np.zeros(4, np.int64)
+    term = np.r_[np.argsort(-np.diff(shard.cuts))[:3], np.argmin(np.diff(shard.cuts))]
+    weight = np.array([0.01, 0.01, 0.01, 3.0])
+    assert shard._left(query, term, weight, np.array([1.0]), 10).sum() == 20
+    assert shard._left(query, term, weight, np.array([9.0]), 10).sum() == 0
+
+
 def test_pipeline_stages_take_effect(spark):
     import corpus_pipeline as pipeline
     from tests.llm.test_dedup import brute_groups
