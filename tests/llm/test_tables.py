@@ -220,9 +220,9 @@ def test_search_matches_brute_force(spark, shard_bytes):
     assert search.search(empty, queries, 10, scratch).count() == 0
 
 
-@pytest.mark.parametrize("few,share,block", [(32, 40, 32), (0, 12, 4), (4, 0, 4), (1 << 20, 12, 4)])
-def test_registered_search_asks_documents(spark, monkeypatch, few, share, block):
-    for name, value in {"FEW": few, "DENSE_SHARE": share, "BLOCK": block, "QUERY_BLOCK": 3, "SPAN_QUERIES": 4,
+@pytest.mark.parametrize("share,block", [(40, 8), (12, 1), (0, 4), (1 << 20, 16)])
+def test_registered_search_asks_documents(spark, monkeypatch, share, block):
+    for name, value in {"DENSE_SHARE": share, "BLOCK": block, "QUERY_BLOCK": 3, "SPAN_QUERIES": 4,
                         "GROUP_BYTES": 300_000, "STEP_QUERIES": 2, "STEP_POSTINGS": 64}.items():
         monkeypatch.setattr(search, name, value)
     monkeypatch.setattr(search.build_index, "__defaults__", (30_000,))
@@ -238,8 +238,7 @@ def test_registered_search_asks_documents(spark, monkeypatch, few, share, block)
         assert all(abs(f[2] - w[1]) < 1e-6 for f, w in zip(found, want))
 
 
-def test_search_over_long_texts_copies_and_empty_texts(spark, monkeypatch):
-    monkeypatch.setattr(search, "FEW", 3)
+def test_search_over_long_texts_copies_and_empty_texts(spark):
     rng = random.Random(10)
     words = [f"w{int(rng.paretovariate(0.7)) % 5000}" for _ in range(60_000)]
     docs = [(0, " ".join(words)), (20, " ".join(words[:9000])), (40, "w1 w2 w3"), (41, ""), (42, None)]
@@ -258,11 +257,13 @@ def test_pruning_skips_documents_below_the_threshold(spark):
     docs = [(i, f"the rare{i % 50} " + "of and " * 5) for i in range(1000)]
     row = search.build_index(spark.createDataFrame(docs, "doc_id long, text string").coalesce(1)).collect()[0].asDict()
     shard = search._Searched({c: pa.scalar(bytes(v) if isinstance(v, bytearray) else v) for c, v in row.items()}, 12.0)
+    shard.bound()
     query = np.zeros(4, np.int64)
     term = np.r_[np.argsort(-np.diff(shard.cuts))[:3], np.argmin(np.diff(shard.cuts))]
     weight = np.array([0.01, 0.01, 0.01, 3.0])
-    assert shard._left(query, term, weight, np.array([1.0]), 10).sum() == 20
-    assert shard._left(query, term, weight, np.array([9.0]), 10).sum() == 0
+    _, found, lower, upper = shard._left(query, term, weight, np.array([1.0]), 10)
+    assert len(found) == 10 and (lower >= 1).all() and (upper > lower).all()  # of 20 alike the first 10 by id
+    assert not len(shard._left(query, term, weight, np.array([9.0]), 10)[0])
 
 
 def test_pipeline_stages_take_effect(spark):
