@@ -159,6 +159,24 @@ def _lineitem_quality() -> str:
             f"{srnd(f'coalesce({ok} / nullif(COUNT(*), 0) * 100, 0.0)', 6)} AS quality_score FROM f")
 
 
+# fixed values: types of the published columns that aren't text, and the published tables' descriptions
+COLUMN_TYPES = {
+    "timestamp_ntz": {"order_date", "promised_delivery_time", "actual_delivery_time", "promised_time", "actual_time"},
+    "double": {"order_total", "delivery_time_minutes", "avg_order_value", "distance_km", "delivery_efficiency"},
+    "boolean": {"is_on_time", "is_premium", "is_delayed"},
+    "int": {"order_year", "total_orders", "customer_age_days", "registration_year"},
+    "date": {"registration_date"},
+}
+DESCRIBED = [
+    ("analytics_main", "Main analytical table with all order, customer, and delivery data joined", "Analytical", "analytics_main"),
+    ("customer_segment_analysis", "Aggregated metrics by customer segment", "Summary", "segment_analysis"),
+    ("monthly_performance", "Monthly performance metrics and trends", "Time Series", "monthly_performance"),
+    ("delivery_analysis", "Delivery performance analysis by delay categories", "Performance", "delivery_analysis"),
+    ("customer_ranking", "Customer ranking and performance within segments", "Ranking", "customer_ranking"),
+    ("payment_analysis", "Payment method usage and performance analysis", "Payment", "payment_analysis"),
+    ("kpi_summary", "Key performance indicators summary", "KPI", "kpi_summary"),
+]
+
 FIRED = [("large_orders", "warn"), ("large_customers", "warn"), ("minimum_row_count", "error"), ("max_orders_per_customer", "warn"),
          ("max_total_price", "error"), ("unique_customer", "warn"), ("orders_a_day", "error")]
 FIRED_RULES = f"""
@@ -394,6 +412,28 @@ FROM raw_orders WHERE {number} <> 1 OR CAST(order_id AS BIGINT) % 2 = 0""", ("ra
         "CROSS JOIN (VALUES ('first'), ('second')) AS runs(run_id)")
     q["fired_rule_results"] = FIRED_RULES
 
+    columns = []
+    for t in ("orders", "customers", "delivery"):
+        q[f"footer_profile_{t}"] = q[f"profile_{t}"]
+        for c in CLEAN_COLUMNS[t]:
+            kind = next((k for k, names in COLUMN_TYPES.items() if c in names), "string")
+            columns.append((t, c, kind, f"COUNT({c})"))
+        columns += [(t, "_processed_timestamp", "timestamp", "COUNT(*)"), (t, "_data_quality_score", "double", "COUNT(*)")]
+    q["column_report"] = build("\nUNION ALL\n".join(
+        f"SELECT 'processed_{TABLE_NAMES[t]}' AS table_name, '{c}' AS column_name, '{kind}' AS data_type, "
+        f"CAST(COUNT(*) AS BIGINT) AS row_count, CAST({n} AS BIGINT) AS non_null_count FROM clean_{t}" for t, c, kind, n in columns),
+        ("clean_orders", "clean_customers", "clean_delivery"))
+    q["table_metadata"] = "\nUNION ALL\n".join(
+        f"SELECT '{name}' AS table_name, '{text}' AS description, '{category}' AS category, "
+        f"CAST(COUNT(*) AS BIGINT) AS row_count FROM ({q[source]})" for name, text, category, source in DESCRIBED)
+    warned = "CASE WHEN warnings = '' THEN 0 ELSE len(string_split(warnings, ',')) END"
+    q["stamped_final_orders"] = build(
+        f"SELECT order_id, customer_id, true AS has_processing_time, {srnd(f'1.0 - {warned} / {len(RULES['orders'])}.0', 4)} "
+        "AS data_quality_score FROM valid_orders", ("valid_orders",))
+    q["stamped_analytics_main"] = build(
+        "SELECT order_id, order_month, true AS has_creation_time, CASE WHEN coalesce(order_month = '1997-01', true) THEN 'batch_part' "
+        "ELSE 'batch_full' END AS batch_id FROM joined", ("joined",))
+
     q["lineitem_rule_results"] = _lineitem_rule_results()
     q["lineitem_quality"] = _lineitem_quality()
     return q

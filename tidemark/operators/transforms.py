@@ -129,8 +129,16 @@ PROFILE_COLUMNS = {
 }
 
 
+def profile_measures(table: str) -> list[Column]:
+    """total_rows and the non-null count of each profiled column."""
+    return [F.count(F.lit(1)).alias("total_rows"), *[F.count(src).alias(out) for out, src in PROFILE_COLUMNS[table]]]
+
+
+def profile_schema(table: str) -> str:
+    """The columns of the profile, as a schema text."""
+    return ", ".join(f"{c} bigint" for c in ("total_rows", *[out for out, _ in PROFILE_COLUMNS[table]]))
+
+
 def completeness_profile(df: DataFrame, table: str) -> DataFrame:
     """T4: one row: total_rows and the non-null count of each profiled column, in one aggregation pass."""
-    measures = [F.count(F.lit(1)).alias("total_rows")]
-    measures += [F.count(src).alias(out) for out, src in PROFILE_COLUMNS[table]]
-    return df.agg(*measures)
+    return df.agg(*profile_measures(table))

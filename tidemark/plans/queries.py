@@ -24,7 +24,7 @@ from tidemark.operators.engine import ERRORS, WARNINGS
 from tidemark.plans import checks
 from tidemark.plans.pipeline import Flow, RunConfig, run
 from tidemark.session import shared_folder
-from tidemark.sources import catalog, csv, fixtures, schemas, sinks
+from tidemark.sources import catalog, csv, fixtures, footers, schemas, sinks
 
 AS_OF = "2025-01-01"
 INCREMENTAL_WINDOW = ("1997-01-01", "1997-12-31")
@@ -244,6 +244,46 @@ def _incremental_mart(name: str):
     return lambda spark, sf: stable(_published(spark, sf, name).drop("_created_timestamp"))
 
 
+def _footer_profile(table: str):
+    """T4 of a published table, from its files' footers."""
+    def q(spark, sf):
+        path = f"{_incremental(spark, sf)}/processed_{table}"
+        measures = T.profile_measures(table)
+        row = footers.measured(spark, path, measures)
+        return spark.createDataFrame([row[:len(measures)]], T.profile_schema(table))
+    return q
+
+
+def column_report(spark, sf):
+    """S8 of the published processed tables, with the rows and non-null values of each column."""
+    out = _incremental(spark, sf)
+    tables = {f"processed_{t}": f"{out}/processed_{t}" for t in SHORT.values()}
+    report = catalog.column_report(spark, tables, {"processed_orders": ["order_month"]})
+    return report.select("table_name", "column_name", "data_type", "row_count", "non_null_count")
+
+
+def table_metadata(spark, sf):
+    """S9 as published, with the rows of each table it describes."""
+    out = _incremental(spark, sf)
+    described = spark.read.parquet(f"{out}/table_metadata")
+    counts = catalog.table_row_counts(spark, {r[0]: f"{out}/{r[0]}" for r in catalog.TABLE_METADATA})
+    return described.join(F.broadcast(counts), "table_name").select("table_name", "description", "category", "row_count")
+
+
+def stamped_final_orders(spark, sf):
+    """P10: the processing time and the share of rules that a row violates."""
+    score = F.col("_data_quality_score").alias("data_quality_score")
+    return stable(_published(spark, sf, "final_orders").select(
+        "order_id", "customer_id", F.col("_processed_timestamp").isNotNull().alias("has_processing_time"), score))
+
+
+def stamped_analytics_main(spark, sf):
+    """D-10: rows of the months that the second run replaced carry its batch, the others that of the first."""
+    return _published(spark, sf, "analytics_main").select(
+        "order_id", "order_month", F.col("_created_timestamp").isNotNull().alias("has_creation_time"),
+        F.col("_batch_id").alias("batch_id"))
+
+
 def incremental_duplicates(spark, sf):
     """The quarantined orders of a month in which orders of other months come again: found through the state of
     published keys, as the run reads no other row of these months."""
@@ -425,6 +465,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "fired_rule_results": fired_rule_results,
         "incremental_final_orders": incremental_final_orders,
         **{f"incremental_{short}": _incremental_mart(name) for short, name in INCREMENTAL_MARTS.items()},
+        **{f"footer_profile_{short}": _footer_profile(name) for short, name in SHORT.items()},
+        "column_report": column_report,
+        "table_metadata": table_metadata,
+        "stamped_final_orders": stamped_final_orders,
+        "stamped_analytics_main": stamped_analytics_main,
         "incremental_duplicates": incremental_duplicates,
         "analytics_main_bucketed": analytics_main_bucketed,
         "mart_cube": mart_cube,

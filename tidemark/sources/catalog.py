@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, IntegerType, LongType, StringType, StructField, StructType
 
 from tidemark.session import run_concurrently
-from tidemark.sources.sinks import read_table
+from tidemark.sources import footers
+from tidemark.sources.sinks import is_path, read_table
 
 ROW_COUNT_SCHEMA = StructType([
     StructField("table_name", StringType(), False),
@@ -21,12 +22,14 @@ ROW_COUNT_SCHEMA = StructType([
 def table_row_counts(spark: SparkSession, tables: Mapping[str, str | DataFrame]) -> DataFrame:
     """One row per table: (table_name, row_count, error).
 
-    Tables are counted by overlapping jobs; a table that cannot be resolved or read yields a row with its
-    whole error instead of failing the report.
+    Tables are counted by overlapping jobs, those on a path from their footers; a table that cannot be resolved or
+    read yields a row with its whole error instead of failing the report.
     """
 
     def count(name: str, source: str | DataFrame) -> tuple[str, int | None, str | None]:
         try:
+            if isinstance(source, str) and is_path(source):
+                return name, footers.row_count(spark, source), None
             df = read_table(spark, source) if isinstance(source, str) else source
             return name, df.count(), None
         except Exception as exc:  # reported in the row
@@ -72,6 +75,27 @@ def schema_doc(spark: SparkSession, tables: Mapping[str, DataFrame]) -> DataFram
     return spark.createDataFrame(rows, SCHEMA_DOC_SCHEMA)
 
 
+COLUMN_REPORT_SCHEMA = StructType([
+    *SCHEMA_DOC_SCHEMA.fields,
+    StructField("row_count", LongType(), False),
+    StructField("non_null_count", LongType(), True),
+])
+
+
+def column_report(spark: SparkSession, tables: Mapping[str, str], partitioned_by: Mapping[str, Sequence[str]] | None = None) -> DataFrame:
+    """Schema docs (S8) of tables on paths with the rows and non-null values of each column, counted from the footers
+    (nested columns: null). ``partitioned_by`` names the partition columns of the tables that have some."""
+    by = partitioned_by or {}
+
+    def report(name: str, path: str) -> list[tuple]:
+        rows, found = footers.column_counts(spark, path, by.get(name, ()))
+        doc = schema_doc(spark, {name: spark.read.parquet(path)}).collect()
+        return [(*r, rows, found.get(r["column_name"])) for r in doc]
+
+    done = run_concurrently([lambda n=n, p=p: report(n, p) for n, p in tables.items()])
+    return spark.createDataFrame([r for rows in done for r in rows], COLUMN_REPORT_SCHEMA)
+
+
 # --- fixed values: published tables, their descriptions and categories -----------------------------
 TABLE_METADATA = [
     ("analytics_main", "Main analytical table with all order, customer, and delivery data joined", "Analytical"),

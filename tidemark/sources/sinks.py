@@ -16,13 +16,14 @@ from pyspark.sql import functions as F
 from tidemark.session import delete_path, observed
 
 
-def _is_path(target: str) -> bool:
+def is_path(target: str) -> bool:
+    """Whether a target is a path; otherwise it is a catalog name."""
     return "/" in target or target.startswith("file:")
 
 
 def read_table(spark: SparkSession, target: str) -> DataFrame:
     """Scan a layer table by path or catalog name."""
-    return spark.read.parquet(target) if _is_path(target) else spark.table(target)
+    return spark.read.parquet(target) if is_path(target) else spark.table(target)
 
 
 def _rebalanced(df: DataFrame, partition_by: list[str]) -> DataFrame:
@@ -51,12 +52,12 @@ def write_table(df: DataFrame, target: str, mode: str = "overwrite", partition_b
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     if mode != "overwrite" or not exists(spark, target):
-        writer.parquet(target) if _is_path(target) else writer.format("parquet").saveAsTable(target)
+        writer.parquet(target) if is_path(target) else writer.format("parquet").saveAsTable(target)
         return
     mark = uuid.uuid4().hex[:12]
     base = target.rstrip("/")
     staged, old = f"{base}__new_{mark}", f"{base}__old_{mark}"
-    if _is_path(target):
+    if is_path(target):
         try:
             writer.parquet(staged)
         except Exception:
@@ -107,7 +108,7 @@ _CONF_LOCK = threading.Lock()
 
 def exists(spark: SparkSession, target: str) -> bool:
     """Whether a table is there; errors other than its absence are raised."""
-    if not _is_path(target):
+    if not is_path(target):
         return spark.catalog.tableExists(target)
     path = spark._jvm.org.apache.hadoop.fs.Path(target)
     return path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
@@ -115,7 +116,7 @@ def exists(spark: SparkSession, target: str) -> bool:
 
 def partition_values(spark: SparkSession, target: str, column: str) -> list[str | None]:
     """The values of a table's partition column, from its folders or its catalog entries."""
-    if not _is_path(target):
+    if not is_path(target):
         listed = [r[0].rpartition("=")[2] for r in spark.sql(f"SHOW PARTITIONS {target}").collect()]
     else:
         base = spark._jvm.org.apache.hadoop.fs.Path(target)
@@ -125,7 +126,7 @@ def partition_values(spark: SparkSession, target: str, column: str) -> list[str
 
 
 def _drop_partition(spark: SparkSession, target: str, column: str, value: str | None) -> None:
-    if _is_path(target):
+    if is_path(target):
         delete_path(spark, f"{target.rstrip('/')}/{column}={'__HIVE_DEFAULT_PARTITION__' if value is None else value}")
     else:
         shown = "null" if value is None else "'" + value.replace("'", "''") + "'"
@@ -159,7 +160,7 @@ def overwrite_partitions(df: DataFrame, target: str, partition_by: list[str]) ->
     """
     spark = df.sparkSession
     df = _rebalanced(df, partition_by)
-    if _is_path(target):
+    if is_path(target):
         (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy(*partition_by).parquet(target))
         return
