@@ -367,6 +367,7 @@ FROM (SELECT payment_method, CAST(COUNT(*) AS BIGINT) AS order_count,
                  "kpi_summary"):
         q[f"incremental_{name}"] = q[name]
     q["incremental_final_orders"] = q["valid_orders"]
+    q["stored_valid_orders"], q["stored_quarantine_orders"] = q["valid_orders"], q["quarantine_orders"]
     q["analytics_main_bucketed"] = q["analytics_main"]
     q["incremental_duplicates"] = build("""
 SELECT order_id, customer_id, order_date, order_month, errors

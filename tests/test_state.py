@@ -268,3 +268,70 @@ def test_the_ledger_knows_files(spark, tmpdir_path):
     put("b.csv", [])
     assert load("four") == [("b.csv", 0)] and ids() == [7, 8, 9]
     assert {r._batch_id for r in spark.read.parquet(ledger).collect()} == {"three", "four"}
+
+
+@pytest.mark.parametrize("policy", ["error", "any"])
+def test_checked_rows_are_written_once(spark, tmpdir_path, policy):
+    """Valid and quarantined rows are partition-pruned reads of one table and equal the plain split."""
+    schema = "part string, k long, g string, v long, t string"
+    rows = spark.createDataFrame(_rows(7, "2024-01", 40) + _rows(8, None, 10), schema).withColumn("t", F.col("t").cast("timestamp_ntz"))
+    checked = E.annotate(rows, RULES[:2])
+    stored = checked.written(f"{tmpdir_path}/checked", policy, ["part"])
+    assert stored.stats["rows"] == 50
+    for got, wanted, kind in ((stored.valid(policy), checked.valid(policy), E.VALID),
+                              (stored.quarantine(policy), checked.quarantine(policy), E.QUARANTINED)):
+        columns = sorted(wanted.columns)
+        assert sorted(got.columns) == columns
+        assert sorted(map(str, got.select(columns).collect())) == sorted(map(str, wanted.select(columns).collect()))
+        assert re.search(rf"PartitionFilters: \[.*_verdict.* = {kind}", _plan(got)) and "DataFilters: []" in _plan(got)
+    other = "any" if policy == "error" else "error"  # another policy than the stored one
+    assert stored.valid(other).count() == checked.valid(other).count()
+    assert E.VERDICT not in stored.quarantine(other).columns
+    empty = E.annotate(rows.limit(0), RULES[:2]).written(f"{tmpdir_path}/none", policy, ["part"])
+    assert empty.valid(policy).count() == 0 and empty.stats["rows"] == 0
+
+
+@pytest.mark.parametrize("kind", ["path", "catalog"])
+def test_partitions_within_replaced_ones(spark, tmpdir_path, kind):
+    """Of touched partitions no old part is left: not of months without rows, nor of a month's verdicts without rows."""
+    target = f"{tmpdir_path}/t" if kind == "path" else "replaced_within"
+    schema = "v long, m string, w string"
+    first = [(1, "a", "x"), (2, "a", "y"), (3, "b", "x"), (4, None, "x"), (5, None, "y"), (6, "c", "y")]
+    sinks.write_table(spark.createDataFrame(first, schema), target, partition_by=["m", "w"])
+    new = spark.createDataFrame([(7, "a", "y"), (8, None, "x")], schema)
+    sinks.replace_partitions(new, target, "m", lambda c: c.isNull() | c.isin("a", "b"), ["w"])
+    left = sorted(map(tuple, sinks.read_table(spark, target).select("v", "m", "w").collect()))
+    assert left == [(6, "c", "y"), (7, "a", "y"), (8, None, "x")]
+    if kind == "catalog":
+        spark.sql(f"DROP TABLE {target}")
+
+
+def test_a_run_that_writes_checked_rows_once(spark, tmpdir_path):
+    """Its marts, scores and rows equal those of a run with two tables; a run for part of a month changes none."""
+    from tidemark.plans.pipeline import run
+    raw = fixtures.raw_tables(spark, SF_SMALL)
+    config = {"as_of": "2025-01-01", "freshness_curr_timestamp": "1997-01-20 12:00:00"}
+    two, one = f"{tmpdir_path}/two", f"{tmpdir_path}/one"
+    run(spark, raw, two, RunConfig(batch_id="full", **config))
+    report = run(spark, raw, one, RunConfig(batch_id="full", one_write=True, **config))
+    names = {r.table_name for r in report.collect()}
+    assert "checked_orders" in names and not any(n.startswith(("final_", "quarantine_")) for n in names)
+    columns = ["order_id", "customer_id", "order_total", "order_month", "_data_quality_score"]
+
+    def sets(folder):
+        if folder == one:
+            valid, bad = E.stored_split(spark.read.parquet(f"{one}/checked_orders"))
+        else:
+            valid, bad = (spark.read.parquet(f"{two}/{t}_orders") for t in ("final", "quarantine"))
+        kept = ["analytics_main", "kpi_summary", "customer_segment_analysis", "data_quality_summary"]
+        tables = [spark.read.parquet(f"{folder}/{t}") for t in kept]
+        plain = [t.drop("_created_timestamp", "_batch_id") for t in tables]
+        return [sorted(map(str, d.select(columns if d is valid or d is bad else sorted(d.columns)).collect())) for d in (valid, bad, *plain)]
+
+    wanted = sets(two)
+    assert sets(one) == wanted
+    part = {"run_mode": "incremental", "start_date": "1997-01-10", "end_date": "1997-01-20"}
+    run(spark, raw, one, RunConfig(batch_id="part", one_write=True, **part, **config))
+    assert sets(one) == wanted
+    with pytest.raises(ValueError):
+        RunConfig(one_write=True, buckets=4)

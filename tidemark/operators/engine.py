@@ -33,10 +33,10 @@ import datetime as _dt
 import re
 import uuid
 import zlib
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Iterable, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.operators.rules import (
@@ -52,12 +52,17 @@ from tidemark.session import (
     fits_broadcast,
     materialize,
     materialize_observed,
+    observed,
     run_concurrently,
 )
+from tidemark.sources import sinks
 
 ERRORS = "_errors"
 WARNINGS = "_warnings"
 SCORE = "_data_quality_score"
+#: partition column of checked tables that are stored with both kinds of rows
+VERDICT = "_verdict"
+VALID, QUARANTINED = "valid", "quarantine"
 QUARANTINE_POLICIES = ("error", "any")
 
 
@@ -101,7 +106,8 @@ class Checked:
     """Annotated rows plus dataset-level outcomes of one rule run.
 
     ``stats`` (rows, error_rows, warning_rows) is filled when the annotated rows are materialised; ``state`` (the
-    partial aggregates of the annotated rows) if it was asked for.
+    partial aggregates of the annotated rows) if it was asked for. ``split_on`` is the policy by which the rows are
+    stored in partitions of ``VERDICT``, if they are.
     """
 
     annotated: DataFrame
@@ -109,6 +115,7 @@ class Checked:
     outcomes: DataFrame
     stats: dict | None = None
     state: RuleState | None = None
+    split_on: str | None = None
 
     def materialized(self, name: str = "annotated", **extra: Column) -> "Checked":
         """Write the annotated rows once so split, log and scores share one execution; row counts (and
@@ -118,11 +125,30 @@ class Checked:
                                          warning_rows=F.count_if(F.size(WARNINGS) > 0), **extra)
         return Checked(df, self.rules, self.outcomes, stats, self.state)
 
+    def written(self, target: str, quarantine_on: str = "error", within: Sequence[str] = (), **extra: Column) -> "Checked":
+        """Write each checked row once: to a table partitioned by ``within`` and the verdict, of which the valid and
+        the quarantined rows are partition-pruned reads. Metrics are observed as in ``materialized``."""
+        df = self.annotated.withColumn(VERDICT, verdict(quarantine_on))
+        seen = Observation()
+        metrics = {"rows": F.count(F.lit(1)), "error_rows": F.count_if(F.size(ERRORS) > 0),
+                   "warning_rows": F.count_if(F.size(WARNINGS) > 0), **extra}
+        wanted = [c.alias(k) for k, c in metrics.items()]
+        sinks.write_table(df.observe(seen, *wanted), target, partition_by=[*within, VERDICT])
+        stored = read_checked(df.sparkSession, target, df)
+        taken = observed(seen)
+        return Checked(stored, self.rules, self.outcomes, taken if taken is not None else stored.agg(*wanted).first().asDict(),
+                       self.state, quarantine_on)
+
+    def _split(self, quarantine_on: str) -> tuple[DataFrame, DataFrame]:
+        if self.split_on == quarantine_on:
+            return stored_split(self.annotated, quarantine_on)
+        return split(self.annotated.drop(VERDICT) if self.split_on else self.annotated, quarantine_on)
+
     def valid(self, quarantine_on: str = "error") -> DataFrame:
-        return split(self.annotated, quarantine_on)[0]
+        return self._split(quarantine_on)[0]
 
     def quarantine(self, quarantine_on: str = "error") -> DataFrame:
-        return split(self.annotated, quarantine_on)[1]
+        return self._split(quarantine_on)[1]
 
 
 def _check_names(rules: tuple[Rule, ...]) -> None:
@@ -574,17 +600,39 @@ def annotate(df: DataFrame, rules: Iterable[Rule], gate: Gate | None = None, his
     return Checked(annotated, rules, outcomes, state=kept)
 
 
+def _is_bad(quarantine_on: str) -> Column:
+    if quarantine_on not in QUARANTINE_POLICIES:
+        raise ValueError(f"quarantine_on must be one of {QUARANTINE_POLICIES}")
+    bad = F.size(ERRORS) > 0
+    return bad | (F.size(WARNINGS) > 0) if quarantine_on == "any" else bad
+
+
+def verdict(quarantine_on: str = "error") -> Column:
+    """Where an annotated row goes: ``valid`` or ``quarantine``."""
+    return F.when(_is_bad(quarantine_on), QUARANTINED).otherwise(VALID)
+
+
+def read_checked(spark: SparkSession, target: str, like: DataFrame | None = None) -> DataFrame:
+    """The rows of a table that ``Checked.written`` made; ``like`` has its columns, which files without rows don't show."""
+    if like is not None and sinks.is_path(target):
+        return spark.read.schema(like.schema).parquet(target)
+    return sinks.read_table(spark, target)
+
+
+def stored_split(stored: DataFrame, quarantine_on: str = "error") -> tuple[DataFrame, DataFrame]:
+    """(valid, quarantine) of rows stored by verdict: each reads the files of its own partitions only."""
+    unused = [ERRORS, VERDICT] + ([WARNINGS] if quarantine_on == "any" else [])
+    return (stored.filter(F.col(VERDICT) == VALID).drop(*unused),
+            stored.filter(F.col(VERDICT) == QUARANTINED).drop(VERDICT))
+
+
 def split(annotated: DataFrame, quarantine_on: str = "error") -> tuple[DataFrame, DataFrame]:
     """Disjoint (valid, quarantine) filters of an annotated frame.
 
     ``quarantine_on="error"``: rows with any error-level violation are quarantined, warnings stay valid
     (and keep their ``_warnings``). ``"any"``: warnings are quarantined too.
     """
-    if quarantine_on not in QUARANTINE_POLICIES:
-        raise ValueError(f"quarantine_on must be one of {QUARANTINE_POLICIES}")
-    bad = F.size(ERRORS) > 0
-    if quarantine_on == "any":
-        bad = bad | (F.size(WARNINGS) > 0)
+    bad = _is_bad(quarantine_on)
     valid = annotated.filter(~bad).drop(ERRORS)
     if quarantine_on == "any":
         valid = valid.drop(WARNINGS)

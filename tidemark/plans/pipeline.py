@@ -43,6 +43,8 @@ class RunConfig:
     whole). ``freshness_curr_timestamp``: end of the freshness lookback (``run``: its own time).
     ``quality_checks=False`` publishes processed rows as valid without running rules. ``buckets``: catalog tables
     of orders and delivery are bucketed by order id in so many files a partition, and joined as they lie.
+    ``one_write``: each checked row is written once, to ``checked_<table>`` partitioned by its verdict, in place of the
+    tables ``final_`` and ``quarantine_``, which are then partition-pruned reads of it (``engine.stored_split``).
     """
 
     as_of: str | None = None
@@ -55,11 +57,14 @@ class RunConfig:
     freshness_curr_timestamp: str | None = None
     customers_broadcast_rows: int = 2_000_000
     buckets: int | None = None
+    one_write: bool = False
     gate: Gate = field(default_factory=Gate)
 
     def __post_init__(self):
         if self.run_mode not in ("full", "incremental"):
             raise ValueError("run_mode must be 'full' or 'incremental'")
+        if self.one_write and self.buckets:
+            raise ValueError("bucketed tables hold valid rows alone: they need the write of their own")
 
 
 class Flow:
@@ -67,18 +72,21 @@ class Flow:
 
     def __init__(self, spark: SparkSession, raw: dict[str, DataFrame], config: RunConfig | None = None,
                  processed_target=None, history: dict[str, DataFrame] | None = None,
-                 kept_orders: DataFrame | None = None, stamped: bool = False, state: dict[str, RuleState] | None = None):
+                 kept_orders: DataFrame | None = None, stamped: bool = False, state: dict[str, RuleState] | None = None,
+                 checked_target=None):
         """``processed_target(table) -> target`` publishes each processed table where the run wants it
         and reuses that copy for the rule passes (one write instead of two). ``history[table]`` holds
         already published rows that dataset-level rules must also see (incremental runs).
         ``kept_orders`` are published processed orders of the run's months outside its window: they are
         checked and published again with the window's rows. ``stamped`` adds the processing time before
         the checks, so that every published table of a row has it, and keeps the orders' rule state by month.
-        ``state[table]`` is the rule state of published rows, which takes the place of ``history``."""
+        ``state[table]`` is the rule state of published rows, which takes the place of ``history``.
+        ``checked_target(table) -> target`` publishes the checked rows as they are written, by verdict."""
         self.spark = spark
         self.raw = raw
         self.config = config or RunConfig()
         self.processed_target = processed_target
+        self.checked_target = checked_target
         self.history = history or {}
         self.state = state or {}
         self.kept_orders = kept_orders
@@ -131,13 +139,16 @@ class Flow:
         rules = self.rules(table) if self.config.quality_checks else []
         checked = engine.annotate(df, rules, self.config.gate, history=self.history.get(table), state=self.state.get(table),
                                   state_part="order_month" if self.stamped and rules and table == "orders" else None)
-        if not rules:
-            return checked
         extra = {}
+        within = ["order_month"] if table == "orders" else []
+        if not rules:
+            return checked.written(self.checked_target(table), self.config.quarantine_on, within) if self.checked_target else checked
         if table == "customers":  # size of the join's customer side, measured in the same write
             cols = ["customer_id", *marts.side_columns("c")]
             valid = F.size(F.col(engine.ERRORS)) == 0
             extra["join_bytes"] = F.coalesce(F.sum(F.when(valid, estimated_row_bytes(df, cols))), F.lit(0))
+        if self.checked_target:
+            return checked.written(self.checked_target(table), self.config.quarantine_on, within, **extra)
         return checked.materialized(f"annotated-{table}", **extra)
 
     def checked(self, table: str) -> Checked:
@@ -242,17 +253,20 @@ def _run(spark: SparkSession, raw: dict[str, DataFrame], out_prefix: str, cfg: R
         else:
             months = None  # nothing published yet: the window's rows are the first tables
     flow = Flow(spark, raw, cfg, processed_target=(lambda t: target(f"processed_{t}")) if months is None else None,
-                history=history, kept_orders=kept, stamped=True, state=state)
+                history=history, kept_orders=kept, stamped=True, state=state,
+                checked_target=(lambda t: target(f"checked_{t}")) if cfg.one_write and months is None else None)
 
     co_located = ("final_orders", "final_delivery_performance") if cfg.buckets and sep == "." else ()
 
     def publish(name: str, df: DataFrame, by_month: bool = False) -> None:
         if name in co_located and not (by_month and months is not None and sinks.exists(spark, target(name))):
             sinks.write_bucketed(df, target(name), ["order_id"], cfg.buckets, ["order_month"] if by_month else None)
-        elif by_month and months is not None:
-            sinks.replace_partitions(df, target(name), "order_month", months)
         else:
-            sinks.write_table(df, target(name), partition_by=["order_month"] if by_month else None)
+            verdict = [engine.VERDICT] if name.startswith("checked_") else []
+            if by_month and months is not None:
+                sinks.replace_partitions(df, target(name), "order_month", months, verdict)
+            else:
+                sinks.write_table(df, target(name), partition_by=(["order_month"] if by_month else []) + verdict or None)
 
     flow.check_all()
     outputs: list[tuple] = []
@@ -260,8 +274,12 @@ def _run(spark: SparkSession, raw: dict[str, DataFrame], out_prefix: str, cfg: R
         by_month = table == "orders"
         if months is not None:
             outputs.append((f"processed_{table}", flow.processed(table), by_month))
-        outputs.append((f"final_{table}", flow.valid(table), by_month))
-        outputs.append((f"quarantine_{table}", flow.quarantine(table), by_month))
+        if not cfg.one_write:
+            outputs.append((f"final_{table}", flow.valid(table), by_month))
+            outputs.append((f"quarantine_{table}", flow.quarantine(table), by_month))
+        elif months is not None:
+            outputs.append((f"checked_{table}", flow.checked(table).annotated.withColumn(engine.VERDICT, engine.verdict(cfg.quarantine_on)),
+                            by_month))
     def joined_plan() -> DataFrame:
         if not co_located:
             return flow.joined_plan()
@@ -301,17 +319,22 @@ def _run(spark: SparkSession, raw: dict[str, DataFrame], out_prefix: str, cfg: R
 
     logs = None
     for table in TABLES:
-        log = reporting.rule_log(flow.checked(table), run_id=batch, valid_table=target(f"final_{table}"),
-                                 quarantine_table=target(f"quarantine_{table}"))
+        kinds = ("checked", "checked") if cfg.one_write else ("final", "quarantine")
+        log = reporting.rule_log(flow.checked(table), run_id=batch, valid_table=target(f"{kinds[0]}_{table}"),
+                                 quarantine_table=target(f"{kinds[1]}_{table}"))
         logs = log if logs is None else logs.unionByName(log)
     sinks.replace_run(logs, target("dq_test_logs"), batch)  # a retried run does not double its rows
 
-    scores = [_published_score(read(f"final_{t}"), read(f"quarantine_{t}"), t) for t in TABLES]
+    if cfg.one_write:
+        scores = [reporting.quality_score(read(f"checked_{t}"), t, cfg.quarantine_on) for t in TABLES]
+    else:
+        scores = [_published_score(read(f"final_{t}"), read(f"quarantine_{t}"), t) for t in TABLES]
     summaries = [("data_quality_summary", scores[0].unionByName(scores[1]).unionByName(scores[2]))]
     marts_now = mart_state.all_marts(*[read(name) for name in mart_state.STATES])
     summaries += [(name, df.withColumn("_created_timestamp", F.current_timestamp())) for name, df in marts_now.items()]
     run_concurrently([lambda o=o: publish(*o) for o in summaries])
 
     names = [o[0] for o in (*outputs, *summaries)] + ["dq_test_logs"]
-    names += [f"processed_{t}" for t in TABLES if f"processed_{t}" not in names]
+    written = ("processed", "checked") if cfg.one_write else ("processed",)
+    names += [f"{kind}_{t}" for kind in written for t in TABLES if f"{kind}_{t}" not in names]
     return catalog.table_row_counts(spark, {n: target(n) for n in names})

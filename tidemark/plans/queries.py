@@ -239,6 +239,23 @@ def incremental_final_orders(spark, sf):
     return stable(final.select(*CLEAN_COLUMNS["orders"], _joined_names(WARNINGS).alias("warnings")))
 
 
+def _stored_split(spark, sf):
+    """Valid and quarantined orders of one table, which holds each checked row once."""
+    checked = flow(spark, sf).checked("orders").written(_scratch(spark, "checked"), within=["order_month"])
+    return checked.valid(), checked.quarantine()
+
+
+def stored_valid_orders(spark, sf):
+    valid, _ = _stored_split(spark, sf)
+    return stable(valid.select(*CLEAN_COLUMNS["orders"], _joined_names(WARNINGS).alias("warnings")))
+
+
+def stored_quarantine_orders(spark, sf):
+    _, bad = _stored_split(spark, sf)
+    return stable(bad.select(*CLEAN_COLUMNS["orders"], _joined_names(ERRORS).alias("errors"),
+                             _joined_names(WARNINGS).alias("warnings")))
+
+
 def _incremental_mart(name: str):
     """A mart finished from merged state, after a run for part of a month."""
     return lambda spark, sf: stable(_published(spark, sf, name).drop("_created_timestamp"))
@@ -466,6 +483,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "incremental_final_orders": incremental_final_orders,
         **{f"incremental_{short}": _incremental_mart(name) for short, name in INCREMENTAL_MARTS.items()},
         **{f"footer_profile_{short}": _footer_profile(name) for short, name in SHORT.items()},
+        "stored_valid_orders": stored_valid_orders,
+        "stored_quarantine_orders": stored_quarantine_orders,
         "column_report": column_report,
         "table_metadata": table_metadata,
         "stamped_final_orders": stamped_final_orders,

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import threading
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -125,31 +125,52 @@ def partition_values(spark: SparkSession, target: str, column: str) -> list[str
     return [None if v in ("__HIVE_DEFAULT_PARTITION__", "null") else v for v in listed]
 
 
-def _drop_partition(spark: SparkSession, target: str, column: str, value: str | None) -> None:
+def _partitions(spark: SparkSession, target: str, columns: list[str]) -> list[tuple]:
+    """The partitions of a table, a value a column."""
+    if not is_path(target):
+        shown = [r[0].split("/") for r in spark.sql(f"SHOW PARTITIONS {target}").collect()]
+        values = [tuple(part.partition("=")[2] for part in parts) for parts in shown]
+        return [tuple(None if v in ("__HIVE_DEFAULT_PARTITION__", "null") else v for v in vs) for vs in values]
+    base, found = target.rstrip("/"), [()]
+    for column in columns:
+        found = [(*above, v) for above in found
+                 for v in partition_values(spark, _partition_path(base, columns, above), column)]
+    return found
+
+
+def _partition_path(base: str, columns: list[str], values: tuple) -> str:
+    named = [f"{c}={'__HIVE_DEFAULT_PARTITION__' if v is None else v}" for c, v in zip(columns, values)]
+    return "/".join([base, *named])
+
+
+def _drop_partition(spark: SparkSession, target: str, columns: list[str], values: tuple) -> None:
     if is_path(target):
-        delete_path(spark, f"{target.rstrip('/')}/{column}={'__HIVE_DEFAULT_PARTITION__' if value is None else value}")
+        delete_path(spark, _partition_path(target.rstrip("/"), columns, values))
     else:
-        shown = "null" if value is None else "'" + value.replace("'", "''") + "'"
-        spark.sql(f"ALTER TABLE {target} DROP IF EXISTS PARTITION ({column} = {shown})")
+        shown = ", ".join(f"{c} = " + ("null" if v is None else "'" + v.replace("'", "''") + "'") for c, v in zip(columns, values))
+        spark.sql(f"ALTER TABLE {target} DROP IF EXISTS PARTITION ({shown})")
 
 
-def replace_partitions(df: DataFrame, target: str, column: str, touched: Callable[[Column], Column]) -> None:
+def replace_partitions(df: DataFrame, target: str, column: str, touched: Callable[[Column], Column],
+                       within: Sequence[str] = ()) -> None:
     """Replace the partitions of ``column`` for which ``touched`` holds by the rows of ``df`` (which are of
-    such partitions only); touched partitions that ``df`` has no rows for are removed.
+    such partitions only); touched partitions that ``df`` has no rows for are removed, also those of the further
+    partition columns ``within``.
 
     The values that ``df`` holds (one a partition) are observed while it is written, so it runs once."""
     spark = df.sparkSession
     if not exists(spark, target):
-        write_table(df, target, partition_by=[column])
+        write_table(df, target, partition_by=[column, *within])
         return
+    columns = [column, *within]
     seen = Observation()
-    metrics = [F.collect_set(column).alias("values"), F.count_if(F.col(column).isNull()).alias("nulls")]
-    overwrite_partitions(df.observe(seen, *metrics), target, [column])
-    written = observed(seen) or {"values": [], "nulls": 0}
-    present = set(written["values"] or []) | ({None} if written["nulls"] else set())
-    stale = [(v,) for v in partition_values(spark, target, column) if v not in present]
-    for row in spark.createDataFrame(stale, f"{column} string").where(touched(F.col(column))).collect():
-        _drop_partition(spark, target, column, row[0])
+    overwrite_partitions(df.observe(seen, F.collect_set(F.struct(*columns)).alias("values")), target, columns)
+    written = observed(seen) or {"values": []}
+    present = {tuple(v) for v in written["values"] or []}
+    stale = [p for p in _partitions(spark, target, columns) if p not in present]
+    schema = ", ".join(f"{c} string" for c in columns)
+    for row in spark.createDataFrame(stale, schema).where(touched(F.col(column))).collect():
+        _drop_partition(spark, target, columns, tuple(row))
 
 
 def overwrite_partitions(df: DataFrame, target: str, partition_by: list[str]) -> None:
