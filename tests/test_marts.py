@@ -82,3 +82,17 @@ def test_join_keeps_every_order(spark):
     assert joined.count() == 3 and len(joined.columns) == 18
     row = joined.filter("order_id = 'o1'").first()
     assert row.customer_segment == "Premium" and row.is_delayed is True
+
+
+def test_marts_count_customers_beside_the_sums(spark):
+    """Sums are grouped by the mart's key alone: a distinct count in the same aggregation would carry them by customer."""
+    schema = JOINED + ", order_year int, order_month string"
+    rows = [("New", [None, "c1", "c2"][i % 3], 1.0, f"o{i}", 10.0, False, False, "Cash", 1.0, "On Time", "On Time", 1.0, 2024, "2024-01")
+            for i in range(9)]
+    df = spark.createDataFrame(rows, schema)
+    for fn, name in ((M.segment_analysis, "unique_customers"), (M.monthly_performance, "unique_customers"),
+                     (M.delivery_analysis, "affected_customers"), (M.payment_analysis, "unique_customers")):
+        mart = fn(df)
+        assert mart.first()[name] == 2
+        plan = mart._jdf.queryExecution().executedPlan().toString()
+        assert "partial_count(distinct" not in plan and "count(distinct" not in plan, plan

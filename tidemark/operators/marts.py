@@ -132,17 +132,19 @@ def segment_analysis(joined: DataFrame) -> DataFrame:
     delayed, on_time = _delayed()
     grouped = (joined.groupBy("customer_segment").agg(
         F.count(F.lit(1)).alias("total_orders"),
-        F.count_distinct("customer_id").alias("unique_customers"),
         money_avg("order_total").alias("avg_order_value"),
         money_sum("order_total").alias("total_revenue"),
         money_avg("delivery_time_minutes").alias("avg_delivery_time"),
         delayed, on_time,
         money_avg("distance_km").alias("avg_delivery_distance"),
     ))
-    return with_distinct(grouped, joined, ["customer_segment"], "payment_method", "payment_methods_used").withColumns({
-        "delivery_success_rate": _pct("on_time_orders", "total_orders"),
-        "avg_orders_per_customer": F.round(F.try_divide(F.col("total_orders"), F.col("unique_customers")), 2),
-    })
+    grouped = with_distinct(grouped, joined, ["customer_segment"], "customer_id", "unique_customers")
+    grouped = with_distinct(grouped, joined, ["customer_segment"], "payment_method", "payment_methods_used")
+    return grouped.select(
+        "customer_segment", "total_orders", "unique_customers", "avg_order_value", "total_revenue", "avg_delivery_time",
+        "delayed_orders", "on_time_orders", "avg_delivery_distance", "payment_methods_used",
+        _pct("on_time_orders", "total_orders").alias("delivery_success_rate"),
+        F.round(F.try_divide(F.col("total_orders"), F.col("unique_customers")), 2).alias("avg_orders_per_customer"))
 
 
 def monthly_performance(joined: DataFrame) -> DataFrame:
@@ -151,7 +153,6 @@ def monthly_performance(joined: DataFrame) -> DataFrame:
     delayed, on_time = _delayed()
     grouped = (joined.groupBy("order_year", "order_month").agg(
         F.count(F.lit(1)).alias("total_orders"),
-        F.count_distinct("customer_id").alias("unique_customers"),
         money_sum("order_total").alias("total_revenue"),
         money_avg("order_total").alias("avg_order_value"),
         money_avg("delivery_time_minutes").alias("avg_delivery_time"),
@@ -159,10 +160,13 @@ def monthly_performance(joined: DataFrame) -> DataFrame:
         money_avg("distance_km").alias("avg_delivery_distance"),
     ))
     keys = ["order_year", "order_month"]
-    return with_distinct(grouped, joined, keys, "customer_segment", "segments_served").withColumns({
-        "delivery_success_rate": _pct("on_time_orders", "total_orders"),
-        "monthly_growth_rate": F.lit(None).cast("double"),
-    }).orderBy(*keys)
+    grouped = with_distinct(grouped, joined, keys, "customer_id", "unique_customers")
+    grouped = with_distinct(grouped, joined, keys, "customer_segment", "segments_served")
+    return grouped.select(
+        *keys, "total_orders", "unique_customers", "total_revenue", "avg_order_value", "avg_delivery_time", "delayed_orders",
+        "on_time_orders", "avg_delivery_distance", "segments_served",
+        _pct("on_time_orders", "total_orders").alias("delivery_success_rate"),
+        F.lit(None).cast("double").alias("monthly_growth_rate")).orderBy(*keys)
 
 
 def monthly_growth(monthly: DataFrame) -> DataFrame:
@@ -188,8 +192,8 @@ def delivery_analysis(joined: DataFrame) -> DataFrame:
         money_avg("distance_km").alias("avg_distance"),
         money_avg("delivery_efficiency").alias("avg_efficiency"),
         money_sum("order_total").alias("total_revenue"),
-        F.count_distinct("customer_id").alias("affected_customers"),
     )
+    grouped = with_distinct(grouped, joined, ["delay_category", "delivery_status"], "customer_id", "affected_customers")
     return (_share_of_total(grouped, "order_count")
             .withColumn("avg_order_value", F.round(F.try_divide(F.col("total_revenue"), F.col("order_count")), 2)))
 
@@ -271,12 +275,14 @@ def payment_analysis(joined: DataFrame) -> DataFrame:
     delayed, on_time = _delayed()
     grouped = joined.groupBy("payment_method").agg(
         F.count(F.lit(1)).alias("order_count"),
-        F.count_distinct("customer_id").alias("unique_customers"),
         money_sum("order_total").alias("total_revenue"),
         money_avg("order_total").alias("avg_order_value"),
         money_avg("delivery_time_minutes").alias("avg_delivery_time"),
         delayed, on_time,
-    ).withColumn("delivery_success_rate", _pct("on_time_orders", "order_count"))
+    )
+    grouped = with_distinct(grouped, joined, ["payment_method"], "customer_id", "unique_customers").select(
+        "payment_method", "order_count", "unique_customers", "total_revenue", "avg_order_value", "avg_delivery_time",
+        "delayed_orders", "on_time_orders", _pct("on_time_orders", "order_count").alias("delivery_success_rate"))
     return _share_of_total(grouped, "order_count")
 
 
