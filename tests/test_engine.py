@@ -93,6 +93,25 @@ def test_keyed_condition_propagates_to_key_null_safely(spark):
     assert warned == [("2", "a"), ("2", "b"), (None, "c"), (None, "c")]
 
 
+def test_conditions_of_counted_keys_keep_single_rows_out_of_the_frame(spark, monkeypatch):
+    written = {}
+    original = E.materialize_observed
+
+    def spy(df, name, **metrics):
+        frame, taken = original(df, name, **metrics)
+        written[name.split("-")[0]] = taken["rows"]
+        return frame, taken
+
+    monkeypatch.setattr(E, "materialize_observed", spy)
+    rows = [(str(i), "c", 1.0, "bad") for i in range(50)] + [("d", "c", 1.0, "ok"), ("d", "c", 1.0, "bad"),
+                                                              (None, "c", 1.0, "ok"), (None, "c", 1.0, "bad"), ("e", "c", 1.0, "ok")]
+    rules = [rule("u", "error", is_unique(["id"])), rule("st", "warn", sql_condition("status = 'bad'", merge_columns=["id"]))]
+    got, _ = flags(spark, rules, rows)
+    flagged = {(r[0], r[3], r[4]) for r in got}
+    assert flagged == {(str(i), "", "st") for i in range(50)} | {("d", "u", "st"), (None, "", "st"), ("e", "", "")}
+    assert written["violations"] == 2  # the keys of several rows: d and null
+
+
 def test_keyed_condition_where_clause(spark):
     r = rule("neg", "warn", sql_condition("amount < 0", merge_columns=["id"], where="cust = 'b'"))
     got, _ = flags(spark, [r])

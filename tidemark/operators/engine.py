@@ -9,7 +9,8 @@ Plan shape for one table (``annotate``):
 2. Each violating-key frame is written to the shared folder; its rows and estimated bytes are observed
    during that write. Empty frames are dropped from the plan; frames within ``Gate`` bounds (rows, and
    bytes up to the broadcast threshold) are broadcast; larger ones are joined by shuffle (AQE splits
-   skewed partitions). Keys match null-safely. The side frames of one table are built concurrently.
+   skewed partitions). Conditions of a key that a uniqueness rule counts are judged on the row itself, and by this
+   frame only for keys of several rows. Keys match null-safely. The side frames of one table are built concurrently.
 3. Global checks become one 1-row aggregate, cross-joined (one row, always broadcast).
 4. Freshness checks join rows to the under-filled windows of a spine of at most ``lookback_windows``
    rows.
@@ -46,6 +47,7 @@ from tidemark.operators.rules import (
     KeyedCheck,
     Rule,
     SqlQuery,
+    Unique,
 )
 from tidemark.session import (
     estimated_row_bytes,
@@ -278,14 +280,27 @@ def _write_partials(df: DataFrame, rules: tuple[Rule, ...], gate: Gate, state: R
     return _Partials(frame, keys, metrics, gate, state.keyed if state is not None else None)
 
 
+def _counted_by(members: list[Rule]) -> Rule | None:
+    """The rule that counts the rows of a key, if there is one."""
+    return next((r for r in members if isinstance(r.check, Unique)), None)
+
+
+def _own_conditions(members: list[Rule]) -> list[Rule]:
+    """Conditions of a key whose rows are counted: a row violates them by itself, or by another row of its key, which
+    only a key of several rows has. So keys of one row need no place in the violating-key frame."""
+    return [r for r in members if isinstance(r.check, Condition)] if _counted_by(members) else []
+
+
 def _key_frame(df: DataFrame, key: tuple[str, ...], members: list[Rule], tag: str, partials: _Partials | None = None) -> DataFrame:
-    """(tag_k0.., tag_e, tag_w): one row per violating key (or exactly one row for ``key == ()``)."""
+    """(tag_k0.., tag_e, tag_w): one row per violating key (or exactly one row for ``key == ()``), without the
+    ``_own_conditions`` of keys of one row."""
     key_names = [f"{tag}_k{j}" for j in range(len(key))]
     pieces: list[DataFrame] = []
 
     fused = [r for r in members if not isinstance(r.check, SqlQuery)]
     rolled = [r for r in fused if partials is not None and _is_mergeable(r)]
     direct = [r for r in fused if r not in rolled]
+    own, counted = _own_conditions(members), _counted_by(members)
     for rules in (rolled, direct):
         if not rules:
             continue
@@ -294,7 +309,8 @@ def _key_frame(df: DataFrame, key: tuple[str, ...], members: list[Rule], tag: st
         else:
             measures = [m for r in rules for m in r.check.measures(_tag(r))]
             agg = df.groupBy(*key).agg(*measures) if key else df.agg(*measures)
-        flags = [(r.check.violated(_tag(r)), r) for r in rules]
+        several = F.col(f"{_tag(counted)}_n") > 1 if own else None
+        flags = [(r.check.violated(_tag(r)) & several if r in own else r.check.violated(_tag(r)), r) for r in rules]
         pieces.append(agg.select(
             *[F.col(k).alias(n) for k, n in zip(key, key_names)],
             _names_array([(c, r.name) for c, r in flags if r.criticality == "error"]).alias(f"{tag}_e"),
@@ -550,7 +566,11 @@ def annotate(df: DataFrame, rules: Iterable[Rule], gate: Gate | None = None, his
 
     for key, members in groups.items():
         tag, frame = tags[key], side[key]
+        own = _own_conditions(members)
         if frame is None:  # no violating key at all
+            for names, level in ((err_arrays, "error"), (warn_arrays, "warn")):
+                alone = [(r.check.violation(), r.name) for r in own if r.criticality == level]
+                names += [_names_array(alone)] if alone else []
             continue
         if not key:
             base = base.crossJoin(F.broadcast(frame))
@@ -568,8 +588,10 @@ def annotate(df: DataFrame, rules: Iterable[Rule], gate: Gate | None = None, his
                 cond = c if cond is None else cond & c
             base = base.join(frame, cond, "left")
         helpers += list(frame.columns)
-        err_arrays.append(F.coalesce(F.col(f"{tag}_e"), _empty()))
-        warn_arrays.append(F.coalesce(F.col(f"{tag}_w"), _empty()))
+        for names, level, of_key in ((err_arrays, "error", f"{tag}_e"), (warn_arrays, "warn", f"{tag}_w")):
+            named = F.coalesce(F.col(of_key), _empty())
+            alone = [(r.check.violation() & ~F.array_contains(named, r.name), r.name) for r in own if r.criticality == level]
+            names += [named, _names_array(alone)] if alone else [named]
 
     for fi, (r, (wstart, _, _), windows) in enumerate(zip(fresh, fresh_parts, window_frames)):
         col = f"__f{fi}"

@@ -117,7 +117,9 @@ class Flow:
         """Processed table, written once: every rule pass then reads only the columns it needs."""
         if table not in self._processed:
             plan = self.processed_plan(table)
-            plan = T.stamp_processed(spread(plan)) if self.stamped else spread(plan)
+            if not (self.processed_target and table == "orders"):  # the write by month deals these rows out itself
+                plan = spread(plan)
+            plan = T.stamp_processed(plan) if self.stamped else plan
             if self.processed_target:
                 target = self.processed_target(table)
                 sinks.write_table(plan, target, partition_by=["order_month"] if table == "orders" else None)
