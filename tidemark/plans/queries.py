@@ -392,7 +392,8 @@ def ingest_reject_status(spark, sf):
 
 
 def _csv_file(df: DataFrame, path: str) -> None:
-    """A single CSV file of the raw table at a fixed path, in place of an earlier one."""
+    """A single CSV file of the raw table at a fixed path, in place of an earlier one. One task writes it: ``df`` should
+    be a scan of the file's own rows and no more."""
     spark, parts = df.sparkSession, f"{path}__parts"
     (df.coalesce(1).write.mode("overwrite").option("header", True).option("timestampNTZFormat", csv.TIMESTAMP_FORMAT).csv(parts))
     names = spark.read.format("binaryFile").option("pathGlobFilter", "*.csv").load(parts).select("path").collect()
@@ -406,15 +407,17 @@ def ledger_loads(spark, sf):
     """Raw orders of three files, loaded three times: all, none (nothing is new), and one changed file, whose rows
     replace its earlier ones."""
     folder, target, ledger = (_scratch(spark, n) for n in ("files", "loaded", "ledger"))
-    orders = fixtures.raw_orders(spark, sf)
     number = F.coalesce(F.col("order_id").cast("long"), F.lit(0)) % 3
+    dealt = _scratch(spark, "dealt")
+    fixtures.raw_orders(spark, sf).withColumn("_number", number).write.partitionBy("_number").parquet(dealt)
+    orders, number = spark.read.parquet(dealt), F.col("_number")
     for n in range(3):
-        _csv_file(orders.where(number == n), f"{folder}/orders_{n}.csv")
+        _csv_file(orders.where(number == n).drop("_number"), f"{folder}/orders_{n}.csv")
     schema = schemas.TABLE_SCHEMAS["orders"]
     loads = [csv.load_new(spark, folder, target, ledger, schema, "b1", pattern="orders_?.csv").count(),
              csv.load_new(spark, folder, target, ledger, schema, "b2", pattern="orders_?.csv").count()]
     changed = orders.where((number == 1) & (F.col("order_id").cast("long") % 2 == 0))
-    _csv_file(changed, f"{folder}/orders_1.csv")
+    _csv_file(changed.drop("_number"), f"{folder}/orders_1.csv")
     loads.append(csv.load_new(spark, folder, target, ledger, schema, "b3", pattern="orders_?.csv").count())
     return stable(spark.read.parquet(target).select(
         "order_id", "customer_id", "order_total", F.element_at(F.split("_source_file", "/"), -1).alias("source_file"), "_batch_id",
