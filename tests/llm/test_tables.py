@@ -5,6 +5,7 @@ from __future__ import annotations
 import collections
 import hashlib
 import math
+import os
 import random
 import re
 
@@ -15,7 +16,7 @@ from pyspark.sql import functions as F
 
 from tests.conftest import SF_SMALL
 from tidemark.llm import ann, mixing, ordered, search, warc
-from tidemark.llm.common import Scratch, table
+from tidemark.llm.common import SHUFFLE_CLEANUP, Scratch, shuffles_dropped, table
 
 PAGES = "page_id long, url string, html string, digest int, first string"
 BLOCK = "WARC/1.1\r\nfoo: bar\r\n\r\n" * 10
@@ -266,6 +267,61 @@ def test_pruning_skips_documents_below_the_threshold(spark):
     assert not len(shard._left(query, term, weight, np.array([9.0]), 10)[0])
 
 
+def test_search_goes_through_the_groups_in_rounds(spark, monkeypatch):
+    rounds = list(search._rounds(940))
+    assert [g for at, end in rounds for g in range(at, end)] == list(range(940)) and len(rounds) < 12
+    for name, value in {"GROUP_BYTES": 3_000, "QUERY_BLOCK": 2, "SPAN_QUERIES": 4}.items():
+        monkeypatch.setattr(search, name, value)
+    rng, kept = random.Random(11), []
+    docs = [(i, "same words again" if i % 4 == 1 else " ".join(f"w{int(rng.paretovariate(1))}" for _ in range(12))) for i in range(200)]
+    docs += [(None, "same words again"), (500, docs[0][1]), (501, docs[40][1]), (3, "same words again")]
+    asked = [(i, docs[i][1]) for i in range(0, 200, 40)] + [(1, docs[1][1])]
+    scratch = Scratch(spark, "search-test")
+    monkeypatch.setattr(scratch, "drop", lambda *frames: kept.extend(frames))
+    index = scratch.write(search.build_index(spark.createDataFrame(docs, "doc_id long, text string").repartition(4), 500), "index")
+    got = collections.defaultdict(list)
+    for r in search.search(index, spark.createDataFrame(asked, "query_id long, text string"), 10, scratch).collect():
+        got[r.query_id].append((r["rank"], -1 if r.doc_id is None else r.doc_id))
+    for q, text in asked:
+        want = brute_search([(-1 if i is None else i, t) for i, t in docs], text, 10)
+        assert [f[1] for f in sorted(got[q])] == [w[0] for w in want], q
+    assert len(kept) >= 5  # the terms and, for each span, a table a round but for the last
+
+
+def test_search_returns_only_what_comes_before_the_kth_best_so_far(spark):
+    texts = spark.createDataFrame([(i, "the same" if i < 30 else f"the other{i}") for i in range(60)], "doc_id long, text string")
+    index = search.build_index(texts.coalesce(1))
+    row = index.collect()[0]
+    assert len(row.docs) == len(row.tfs) == 120 and len(row["counts"]) == 32  # a byte a number
+    terms = search._query_terms(spark.createDataFrame([(7, "the same"), (8, "other30")], "query_id long, text string"))
+    blocks = search._packed(terms, search._frequency(index), 1)
+
+    def found(known):
+        packed = [r.asDict() | {"known": known} for r in blocks.collect()]
+        return {int(q): sorted(zip(i[qs == q].tolist(), s[qs == q].tolist()))
+                for qs, i, s in search._best_of(index.toArrow(), pa.Table.from_pylist(packed), 60, 2.0, 10) for q in np.unique(qs)}
+
+    every = found(None)
+    assert [i for i, _ in every[7]] == list(range(10)) and [i for i, _ in every[8]] == [30]
+    score = every[7][0][1]
+    assert found([{"query_id": 7, "doc_id": 3, "score": score}]) == {7: every[7][:3], 8: every[8]}
+    assert found([{"query_id": 7, "doc_id": -1, "score": score}]) == {8: every[8]}
+
+
+def test_shuffle_files_go_with_their_job(spark):
+    def held():
+        folders = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()
+        return {f for d in folders for _, _, files in os.walk(d.getPath()) for f in files if f.startswith("shuffle_")}
+
+    rows, scratch, before = spark.range(1000).groupBy(F.col("id") % 7).count(), Scratch(spark, "t"), spark.conf.get(SHUFFLE_CLEANUP)
+    with shuffles_dropped(spark):
+        start = held()
+        written = scratch.write(rows, "rows")
+        assert held() <= start
+    assert written.count() == 7
+    assert spark.conf.get(SHUFFLE_CLEANUP) == before
+
+
 def test_pipeline_stages_take_effect(spark):
     import corpus_pipeline as pipeline
     from tests.llm.test_dedup import brute_groups
