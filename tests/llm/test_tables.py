@@ -288,6 +288,29 @@ def test_search_goes_through_the_groups_in_rounds(spark, monkeypatch):
     assert len(kept) >= 5  # the terms and, for each span, a table a round but for the last
 
 
+def test_search_deals_documents_to_shards_by_kind_and_passes_over_shards_out_of_reach(spark, monkeypatch):
+    rng = random.Random(12)
+    docs = [(i, " ".join(f"{'abc'[i % 3]}{int(rng.paretovariate(0.8)) % 400}" for _ in range(20 + i % 7))) for i in range(600)]
+    docs += [(1000, None), (1001, "")]
+    asked = [(i, docs[i][1]) for i in range(0, 600, 20)]
+    scratch = Scratch(spark, "search-test")
+    index = scratch.write(search.build_index(spark.createDataFrame(docs, "doc_id long, text string").coalesce(1), 20_000), "index")
+    held = [np.frombuffer(r.doc_ids, np.int64) for r in index.collect()]
+    assert sorted(i for ids in held for i in ids) == sorted(i for i, _ in docs)
+    assert len(held) > 5 and all(len(set(ids[ids < 1000] % 3)) == 1 for ids in held)
+    scored, left = [], search._Searched._left
+    monkeypatch.setattr(search._Searched, "_left", lambda self, query, term, weight, least, k: (
+        scored.append((len(least), self.n)), left(self, query, term, weight, least, k))[1])
+    terms = search._query_terms(spark.createDataFrame(asked, "query_id long, text string"))
+    blocks = search._packed(terms, search._frequency(index), 1).toArrow()
+    words = sum(len(t.split()) for _, t in docs if t)
+    got = {int(q): [int(i) for i in ids[qs == q]] for qs, ids, _ in search._best_of(
+        index.toArrow(), blocks.append_column("known", pa.nulls(1)), len(docs), words / len(docs), 10) for q in np.unique(qs)}
+    for q, text in asked:
+        assert got[q] == [w[0] for w in brute_search(docs, text, 10)], q
+    assert sum(n * m for n, m in scored) < 0.4 * len(asked) * len(docs)
+
+
 def test_search_returns_only_what_comes_before_the_kth_best_so_far(spark):
     texts = spark.createDataFrame([(i, "the same" if i < 30 else f"the other{i}") for i in range(60)], "doc_id long, text string")
     index = search.build_index(texts.coalesce(1))
